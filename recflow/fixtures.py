@@ -227,7 +227,9 @@ SELECT doc_id, stem, CASE doc_id % 9
   WHEN 5 THEN '["Business"]'
   WHEN 6 THEN '{{"confidence": 0.4}}'
   WHEN 7 THEN '  {{"category": "Learning", "confidence": "0.7", "reason": "r"}}  '
-  ELSE '{{"category": "Finance", "confidence": 0.6}}' END AS raw
+  ELSE '{{"category": "Finance", "confidence": 0.6}}' END AS raw,
+  (doc_id % 3) * 100 AS cache_read,
+  CASE WHEN doc_id % 50 = 0 THEN 1200 ELSE 0 END AS cache_create
 FROM $recordings
 """)
 
