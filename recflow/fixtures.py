@@ -234,6 +234,18 @@ FROM $recordings
 """)
 
 
+# files: a bucket directory listing.  Every recording has its .md, sidecars
+# where they exist, and for doc_id % 10 = 0 a longer name that starts with the
+# stem (bundled with it); doc_id % 15 = 0 adds a short name no stem prefixes.
+_view("files", ["recordings", "summaries", "transcripts"], """
+SELECT stem || '.md' AS file_name FROM $recordings
+UNION ALL SELECT r.stem || '.summary.md' FROM $recordings r JOIN $summaries s ON s.doc_id = r.doc_id WHERE s.summary IS NOT NULL
+UNION ALL SELECT r.stem || '.transcript.txt' FROM $recordings r JOIN $transcripts t ON t.doc_id = r.doc_id
+UNION ALL SELECT stem || ' (conflict).md' FROM $recordings WHERE doc_id % 10 = 0
+UNION ALL SELECT left(stem, 12) || '.md' FROM $recordings WHERE doc_id % 15 = 0
+""")
+
+
 def _order(names: list[str]) -> list[str]:
     seen: list[str] = []
 

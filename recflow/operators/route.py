@@ -70,3 +70,18 @@ def patch_routed(df: DataFrame, routed_at: str) -> DataFrame:
         "routed_sync_blocked": F.when(has, sync_flag("category")),
         "routed_at": F.when(has, F.lit(routed_at)),
     })
+
+
+def sibling_bundle(docs: DataFrame, files: DataFrame, stem: str = "stem",
+                   file_name: str = "file_name") -> DataFrame:
+    """Files whose name starts with a document's stem travel with it.
+
+    A prefix join without a nested loop: every file name is expanded to its
+    prefixes of the lengths stems actually have (a set bounded by the longest
+    file name, so it is broadcast), then equi-joined on the prefix.
+    """
+    lengths = docs.select(F.length(stem).alias("_len")).distinct()
+    pre = (files.select(file_name, F.explode(F.sequence(F.lit(1), F.length(file_name))).alias("_len"))
+           .join(F.broadcast(lengths), "_len"))
+    keyed = pre.select(file_name, F.left(F.col(file_name), F.col("_len")).alias(stem))
+    return keyed.join(docs.select(stem).distinct(), stem)

@@ -100,3 +100,33 @@ def audit_events(df: DataFrame, stage: str, ts: str, key: str, event: Column,
     return df.select(F.lit(ts).alias("ts"), F.lit(stage).alias("stage"), col(key).alias("doc_key"),
                      event.alias("event"),
                      (detail if detail is not None else F.lit("")).alias("detail"))
+
+
+def write_vault(df: DataFrame, root: str, bucket: str = "bucket", stem: str = "stem",
+                text: str = "text", suffix: str = ".md") -> DataFrame:
+    """Write one file ``<root>/<bucket>/<stem><suffix>`` per row from inside the
+    tasks (pyarrow file system: local, HDFS or object store URIs).
+
+    Returns (path, n_bytes) per written file; nothing passes through the driver.
+    """
+    import pandas as pd
+
+    def run(batches):
+        from pyarrow import fs as pafs
+        uri = root
+        if uri.startswith("file:") and not uri.startswith("file://"):
+            uri = "file://" + uri[len("file:"):]
+        filesystem, base = pafs.FileSystem.from_uri(uri)
+        for pdf in batches:
+            paths, sizes = [], []
+            for b, s, t in zip(pdf[bucket], pdf[stem], pdf[text]):
+                d = f"{base.rstrip('/')}/{b}"
+                filesystem.create_dir(d, recursive=True)
+                data = (t or "").encode("utf-8")
+                with filesystem.open_output_stream(f"{d}/{s}{suffix}") as out:
+                    out.write(data)
+                paths.append(f"{d}/{s}{suffix}")
+                sizes.append(len(data))
+            yield pd.DataFrame({"path": paths, "n_bytes": sizes})
+
+    return df.select(bucket, stem, text).mapInPandas(run, "path string, n_bytes long")

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recflow.functions import vocab
 from recflow.functions.projections import title_unquote
 from recflow.functions.text import LINE_BREAK, WS, col, py_strip
 
@@ -19,12 +20,23 @@ HEADER_RE = r"(?s)\A---\n(.*?)\n---\n"
 WS_NO_NL = WS[:-1] + r"&&[^\n]]"
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def scan_documents(spark: SparkSession, root: str, buckets: list[str] | None = None) -> DataFrame:
     """Whole-text scan of ``<root>/<bucket>/*.md`` without ``*.summary.md`` sidecars.
 
     Returns (bucket, file_name, stem, text); text has universal newlines.
     """
-    paths = [f"{root.rstrip('/')}/{b}" for b in buckets] if buckets else [root]
+    # Bucket folders are passed as roots: Spark's listing skips children whose
+    # name starts with '_' (such as '_unclassified') or '.'.
+    paths = [f"{root.rstrip('/')}/{b}" for b in (buckets or vocab.BUCKETS)]
+    paths = [p for p in paths if _exists(spark, p)]
+    if not paths:
+        return spark.createDataFrame([], "bucket string, file_name string, stem string, text string")
     df = (spark.read.option("pathGlobFilter", "*.md").option("recursiveFileLookup", "true")
           .text(paths, wholetext=True)
           .select(F.col("value").alias("raw"), F.col("_metadata.file_path").alias("path"),
