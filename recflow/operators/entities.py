@@ -76,7 +76,8 @@ def entity_mentions(docs: DataFrame, entities: DataFrame, key: str = "doc_key",
 
     # distinct folded tokens per document; only (key, token) crosses the join
     toks = docs.select(col(key).alias("_doc"),
-                       F.explode(F.array_distinct(F.transform(word_tokens(text), fold))).alias("_key"))
+                       F.explode(F.array_distinct(F.transform(F.array_distinct(word_tokens(text)), fold)))
+                       .alias("_key"))
     cands = toks.join(ent_side, "_key").select("_doc", "name", "type", "type_rank", "_pattern")
     texts = docs.select(col(key).alias("_doc"), col(text).alias("_text"))
     hits = (cands.join(texts, "_doc")
