@@ -75,11 +75,6 @@ def name_pattern(c) -> Column:
     return F.concat(F.lit("(?iu)"), q, pre, post)
 
 
-def fold(c) -> Column:
-    """Case fold for token keys (lower, then the few folds lower() misses)."""
-    return F.translate(F.lower(col(c)), "ſςµ", "sσμ")
-
-
 def word_tokens(c) -> Column:
     """Array of maximal word runs of the text."""
     return F.regexp_extract_all(col(c), F.lit(f"{WORD}+"), 0)
