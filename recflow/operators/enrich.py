@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,16 +62,35 @@ class EnrichResult:
     patches: DataFrame
     counts: DataFrame
 
+    def release(self) -> None:
+        """Drop the persisted prepared table (if any) once the sinks are written."""
+        if self.prepared.storageLevel.useMemory or self.prepared.storageLevel.useDisk:
+            self.prepared.unpersist()
+
 
 def enrich_batch(docs: DataFrame, summaries: DataFrame, transcripts: DataFrame, entities: DataFrame,
                  run_date: str, enriched_at: str, existing_backlinks: DataFrame | None = None,
                  existing_blocks: DataFrame | None = None, existing_candidates: DataFrame | None = None,
-                 key: str = "doc_key") -> EnrichResult:
-    """docs(key, title, category, status, recorded_at, uploaded_at, has_header)."""
+                 key: str = "doc_key", materialize: str | None = None) -> EnrichResult:
+    """docs(key, title, category, status, recorded_at, uploaded_at, has_header).
+
+    ``materialize``: None (default) lets every branch recompute the prepared
+    table with only the columns it needs (each text column is used by one
+    branch, so Catalyst prunes the rest; measured faster than caching the wide
+    table); "persist" or "checkpoint" compute it once, for sidecar joins that
+    are expensive to repeat."""
     if "has_header" not in docs.columns:
         docs = docs.withColumn("has_header", F.lit(True))
     pending = enrich_pending(docs)
     p = prepare(sidecars_joined(pending, summaries, transcripts, key), run_date, key)
+    if materialize == "persist":
+        # the prepared table feeds five branches (and the mention join twice):
+        # computed once, kept in memory and on local disk, recomputed from its
+        # lineage if an executor is lost
+        p = p.persist(StorageLevel.MEMORY_AND_DISK)
+    elif materialize == "checkpoint":
+        # lineage cut with a reliable copy in spark.checkpoint.dir
+        p = p.checkpoint(eager=True)
 
     mentions = entity_mentions(p.select(key, F.col("search_text").alias("text")), entities, key=key)
     names = mention_list(mentions, key, "entity_names")
