@@ -100,17 +100,22 @@ def enrich_batch(docs: DataFrame, summaries: DataFrame, transcripts: DataFrame,
              .select(key, "recorded_date", action_items("summary").alias("items"))
              .where(F.size("items") > 0))
     blocks = items.select("recorded_date", key, rollup_block(key, "items").alias("block"))
-    new_blocks = append_new(blocks, existing_blocks, ["recorded_date", key])
+    new_blocks = append_new(blocks, existing_blocks, ["recorded_date", key], prune_on="recorded_date")
 
     cands = delivery_candidates(p.select(key, "category", "delivery_text", "recorded_date", "title_eff"),
                                 companies, key)
     cands = cands.select(key, "recorded_date", "title_eff", "companies",
                          candidate_line("recorded_date", key, "companies", "title_eff").alias("line"))
-    new_cands = append_new(cands, existing_candidates, ["line"])
+    # sink keys lead with recorded_date (the lines embed it, so the key is the
+    # same): against sinks partitioned by day, dynamic partition pruning reads
+    # only the days of this batch instead of the whole history
+    new_cands = append_new(cands, existing_candidates, ["recorded_date", "line"], prune_on="recorded_date")
 
     backlinks = mentions.join(p.select(key, "recorded_date", "title_eff"), key).select(
-        F.col("name").alias("entity"), key, backlink_line("recorded_date", key, "title_eff").alias("line"))
-    new_backlinks = append_new(backlinks, existing_backlinks, ["entity", "line"])
+        F.col("name").alias("entity"), key, "recorded_date",
+        backlink_line("recorded_date", key, "title_eff").alias("line"))
+    new_backlinks = append_new(backlinks, existing_backlinks, ["recorded_date", "entity", "line"],
+                               prune_on="recorded_date")
 
     facts = (p.select(key, "has_header", "status")
              .join(names, key, "left")

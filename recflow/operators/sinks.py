@@ -20,22 +20,34 @@ def write_partitioned(spark: SparkSession, df: DataFrame, name: str, partition_c
                       path: str | None = None) -> str:
     """Write ``df`` partitioned by ``partition_col`` (e.g. one folder per category).
 
-    Rows are first clustered on the partition column so each task writes few
-    files; dynamic partition overwrite replaces only the partitions written.
+    Rows are clustered on the partition column with a REBALANCE hint: AQE
+    keeps each category in few files but splits a category that holds a large
+    share of the rows over several writer tasks (a plain repartition by the
+    column would give a hot category a single task).  Dynamic partition
+    overwrite replaces only the partitions written.
     """
     path = path or shared_dir(spark, name)
-    (df.repartition(partition_col).write.mode("overwrite")
+    (df.hint("rebalance", partition_col).write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(partition_col).parquet(path))
     return path
 
 
-def append_new(candidates: DataFrame, existing: DataFrame | None, keys: list[str]) -> DataFrame:
-    """Rows of ``candidates`` whose key is not already present (idempotent append)."""
+def append_new(candidates: DataFrame, existing: DataFrame | None, keys: list[str],
+               prune_on: str | None = None) -> DataFrame:
+    """Rows of ``candidates`` whose key is not already present (idempotent append).
+
+    ``prune_on``: a partition column of the existing sink that is part of the
+    key (e.g. the recorded day).  The sink is first semi-joined with the
+    batch's distinct values, a join type dynamic partition pruning applies to,
+    so only the partitions this batch can collide with are read."""
     fresh = candidates.dropDuplicates(keys)
     if existing is None:
         return fresh
-    return fresh.join(existing.select(*keys).dropDuplicates(keys), on=keys, how="left_anti")
+    old = existing.select(*keys)
+    if prune_on is not None:
+        old = old.join(fresh.select(prune_on).distinct(), prune_on, "left_semi")
+    return fresh.join(old.dropDuplicates(keys), on=keys, how="left_anti")
 
 
 def unified_document(df: DataFrame, pulled_at: str, source: str = "recorder",
@@ -130,3 +142,15 @@ def write_vault(df: DataFrame, root: str, bucket: str = "bucket", stem: str = "s
             yield pd.DataFrame({"path": paths, "n_bytes": sizes})
 
     return df.select(bucket, stem, text).mapInPandas(run, "path string, n_bytes long")
+
+
+def write_enrich_sinks(result, root: str) -> dict:
+    """Append an enrichment batch's new rows to day-partitioned sink tables
+    (backlinks, rollup blocks, candidate lines) and its header patches to a
+    new status snapshot.  Returns the paths."""
+    paths = {n: f"{root.rstrip('/')}/{n}" for n in ("backlinks", "rollups", "candidates", "patches")}
+    for name, df in (("backlinks", result.new_backlinks), ("rollups", result.new_blocks),
+                     ("candidates", result.new_candidates)):
+        df.hint("rebalance", "recorded_date").write.mode("append").partitionBy("recorded_date").parquet(paths[name])
+    result.patches.write.mode("append").parquet(paths["patches"])
+    return paths

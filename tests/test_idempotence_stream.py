@@ -40,3 +40,21 @@ def test_stream_ingest_equals_batch_and_retries(spark):
 def test_stream_dedup_keeps_one_per_id(spark):
     rows = SP.q_stream_dedup(spark, SF_SMALL)
     assert rows.count() == rows.select("recording_id").distinct().count() > 0
+
+
+def test_sinks_round_trip_and_prune_by_day(spark):
+    from recflow.operators.sinks import write_enrich_sinks
+    from recflow.session import shared_dir
+    docs = EP.edocs(spark, SF_SMALL)
+    first = EP._batch(spark, SF_SMALL, docs.where(F.col("doc_id") < 100))
+    paths = write_enrich_sinks(first, shared_dir(spark, "sinks"))
+    old = spark.read.parquet(paths["backlinks"])
+    assert old.count() == first.new_backlinks.count() > 0
+    later = EP.E.enrich_batch(docs, EP.esummaries(spark, SF_SMALL), EP.etranscripts(spark, SF_SMALL),
+                              EP.entities(spark, SF_SMALL), EP.RUN_DATE, EP.ENRICH_TS,
+                              existing_backlinks=old)
+    plan = later.new_backlinks._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
+    got = {tuple(r) for r in later.new_backlinks.select("entity", "line").collect()}
+    everything = {tuple(r) for r in EP._batch(spark, SF_SMALL, docs).new_backlinks.select("entity", "line").collect()}
+    assert got == everything - {tuple(r) for r in old.select("entity", "line").collect()}
