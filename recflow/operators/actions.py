@@ -30,10 +30,17 @@ BULLET = rf"(?md)^[{_WS_INNER}>]*[-*]{WS}+(.+)$"
 ASSIGNEE = rf"\A@{WORD}[\p{{L}}\p{{N}}_{_WS_INNER}-]{{0,30}}\z"
 
 
+def _section_chunk(summary: Column, start_pattern: str) -> tuple[Column, Column]:
+    """(found, chunk): one scan splits the text at the first section start;
+    the chunk then ends at the next heading or rule."""
+    parts = F.split(summary, "(?iu)" + start_pattern, 2)
+    found = F.size(parts) == 2
+    chunk = F.regexp_replace(F.get(parts, 1), "(?s)" + SECTION_END + ".*", "")
+    return found, chunk
+
+
 def _section_items(summary: Column, start_pattern: str) -> Column:
-    found = summary.rlike("(?iu)" + start_pattern)
-    chunk = F.regexp_extract(summary, "(?siu)" + start_pattern + "(.*)", 1)
-    chunk = F.regexp_replace(chunk, "(?s)" + SECTION_END + ".*", "")
+    found, chunk = _section_chunk(summary, start_pattern)
     raw = F.regexp_extract_all(chunk, F.lit(BULLET), 1)
     cleaned = F.transform(raw, lambda b: py_strip(checkbox_strip(py_strip(b))))
     kept = F.filter(cleaned, lambda i: ~action_item_noise(i))
@@ -72,9 +79,6 @@ def section_bullets(summary, which: str = "A") -> Column:
     """Cleaned bullets of the first heading-form (A) or label-form (B) section,
     before the noise filters (for inspection and tuning)."""
     s = F.coalesce(col(summary), F.lit(""))
-    start = SECTION_A if which == "A" else SECTION_B
-    found = s.rlike("(?iu)" + start)
-    chunk = F.regexp_extract(s, "(?siu)" + start + "(.*)", 1)
-    chunk = F.regexp_replace(chunk, "(?s)" + SECTION_END + ".*", "")
+    found, chunk = _section_chunk(s, SECTION_A if which == "A" else SECTION_B)
     raw = F.regexp_extract_all(chunk, F.lit(BULLET), 1)
     return F.when(found, raw).otherwise(F.array().cast("array<string>"))
