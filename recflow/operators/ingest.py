@@ -43,18 +43,34 @@ def discovery_window(df: DataFrame, day_col, run_date: str, days: int) -> DataFr
     return df.where((d > F.lit(start)) & (d <= F.lit(run_date)))
 
 
+# A poll's batch of ids is broadcast (after a count) when at most this many.
+MAX_BROADCAST_BATCH_IDS = 1_000_000
+
+
 def pull_outcome(candidates: DataFrame, ledger: DataFrame, inbox_short: DataFrame,
-                 metadata: DataFrame, transcripts: DataFrame) -> DataFrame:
+                 metadata: DataFrame, transcripts: DataFrame,
+                 broadcast_limit: int = MAX_BROADCAST_BATCH_IDS) -> DataFrame:
     """Status per candidate line: skipped / failed / pulled.
 
     candidates(pos, recording_id); ledger(recording_id); inbox_short(short_id);
     metadata(recording_id, meta_valid, ...); transcripts(recording_id).
     Failed pulls are not recorded anywhere, so they are retried next batch.
+
+    The ledger only grows; a poll touches few ids.  So every lookup table is
+    first semi-joined with the batch's distinct ids, broadcast when a count
+    shows the batch is small: the ledger is then filtered where it is read
+    instead of being shuffled whole on every poll.
     """
-    led = ledger.select("recording_id").distinct().withColumn("_in_ledger", F.lit(True))
+    ids = candidates.select("recording_id").distinct()
+    ids_side = F.broadcast(ids) if ids.count() <= broadcast_limit else ids
+
+    def only_batch(df: DataFrame) -> DataFrame:
+        return df.join(ids_side, "recording_id", "left_semi")
+
+    led = only_batch(ledger.select("recording_id")).distinct().withColumn("_in_ledger", F.lit(True))
     inbox = inbox_short.select(F.col("short_id").alias("_short")).distinct().withColumn("_in_inbox", F.lit(True))
-    meta = metadata.select("recording_id", F.col("meta_valid").alias("_meta_ok"))
-    tx = transcripts.select("recording_id").distinct().withColumn("_has_tx", F.lit(True))
+    meta = only_batch(metadata.select("recording_id", F.col("meta_valid").alias("_meta_ok")))
+    tx = only_batch(transcripts.select("recording_id")).distinct().withColumn("_has_tx", F.lit(True))
     # joins on recording_id first, then on the short id (reused by the
     # first-pulled join below), so the candidates shuffle only twice
     c = (candidates.withColumn("_short", short_id("recording_id"))
