@@ -47,8 +47,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        # local runs and tests only: a cluster names its shared folder
         configured = tempfile.mkdtemp(prefix="recflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured
 
