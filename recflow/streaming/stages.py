@@ -35,6 +35,13 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def _ledger_for(ledger: DataFrame, rows: DataFrame, limit: int = ingest.MAX_BROADCAST_BATCH_IDS) -> DataFrame:
+    """The ledger rows of the given ids only: the ids are broadcast (after a
+    count) so the ever-growing ledger is filtered where it is read."""
+    ids = rows.select("recording_id").distinct()
+    return ledger.join(F.broadcast(ids) if ids.count() <= limit else ids, "recording_id", "left_semi")
+
+
 @dataclass
 class IngestTables:
     """Paths of the stream's state tables and lookup sources."""
@@ -64,7 +71,7 @@ def ingest_batch(batch: DataFrame, batch_id: int, t: IngestTables) -> None:
     ledger = read_or_empty(spark, t.ledger, "recording_id string")
     retry = read_or_empty(spark, t.retry, "recording_id string, batch_id long")
     # failed pulls of earlier batches come first, in their original order
-    pending_retry = (retry.join(ledger, "recording_id", "left_anti").groupBy("recording_id")
+    pending_retry = (retry.join(_ledger_for(ledger, retry), "recording_id", "left_anti").groupBy("recording_id")
                      .agg(F.min("batch_id").alias("b"))
                      .select((F.col("b") - F.lit(1 << 20)).alias("pos"), "recording_id"))
     cands = pending_retry.unionByName(cands)
@@ -81,7 +88,7 @@ def ingest_batch(batch: DataFrame, batch_id: int, t: IngestTables) -> None:
                     .join(docs_old.select("recording_id"), "recording_id", "left_anti")
                     .withColumn("batch_id", F.lit(batch_id).cast("long")))
         new_docs.write.mode("append").parquet(t.docs)
-        (pulled.join(ledger, "recording_id", "left_anti").distinct()
+        (pulled.join(_ledger_for(ledger, pulled), "recording_id", "left_anti").distinct()
          .write.mode("append").parquet(t.ledger))
         failed = (outcome.where(F.col("status") == ingest.FAILED).select("recording_id").distinct()
                   .join(retry.where(F.col("batch_id") == batch_id).select("recording_id"),
