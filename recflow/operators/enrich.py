@@ -22,9 +22,18 @@ from recflow.operators.entities import company_hits, entity_mentions, mention_li
 from recflow.operators.sinks import append_new, backlink_line, candidate_line, rollup_block
 
 
-def enrich_pending(df: DataFrame) -> DataFrame:
-    """Anything but an 'enriched' status (a missing status included) is pending."""
-    return df.where(F.col("status").isNull() | (F.col("status") != vocab.STATUS_ENRICHED))
+def enrich_pending(df: DataFrame, reenrich_on_category_change: bool = False) -> DataFrame:
+    """Anything but an 'enriched' status (a missing status included) is pending.
+
+    By default an enriched document is never looked at again, even if it was
+    reclassified afterwards (so a document enriched while unclassified never
+    gets action items).  With ``reenrich_on_category_change`` a document whose
+    category differs from the one recorded at enrichment (``enriched_category``)
+    is pending again."""
+    pending = F.col("status").isNull() | (F.col("status") != vocab.STATUS_ENRICHED)
+    if reenrich_on_category_change and "enriched_category" in df.columns:
+        pending = pending | ~F.col("category").eqNullSafe(F.col("enriched_category"))
+    return df.where(pending)
 
 
 def action_category_gate(df: DataFrame) -> DataFrame:
@@ -71,7 +80,8 @@ class EnrichResult:
 def enrich_batch(docs: DataFrame, summaries: DataFrame, transcripts: DataFrame, entities: DataFrame,
                  run_date: str, enriched_at: str, existing_backlinks: DataFrame | None = None,
                  existing_blocks: DataFrame | None = None, existing_candidates: DataFrame | None = None,
-                 key: str = "doc_key", materialize: str | None = None) -> EnrichResult:
+                 key: str = "doc_key", materialize: str | None = None,
+                 reenrich_on_category_change: bool = False) -> EnrichResult:
     """docs(key, title, category, status, recorded_at, uploaded_at, has_header).
 
     ``materialize``: None (default) lets every branch recompute the prepared
@@ -81,7 +91,7 @@ def enrich_batch(docs: DataFrame, summaries: DataFrame, transcripts: DataFrame,
     are expensive to repeat."""
     if "has_header" not in docs.columns:
         docs = docs.withColumn("has_header", F.lit(True))
-    pending = enrich_pending(docs)
+    pending = enrich_pending(docs, reenrich_on_category_change)
     p = prepare(sidecars_joined(pending, summaries, transcripts, key), run_date, key)
     if materialize == "persist":
         # the prepared table feeds five branches (and the mention join twice):
@@ -117,7 +127,7 @@ def enrich_batch(docs: DataFrame, summaries: DataFrame, transcripts: DataFrame,
     new_backlinks = append_new(backlinks, existing_backlinks, ["recorded_date", "entity", "line"],
                                prune_on="recorded_date")
 
-    facts = (p.select(key, "has_header", "status")
+    facts = (p.select(key, "has_header", "status", "category")
              .join(names, key, "left")
              .join(items.select(key, F.col("recorded_date").alias("rollup_date"),
                                 F.size("items").alias("n_items")), key, "left")
@@ -132,6 +142,7 @@ def enrich_batch(docs: DataFrame, summaries: DataFrame, transcripts: DataFrame,
         F.when(has & F.col("rollup_date").isNotNull(),
                F.concat(F.lit('"[['), F.col("rollup_date"), F.lit(']]"'))).alias("action_items_rollup"),
         F.when(has & F.col("vdc_added").isNotNull(), F.lit(True)).alias("vdc_candidate"),
+        F.when(has, F.col("category")).alias("enriched_category"),
         F.coalesce(F.size("entity_names"), F.lit(0)).alias("n_hits"),
         F.col("rollup_date").isNotNull().alias("has_rollup"),
         F.coalesce("vdc_added", F.lit(False)).alias("vdc_added"))

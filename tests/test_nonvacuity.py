@@ -54,3 +54,12 @@ def test_enrichment_sinks_and_flags_nonempty(spark):
     assert patches.where("entity_mentions = '[]'").count() > 0
     assert values(patches, "status") == {"enriched", None}
     assert values(q["delivery_signal"](spark, SF_SMALL), "signal") == {True, False}
+
+
+def test_reenrich_on_category_change(spark):
+    from recflow.operators.enrich import enrich_pending
+    df = spark.createDataFrame([("a", "enriched", "Business", "_unclassified"), ("b", "enriched", "Business", "Business"),
+                                ("c", "routed", "Casual", None)],
+                               "doc_key string, status string, category string, enriched_category string")
+    assert {r["doc_key"] for r in enrich_pending(df).collect()} == {"c"}
+    assert {r["doc_key"] for r in enrich_pending(df, reenrich_on_category_change=True).collect()} == {"a", "c"}
