@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recflow.llm import exact_dedup, quality
+from recflow.llm import bpe, exact_dedup, mixing, ngram_join, quality
 from recflow.llm.common import read, stored
 
 
@@ -20,9 +20,25 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return exact_dedup.drop_copies(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_join.one_of_each(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.resample(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    out = bpe.digests(docs.select("doc_id", "source", "text"))
+    return out.select("doc_id", "source", "_tokens.*")
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("exact_dedup", exact_duplicates),
+    ("ngram_join", near_duplicates),
+    ("mixing", source_mix),
+    ("bpe", tokens),
 ]
 
 #: SQL can't express the learned rules or the draws; tests hold each stage against brute force.

@@ -8,10 +8,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recflow.llm import exact_dedup, quality
+from recflow.llm import bpe, exact_dedup, mixing, ngram_join, quality
 from recflow.llm.common import read
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "_tokens.*")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup.exact_groups(read(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
@@ -24,7 +28,23 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")))
 
 
-QUERIES = {"op4_exact_dedup": op4_exact_dedup, "op6_quality_rules": op6_quality_rules}
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_groups(read(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), F.col("rep").alias("rep_id"), "class_id", "n_links")
+
+
+QUERIES = {
+    "op2_bpe": op2_bpe,
+    "op4_exact_dedup": op4_exact_dedup,
+    "op6_quality_rules": op6_quality_rules,
+    "op9_mixing": op9_mixing,
+    "op10_ngram_join": op10_ngram_join,
+}
 
 ORACLES = {
     "op4_exact_dedup": r"""
