@@ -8,10 +8,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recflow.llm import bpe, exact_dedup, mixing, ngram_join, quality
+from recflow.llm import bpe, exact_dedup, html_extract, mixing, ngram_join, quality, warc
 from recflow.llm.common import read
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_extract.extracted(read(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "_tokens.*")
 
@@ -28,6 +33,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    out = warc.read_archive(*warc.write_archive(pages), id_type=dict(pages.dtypes)["page_id"])
+    return out.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
@@ -39,14 +50,25 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_extract": op1_html_extract,
     "op2_bpe": op2_bpe,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_quality_rules": op6_quality_rules,
+    "op8_warc": op8_warc,
     "op9_mixing": op9_mixing,
     "op10_ngram_join": op10_ngram_join,
 }
 
 ORACLES = {
+    "op8_warc": r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+g AS (SELECT h, min(page_id) AS first_id FROM p GROUP BY h),
+r AS (SELECT page_id, h, first_id, octet_length(encode(h)) AS n FROM p JOIN g USING (h))
+SELECT page_id, n AS payload_bytes, sha256(h) AS payload_digest,
+    CASE WHEN n >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN n >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM r
+""",
     "op4_exact_dedup": r"""
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
 g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
