@@ -5,10 +5,21 @@ Each query reads its whole table through its operator and derives the contract's
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recflow.llm import bpe, exact_dedup, html_extract, mixing, ngram_join, quality, warc
+from recflow.llm import (
+    bpe,
+    exact_dedup,
+    html_extract,
+    licenses,
+    mixing,
+    ngram_join,
+    quality,
+    secrets,
+    toxicity,
+    warc,
+)
 from recflow.llm.common import read
 
 
@@ -21,11 +32,33 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "_tokens.*")
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = licenses.scanned(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    best = F.array_max(F.transform("license_spans", lambda x: x["coverage"]))
+    spans = F.array_join(F.transform("license_spans", lambda x: F.concat_ws(":", x["license"], x["start"], x["end"])), ",")
+    return out.select("doc_id", F.size("license_spans").cast("long").alias("n_notices"),
+                      F.coalesce(best, F.lit(0.0)).alias("coverage"), spans.alias("spans"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup.exact_groups(read(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secrets.scan(read(spark, sf_dir, "documents"))
+    base = F.filter("found", lambda x: x["base"])
+
+    def count(k: int, name: str) -> Column:
+        return F.size(F.filter("found", lambda x: x["kind_no"] == k)).cast("long").alias(f"n_{name}")
+
+    return out.select(
+        F.col("id").alias("doc_id"),
+        *(count(k, d.kind) for k, d in enumerate(secrets.BASE)),
+        F.sha2(secrets.joined(base), 256).alias("base_sha256"), secrets.joined(F.col("found")).alias("spans"),
+        F.size(F.filter(base, lambda x: ~x["live"])).cast("long").alias("n_example"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     out = quality.judge(docs, quality.fit(docs, labels))
@@ -33,6 +66,14 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    out = toxicity.scored(docs.select("doc_id", "text"), toxicity.fit(docs, read(spark, sf_dir, "labels")))
+    score = F.col("_toxic.score")
+    return out.select("doc_id", toxicity.held_out().alias("held_out"), score.alias("score"),
+                      (score >= 0.5).cast("int").alias("predicted"), F.col("_toxic.spans").alias("spans"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages")
     out = warc.read_archive(*warc.write_archive(pages), id_type=dict(pages.dtypes)["page_id"])
@@ -52,8 +93,11 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_html_extract": op1_html_extract,
     "op2_bpe": op2_bpe,
+    "op3_licenses": op3_licenses,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_secrets": op5_secrets,
     "op6_quality_rules": op6_quality_rules,
+    "op7_toxicity": op7_toxicity,
     "op8_warc": op8_warc,
     "op9_mixing": op9_mixing,
     "op10_ngram_join": op10_ngram_join,
