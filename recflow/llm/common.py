@@ -43,12 +43,15 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def word_count(text: Column) -> Column:
-    """Number of words of a text, without building an array of them: the runs of
-    white space between the first and the last word, plus one."""
-    trimmed = F.regexp_replace(text, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
-    return F.when(F.length(trimmed) == 0, F.lit(0)).otherwise(
-        F.regexp_count(trimmed, F.lit(SPACES)) + 1).cast("long")
+def packed(df: DataFrame, **columns: Column) -> DataFrame:
+    """The whole rows as the struct ``row`` beside these columns: whatever names the rows
+    have, none clashes.  ``unpacked`` gives the rows back."""
+    row = F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row")
+    return df.select(row, *(c.alias(name) for name, c in columns.items()))
+
+
+def unpacked(df: DataFrame) -> DataFrame:
+    return df.select("row.*")
 
 
 ship(__name__)

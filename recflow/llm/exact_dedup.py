@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recflow.llm.common import SPACES, stored, text_of
+from recflow.llm.common import SPACES, packed, stored, text_of, unpacked
 
 #: Distinct entries that a bucket may hold before it splits.
 CAPACITY = 65_536
@@ -89,6 +89,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, with all their columns."""
-    dropped = stored(exact_groups(docs, id_col, text_col).where(~F.col("kept")).select(F.col("id").alias("_gone")), "dropped")
-    left = docs.join(dropped, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
-    return left.dropDuplicates([id_col, text_col])
+    dropped = stored(exact_groups(docs, id_col, text_col).where(~F.col("kept")).select(F.col("id").alias("gone")), "dropped")
+    left = (packed(docs, id=F.col(id_col), text=normalised(text_col))
+            .join(dropped, F.col("id").eqNullSafe(F.col("gone")), "left_anti"))
+    return unpacked(left.dropDuplicates(["id", "text"]))

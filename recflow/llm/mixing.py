@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recflow.llm.common import WORD, stored, text_of
+from recflow.llm.common import WORD, packed, stored, text_of, unpacked
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
@@ -173,6 +173,6 @@ def resample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     half of a document's words are taken (none, once or twice)."""
     times = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0).cast("int")
     drawn = (mix(docs, id_col, text_col, source_col).groupBy("id").agg(F.max(times).alias("_times")).where("_times > 0")
-             .select(F.col("id").alias("_drawn"), "_times"))
-    return (docs.join(stored(drawn, "drawn"), F.col(id_col).eqNullSafe(F.col("_drawn")))
-            .withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_drawn", "_times", "_time"))
+             .select(F.col("id").alias("drawn"), "_times"))
+    return unpacked(packed(docs, id=F.col(id_col)).join(stored(drawn, "drawn"), F.col("id").eqNullSafe(F.col("drawn")))
+                    .select("row", F.explode(F.sequence(F.lit(1), F.col("_times")))))

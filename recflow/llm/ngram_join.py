@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recflow.llm.common import ship, stored, text_of
+from recflow.llm.common import packed, ship, stored, text_of, unpacked
 
 ship(__name__)
 
@@ -286,6 +286,6 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents that stand for their groups, with all their columns; null ids stay."""
-    gone = stored(near_groups(docs, id_col, text_col, **options).where("class_id <> id").select(F.col("id").alias("_gone"))
+    gone = stored(near_groups(docs, id_col, text_col, **options).where("class_id <> id").select(F.col("id").alias("gone"))
                   .distinct(), "gone")
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    return unpacked(packed(docs, id=F.col(id_col)).join(gone, F.col("id") == F.col("gone"), "left_anti"))

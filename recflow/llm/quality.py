@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recflow.llm.common import ship, text_of
+from recflow.llm.common import packed, ship, text_of, unpacked
 
 ship(__name__)
 
@@ -239,4 +239,4 @@ def judge(docs: DataFrame, rules: list[list[Condition]], text_col: str = "text")
 def filter_quality(docs: DataFrame, labels: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The documents that the base rule and the learned list keep, with all their columns."""
     rules = fit(docs, labels, text_col=text_col, **options)
-    return judge(docs, rules, text_col).where("_quality.kept").drop("_quality")
+    return unpacked(judge(packed(docs, text=F.col(text_col)), rules).where("_quality.kept"))
