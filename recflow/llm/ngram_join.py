@@ -128,7 +128,8 @@ def grammer(size: int = WORDS):
             sets = [shingles(t, hashes, size) for t in texts]
             yield pd.DataFrame({"cls": [_class(s) for s in sets], "grams": [s.tobytes() for s in sets]})
 
-    return F.pandas_udf(gram, "cls binary, grams binary")
+    # else a null check on its result would be pushed below the semi join, to all documents
+    return F.pandas_udf(gram, "cls binary, grams binary").asNondeterministic()
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
