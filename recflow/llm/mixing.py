@@ -97,7 +97,9 @@ def draw(plan: DataFrame, shard_slots: int = SHARD_SLOTS) -> DataFrame:
     parts = (plan.withColumn("shards", shards).where("slots > 0")
              .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / PLAN_SLOTS)))))
     first = F.col("part") * PLAN_SLOTS
-    slots = (parts.repartition("source_no", "part")
+    # a set number of tasks, which the few bytes of the plan don't get merged into one
+    tasks = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = (parts.repartition(tasks, "source_no", "part")
              .withColumn("slot", F.explode(F.sequence(first, F.least(first + PLAN_SLOTS, "slots") - 1))))
     turn = F.floor(F.col("slot") / F.col("n_blocks")).cast("long")
     return (slots.withColumn("turn", turn)
