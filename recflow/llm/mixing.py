@@ -148,7 +148,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     drawn = (draw(_plan(sources, block)).groupBy("source_no", "block")
              .agg(F.count(F.when(F.col("cut").isNull(), 1)).alias("times"), F.max("cut").alias("cut")))
     part = F.greatest(F.lit(0), F.least("high", "cut") - F.col("low"))
-    taken = (pieces(placed, block).join(drawn, ["source_no", "block"])
+    # the draws come from a small table by explode, so that their size is underestimated: never broadcast
+    taken = (pieces(placed, block).join(drawn.hint("merge"), ["source_no", "block"])
              .groupBy("row").agg(F.sum(F.col("times") * (F.col("high") - F.col("low"))
                                        + F.when(F.col("cut").isNull(), 0).otherwise(part)).alias("taken")))
     return (placed.join(taken, "row", "left").join(sources.drop("source", "weight"), "source_no")
@@ -165,7 +166,7 @@ def mixed_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
            .select("source_no", "block", "low", F.expr("slice(words, cast(skip + 1 as int), cast(high - low as int))").alias("words")))
     blocks = (cut.groupBy("source_no", "block").agg(F.flatten(F.transform(
         F.array_sort(F.collect_list(F.struct("low", "words"))), lambda x: x["words"])).alias("words")))  # at most one block of words
-    return (draw(_plan(sources, block)).join(blocks, ["source_no", "block"])
+    return (draw(_plan(sources, block)).hint("merge").join(blocks, ["source_no", "block"])
             .select("shard", "place", "source_no", "block", F.array_join(F.when(F.col("cut").isNull(), F.col("words")).otherwise(
                 F.slice("words", F.lit(1), F.col("cut").cast("int"))), " ").alias("text")))
 
