@@ -29,7 +29,7 @@ MOST = 2.0
 BLOCK = 256
 SHARD_SLOTS = 1024
 #: Documents in a chunk, about; slots that one row of the slot plan stands for.
-CHUNK_DOCS, PLAN_SLOTS = 100_000, 8_192
+CHUNK_DOCS, PLAN_SLOTS = 10_000, 8_192
 ROUNDS = 16
 SEED = 20_240_607
 
