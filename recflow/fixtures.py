@@ -52,7 +52,7 @@ def _view(name, deps, sql=None, spark=None, duckdb=None):
 _view("recordings", ["documents"], f"""
 SELECT doc_id,
   md5(cast(doc_id as string)) AS recording_id,
-  'rec-' || lpad(cast(doc_id as string), 7, '0') || '--' || left(md5(cast(doc_id as string)), 8) AS stem,
+  'rec-' || lpad(cast(doc_id as string), 19, '0') || '--' || left(md5(cast(doc_id as string)), 8) AS stem,
   {_TITLE} AS title,
   CASE WHEN doc_id % 13 = 0 THEN '' ELSE {_DAY} || 'T09:' || lpad(cast(doc_id % 60 as string), 2, '0') || ':00+00:00' END AS recorded_at,
   CASE WHEN doc_id % 26 = 0 THEN '' ELSE {_DAY} || 'T18:30:00+00:00' END AS uploaded_at,
@@ -179,12 +179,15 @@ UNION ALL SELECT md5(recording_id) AS recording_id FROM $recordings WHERE doc_id
 """)
 
 # inbox: files still in the vault tree.  doc_id % 6 = 1 left a document whose
-# name ends in its short id (skipped by the short-id gate); sidecars and other
-# names must not count.
-_view("inbox", ["recordings"], """
-SELECT 'Business/2023-12-01--older-note--' || left(recording_id, 8) || '.md' AS file_name FROM $recordings WHERE doc_id % 6 = 1
-UNION ALL SELECT '_raw/2023-12-01--older-note--' || left(recording_id, 8) || '.summary.md' FROM $recordings WHERE doc_id % 6 = 2
-UNION ALL SELECT 'Casual/' || left(recording_id, 8) || '.md' FROM $recordings WHERE doc_id % 6 = 3
+# header holds its id; sidecars and other names must not count, nor does another
+# recording whose id only begins alike (doc_id % 6 = 5).
+_view("inbox", ["recordings"], f"""
+SELECT 'Business/2023-12-01--older-note--' || left(recording_id, 8) || '.md' AS file_name,
+  '---' || {NL} || 'recording_id: ' || recording_id || {NL} || '---' || {NL} || title AS text FROM $recordings WHERE doc_id % 6 = 1
+UNION ALL SELECT '_raw/2023-12-01--older-note--' || left(recording_id, 8) || '.summary.md', title FROM $recordings WHERE doc_id % 6 = 2
+UNION ALL SELECT 'Casual/' || left(recording_id, 8) || '.md', 'recording_id: ' || recording_id FROM $recordings WHERE doc_id % 6 = 3
+UNION ALL SELECT 'Learning/2023-12-02--other--' || left(recording_id, 8) || '.md',
+  '---' || {NL} || 'recording_id: ' || left(recording_id, 8) || '000000000000000000000000' || {NL} || '---' FROM $recordings WHERE doc_id % 6 = 5
 """)
 
 # headers: rendered documents with header variants by doc_id % 7:
@@ -215,8 +218,8 @@ FROM $recordings r JOIN $summaries s ON s.doc_id = r.doc_id
 
 # replies: raw model replies by doc_id % 9: 0 valid, 1 fenced, 2 truncated
 # JSON naming a category, 3 prose naming two categories, 4 unknown prose,
-# 5 JSON array, 6 object without category, 7 confidence as text, 8 category
-# outside the list.
+# 5 JSON array, 6 object without category, 7 confidence as text, 8 text after the
+# object, confidence text that is no number, a category outside the list.
 _view("replies", ["recordings"], f"""
 SELECT doc_id, stem, CASE doc_id % 9
   WHEN 0 THEN '{{"category": "Business", "confidence": 0.9, "reason": "Talks about ' || chr(92) || '"client' || chr(92) || '" work ' || cast(doc_id as string) || '"}}'
@@ -227,7 +230,12 @@ SELECT doc_id, stem, CASE doc_id % 9
   WHEN 5 THEN '["Business"]'
   WHEN 6 THEN '{{"confidence": 0.4}}'
   WHEN 7 THEN '  {{"category": "Learning", "confidence": "0.7", "reason": "r"}}  '
-  ELSE '{{"category": "Finance", "confidence": 0.6}}' END AS raw,
+  ELSE CASE doc_id % 45
+    WHEN 8 THEN '{{"category": "Casual", "confidence": 0.9}}]'
+    WHEN 17 THEN '{{"category": "Casual", "confidence": 0.9}}], [1'
+    WHEN 26 THEN '{{"category": "Casual", "confidence": "1.0d"}}'
+    WHEN 35 THEN '{{"category": "Casual", "confidence": "0x1p3"}}'
+    ELSE '{{"category": "Finance", "confidence": 0.6}}' END END AS raw,
   (doc_id % 3) * 100 AS cache_read,
   CASE WHEN doc_id % 50 = 0 THEN 1200 ELSE 0 END AS cache_create
 FROM $recordings
@@ -242,7 +250,7 @@ SELECT stem || '.md' AS file_name FROM $recordings
 UNION ALL SELECT r.stem || '.summary.md' FROM $recordings r JOIN $summaries s ON s.doc_id = r.doc_id WHERE s.summary IS NOT NULL
 UNION ALL SELECT r.stem || '.transcript.txt' FROM $recordings r JOIN $transcripts t ON t.doc_id = r.doc_id
 UNION ALL SELECT stem || ' (conflict).md' FROM $recordings WHERE doc_id % 10 = 0
-UNION ALL SELECT left(stem, 12) || '.md' FROM $recordings WHERE doc_id % 15 = 0
+UNION ALL SELECT left(stem, 24) || '.md' FROM $recordings WHERE doc_id % 15 = 0
 """)
 
 

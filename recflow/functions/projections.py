@@ -58,22 +58,27 @@ def title_fallback(title, stem) -> Column:
     return F.coalesce(col(title), col(stem))
 
 
-def summary_excerpt(summary) -> Column:
-    return F.substring(F.coalesce(col(summary), F.lit("")), 1, vocab.SUMMARY_EXCERPT_CHARS)
+def _head(value, chars: int | None) -> Column:
+    """The text, or its first ``chars`` characters; NULL counts as empty."""
+    whole = F.coalesce(col(value), F.lit(""))
+    return whole if chars is None else F.substring(whole, 1, chars)
 
 
-def search_text(summary, transcript) -> Column:
-    """Summary, a blank line, the transcript head; stripped."""
-    return py_strip(F.concat(
-        F.coalesce(col(summary), F.lit("")), F.lit("\n\n"),
-        F.substring(F.coalesce(col(transcript), F.lit("")), 1, vocab.SEARCH_TRANSCRIPT_CHARS)))
+def summary_excerpt(summary, chars: int | None = None) -> Column:
+    """The summary put into the prompt (the original's cut: vocab.SUMMARY_EXCERPT_CHARS)."""
+    return _head(summary, chars)
 
 
-def delivery_text(summary, transcript) -> Column:
-    """Summary followed directly by the transcript head (no separator)."""
-    return F.concat(
-        F.coalesce(col(summary), F.lit("")),
-        F.substring(F.coalesce(col(transcript), F.lit("")), 1, vocab.DELIVERY_TRANSCRIPT_CHARS))
+def search_text(summary, transcript, chars: int | None = None) -> Column:
+    """Summary, a blank line, the whole transcript (or its first ``chars``; the original
+    searches vocab.SEARCH_TRANSCRIPT_CHARS); stripped."""
+    return py_strip(F.concat(F.coalesce(col(summary), F.lit("")), F.lit("\n\n"), _head(transcript, chars)))
+
+
+def delivery_text(summary, transcript, chars: int | None = None) -> Column:
+    """Summary followed directly by the whole transcript (or its first ``chars``; the
+    original searches vocab.DELIVERY_TRANSCRIPT_CHARS)."""
+    return F.concat(F.coalesce(col(summary), F.lit("")), _head(transcript, chars))
 
 
 def sync_flag(category) -> Column:
@@ -92,10 +97,10 @@ def fence_strip(raw) -> Column:
     return py_strip(inner)
 
 
-def reason_clean(reason) -> Column:
-    """First 200 characters; double quotes become single quotes."""
-    return F.replace(F.substring(F.coalesce(col(reason), F.lit("")), 1, vocab.REASON_MAX_CHARS),
-                     F.lit('"'), F.lit("'"))
+def reason_clean(reason, chars: int | None = None) -> Column:
+    """Double quotes become single quotes; cut to ``chars`` if given (the original:
+    vocab.REASON_MAX_CHARS)."""
+    return F.replace(_head(reason, chars), F.lit('"'), F.lit("'"))
 
 
 def wikilinks(names) -> Column:

@@ -44,7 +44,8 @@ DELIVERY_SIGNALS = [
 ENTITY_TYPES = ["People", "Companies", "Projects"]
 ENTITY_MIN_LEN_EXCLUSIVE = 3
 
-# FIXED VALUES: size limits.
+# FIXED VALUES: the original's size limits.  Except for the slug and the short id,
+# which are labels, they are opt-in arguments: by default nothing is cut.
 SUMMARY_EXCERPT_CHARS = 1500
 SEARCH_TRANSCRIPT_CHARS = 8000
 DELIVERY_TRANSCRIPT_CHARS = 4000

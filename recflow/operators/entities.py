@@ -1,11 +1,13 @@
 """Entity dictionary and whole-name mention matching at scale.
 
 Matching every document against every entity regex is a nested-loop join.
-Instead each entity gets one *key token* (its last word run, case-folded):
-a whole-name match implies that token occurs as a complete word token of the
-text.  So documents are tokenised, equi-joined with the keys, and only the
-candidate pairs are verified with the exact pattern.  The result equals the
-nested loop; the work is linear in the text plus the candidates.
+Instead a name and a text are cut into parts, runs of word and of other
+characters in turn, and each entity gets one *key part*: of its words the one
+that the fewest names hold (a shared last word like "Holdings Ltd" is no key).
+A whole-name match implies that the key occurs as a complete part of the text.
+Each part of a text goes into an equi-join with the keys, together with the
+window of parts around it that the longest name could fill; the exact pattern
+is then tested on that window.  No text is joined or shuffled for it.
 """
 
 from __future__ import annotations
@@ -14,14 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recflow.functions import vocab
-from recflow.functions.text import col, name_pattern, word_tokens
-
-# The dictionary is broadcast only below this many rows (checked by count);
-# above it the candidate join is a shuffled join that AQE may still convert.
-MAX_BROADCAST_ENTITIES = 200_000
-# Names with no word character cannot be keyed; they are matched with a
-# broadcast nested loop that is allowed only for a handful of names.
-MAX_KEYLESS_ENTITIES = 1_000
+from recflow.functions.text import NON_WORD, WORD, col, name_pattern
 
 
 def fold(c) -> Column:
@@ -56,43 +51,47 @@ def entity_union(frames: dict[str, DataFrame], name_col: str) -> DataFrame:
     return out
 
 
+def _parts(c) -> Column:
+    """Runs of word characters and of other characters, in turn."""
+    return F.regexp_extract_all(col(c), F.lit(f"{WORD}+|{NON_WORD}+"), 0)
+
+
 def _keyed(entities: DataFrame) -> DataFrame:
-    toks = word_tokens("name")
-    return entities.select(
-        "name", "type", "type_rank",
-        name_pattern("name").alias("_pattern"),
-        fold(F.try_element_at(toks, F.lit(-1))).alias("_key"))
+    """Entities with their key part and how many parts stand before and after it.
+
+    A name without any word character is its own key: between word boundaries it is a
+    whole part of the text."""
+    who = ["name", "type", "type_rank"]
+    parts = entities.where(F.length("name") > 0).select(*who, _parts("name").alias("_parts"))
+    keys = (parts.select(*who, F.size("_parts").alias("_n"), F.posexplode("_parts").alias("_at", "_part"))
+            .where(F.col("_part").rlike(WORD) | (F.col("_n") == 1)).withColumn("_key", fold("_part")))
+    spread = keys.select("name", "_key").distinct().groupBy("_key").agg(F.count(F.lit(1)).alias("_names"))
+    best = F.min(F.struct("_names", (-F.length("_part")).alias("_short"), "_at", "_key", "_n")).alias("_k")
+    return keys.join(spread, "_key").groupBy(*who).agg(best).select(
+        *who, name_pattern("name").alias("_pattern"), F.col("_k._key").alias("_key"),
+        F.col("_k._at").alias("_before"), (F.col("_k._n") - F.col("_k._at") - 1).alias("_after"))
+
+
+def candidate_windows(docs: DataFrame, entities: DataFrame, key: str = "doc_key", text: str = "text") -> DataFrame:
+    """A row for each place where an entity's key part stands in a text, with the window
+    of parts around it (one more on each side than the longest name needs)."""
+    keyed = _keyed(entities)
+    before = keyed.agg(F.max("_before")).scalar()
+    after = keyed.agg(F.max("_after")).scalar()
+    placed = (docs.select(col(key).alias("_doc"), _parts(text).alias("_parts"), before.alias("_b"), after.alias("_a"))
+              .select("_doc", "_parts", "_b", "_a", F.posexplode("_parts").alias("_at", "_part"))
+              .where(F.col("_part") != " "))
+    first = F.greatest(F.lit(1), F.col("_at") - F.col("_b"))
+    window = F.array_join(F.slice("_parts", first, F.col("_at") + F.col("_a") + 3 - first), "")
+    return (placed.select("_doc", fold("_part").alias("_key"), window.alias("_window"))
+            .join(keyed.drop("_before", "_after"), "_key"))
 
 
 def entity_mentions(docs: DataFrame, entities: DataFrame, key: str = "doc_key",
-                    text: str = "text", broadcast_limit: int = MAX_BROADCAST_ENTITIES) -> DataFrame:
+                    text: str = "text") -> DataFrame:
     """(key, text) x (name, type, type_rank) -> one row per (document, entity hit)."""
-    ents = _keyed(entities)
-    keyed = ents.where(F.col("_key").isNotNull())
-    keyless = ents.where(F.col("_key").isNull())
-
-    n_keyed = keyed.count()
-    ent_side = F.broadcast(keyed) if n_keyed <= broadcast_limit else keyed
-
-    # distinct folded tokens per document; only (key, token) crosses the join
-    toks = docs.select(col(key).alias("_doc"),
-                       F.explode(F.array_distinct(F.transform(F.array_distinct(word_tokens(text)), fold)))
-                       .alias("_key"))
-    cands = toks.join(ent_side, "_key").select("_doc", "name", "type", "type_rank", "_pattern")
-    texts = docs.select(col(key).alias("_doc"), col(text).alias("_text"))
-    hits = (cands.join(texts, "_doc")
-            .where(F.expr("_text RLIKE _pattern"))
-            .select(F.col("_doc").alias(key), "name", "type", "type_rank"))
-
-    n_keyless = keyless.count()
-    if n_keyless:
-        if n_keyless > MAX_KEYLESS_ENTITIES:
-            raise ValueError(f"{n_keyless} entity names have no word character; refusing a nested loop")
-        loose = (texts.join(F.broadcast(keyless.select("name", "type", "type_rank", "_pattern")),
-                            F.expr("_text RLIKE _pattern"))
-                 .select(F.col("_doc").alias(key), "name", "type", "type_rank"))
-        hits = hits.unionByName(loose)
-    return hits
+    return (candidate_windows(docs, entities, key, text).where(F.expr("_window RLIKE _pattern"))
+            .select(F.col("_doc").alias(key), "name", "type", "type_rank").distinct())
 
 
 def company_hits(mentions: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from recflow.sources import listing as L
 
 
 def run_cycle(spark: SparkSession, fx: Fixtures, run_date: str, run_ts: str,
-              scorer=R.keyword_scorer, max_reclass: int | None = vocab.DEFAULT_RECLASS_MAX,
+              scorer=R.keyword_scorer, max_reclass: int | None = None,
               root: str | None = None) -> dict:
     """Returns the table paths and the per-stage count DataFrames."""
     root = root or shared_dir(spark, "cycle")
@@ -33,9 +33,9 @@ def run_cycle(spark: SparkSession, fx: Fixtures, run_date: str, run_ts: str,
     # L1 ingest: gates, fetch (metadata + sidecars), documents, ledger
     meta = L.metadata_fields(fx.metadata)
     tx = fx.transcripts.join(rec, "doc_id")
-    outcome = ingest.pull_outcome(L.listing_ids(fx.listing), fx.ledger, L.inbox_short_ids(fx.inbox), meta, tx)
+    outcome = ingest.pull_outcome(L.listing_ids(fx.listing), fx.ledger, L.inbox_ids(fx.inbox), meta, tx)
     pulled = ingest.ledger_append(outcome)
-    docs = (pulled.join(meta, "recording_id").join(rec, "recording_id")
+    docs = (pulled.join(ingest.one_per_recording(meta.drop("meta")), "recording_id").join(rec, "recording_id")
             .join(fx.summaries, "doc_id", "left").join(fx.transcripts, "doc_id", "left")
             .select("recording_id",
                     P.doc_key("start_at", "created_at", "name", "recording_id").alias("doc_key"),

@@ -116,8 +116,8 @@ prep0 AS (SELECT p.*, coalesce(s.summary, '') AS summary, coalesce(t.transcript,
           FROM pend p LEFT JOIN summaries s ON s.doc_id = p.doc_id LEFT JOIN transcripts t ON t.doc_id = p.doc_id),
 prep AS (SELECT *, coalesce(title, doc_key) AS title_eff,
            coalesce(split_part(coalesce(nullif(recorded_at, ''), nullif(uploaded_at, '')), 'T', 1), {sq(RUN_DATE)}) AS recorded_date,
-           {py_strip("summary || chr(10) || chr(10) || substring(transcript, 1, " + str(vocab.SEARCH_TRANSCRIPT_CHARS) + ")")} AS search_text,
-           summary || substring(transcript, 1, {vocab.DELIVERY_TRANSCRIPT_CHARS}) AS delivery_text
+           {py_strip("summary || chr(10) || chr(10) || transcript")} AS search_text,
+           summary || transcript AS delivery_text
          FROM prep0),
 ents AS (SELECT name, type, type_rank FROM (
            SELECT name, type, type_rank, row_number() OVER (PARTITION BY lower(name) ORDER BY type_rank, name) AS rn
@@ -342,7 +342,7 @@ ORACLES["sidecars_joined"] = eq(
 
 QUERIES["summary_excerpt"] = lambda spark, sf: prepared(spark, sf).select(
     "doc_key", P.summary_excerpt("summary").alias("excerpt"))
-ORACLES["summary_excerpt"] = eq(f"SELECT doc_key, substring(summary, 1, {vocab.SUMMARY_EXCERPT_CHARS}) AS excerpt FROM prep\n")
+ORACLES["summary_excerpt"] = eq("SELECT doc_key, summary AS excerpt FROM prep\n")
 
 
 def q_title_fallback(spark, sf):

@@ -38,7 +38,7 @@ def _transcripts_by_id(spark, sf):
 
 
 def _inbox(spark, sf):
-    return L.inbox_short_ids(fx(spark, sf).inbox)
+    return L.inbox_ids(fx(spark, sf).inbox)
 
 
 def _outcome(spark, sf, cands=None):
@@ -69,24 +69,25 @@ D_META = f"""meta AS (
     len(list_filter(string_split(coalesce(meta, ''), chr(10)), lambda l: starts_with(l, '  name:'))) > 0 AS meta_valid
   FROM metadata)"""
 D_INBOX = r"""inb AS (
-  SELECT DISTINCT regexp_extract(regexp_extract(file_name, '([^/]*)$', 1), '(?s)--(.{8})\.md\z', 1) AS short_id
-  FROM inbox WHERE regexp_extract(regexp_extract(file_name, '([^/]*)$', 1), '(?s)--(.{8})\.md\z', 1) <> '')"""
+  SELECT DISTINCT regexp_extract(text, '(?m)^recording_id: ([0-9a-f]{32})', 1) AS recording_id
+  FROM inbox WHERE regexp_matches(regexp_extract(file_name, '([^/]*)$', 1), '(?s)--.{8}\.md\z')
+    AND regexp_matches(text, '(?m)^recording_id: [0-9a-f]{32}'))"""
 D_TX = """tx AS (SELECT DISTINCT r.recording_id FROM transcripts t JOIN recordings r ON r.doc_id = t.doc_id)"""
 
 
 def d_outcome(cands: str = "cands") -> str:
     return f"""base AS (
-  SELECT c.pos, c.recording_id, left(c.recording_id, 8) AS short,
+  SELECT c.pos, c.recording_id,
     CASE WHEN c.recording_id IN (SELECT recording_id FROM ledger)
-           OR left(c.recording_id, 8) IN (SELECT short_id FROM inb) THEN 'skipped'
+           OR c.recording_id IN (SELECT recording_id FROM inb) THEN 'skipped'
          WHEN NOT coalesce(m.meta_valid, false) THEN 'failed'
          WHEN c.recording_id NOT IN (SELECT recording_id FROM tx) THEN 'failed'
          ELSE 'pulled' END AS base
   FROM {cands} c LEFT JOIN meta m ON m.recording_id = c.recording_id),
-fp AS (SELECT short, min(pos) AS first_pos FROM base WHERE base = 'pulled' GROUP BY short),
+fp AS (SELECT recording_id, min(pos) AS first_pos FROM base WHERE base = 'pulled' GROUP BY recording_id),
 outcome AS (
   SELECT b.pos, b.recording_id, CASE WHEN b.pos > fp.first_pos THEN 'skipped' ELSE b.base END AS status
-  FROM base b LEFT JOIN fp ON fp.short = b.short)"""
+  FROM base b LEFT JOIN fp ON fp.recording_id = b.recording_id)"""
 
 
 def d_with(*ctes: str, views=("listing", "metadata", "ledger", "inbox", "transcripts", "recordings", "summaries")) -> str:
@@ -138,17 +139,16 @@ ORACLES["anti_ledger"] = d_with(D_CANDS) + \
 
 QUERIES["anti_short_id"] = lambda spark, sf: ingest.anti_short_id(_candidates(spark, sf), _inbox(spark, sf))
 ORACLES["anti_short_id"] = d_with(D_CANDS, D_INBOX) + \
-    "SELECT pos, recording_id FROM cands WHERE left(recording_id, 8) NOT IN (SELECT short_id FROM inb)\n"
+    "SELECT pos, recording_id FROM cands WHERE recording_id NOT IN (SELECT recording_id FROM inb)\n"
 
 
 def q_inbox_exists(spark, sf):
-    c = _candidates(spark, sf).withColumn("short_id", P.short_id("recording_id"))
-    return c.join(_inbox(spark, sf), "short_id", "left_semi").select("pos", "recording_id")
+    return _candidates(spark, sf).join(_inbox(spark, sf), "recording_id", "left_semi").select("pos", "recording_id")
 
 
 QUERIES["inbox_exists"] = q_inbox_exists
 ORACLES["inbox_exists"] = d_with(D_CANDS, D_INBOX) + \
-    "SELECT pos, recording_id FROM cands WHERE EXISTS (SELECT 1 FROM inb WHERE inb.short_id = left(cands.recording_id, 8))\n"
+    "SELECT pos, recording_id FROM cands WHERE EXISTS (SELECT 1 FROM inb WHERE inb.recording_id = cands.recording_id)\n"
 
 QUERIES["pull_outcome"] = _outcome
 ORACLES["pull_outcome"] = d_with(D_CANDS, D_META, D_INBOX, D_TX, d_outcome()) + \
@@ -253,7 +253,7 @@ ORDER BY 1
 def _pulled_docs(spark, sf):
     f = fx(spark, sf)
     pulled = ingest.ledger_append(_outcome(spark, sf))
-    meta = _metadata(spark, sf)
+    meta = ingest.one_per_recording(_metadata(spark, sf).drop("meta"))
     rec = f.recordings.select("doc_id", "recording_id")
     return (pulled.join(meta, "recording_id").join(rec, "recording_id")
             .join(f.summaries, "doc_id", "left").join(f.transcripts, "doc_id", "left"))

@@ -37,7 +37,7 @@ def _decoded(spark, sf):
 
 _FENCE = r"(?m)^```(?:json)?" + DWS + r"*|" + DWS + r"*```$"
 _PROMPT = ("'Title: ' || title || chr(10) || chr(10) || 'Summary excerpt:' || chr(10) || "
-           f"coalesce(nullif(substring(coalesce(summary, ''), 1, {vocab.SUMMARY_EXCERPT_CHARS}), ''), "
+           f"coalesce(nullif(summary, ''), "
            f"{sq(vocab.NO_SUMMARY_PLACEHOLDER)})")
 _FIRST_NAMED = "CASE " + " ".join(f"WHEN contains(clean, {sq(c)}) THEN {sq(c)}" for c in vocab.VALID_CATEGORIES) + " END"
 
@@ -58,7 +58,8 @@ rep2 AS (SELECT *, CASE WHEN strict THEN json_type(w, '$[0]') END AS t0,
 rep3 AS (SELECT *,
            CASE WHEN tf IS NULL THEN 0.0
                 WHEN tf = 'BOOLEAN' THEN CASE WHEN json_extract_string(w, '$[0].confidence') = 'true' THEN 1.0 ELSE 0.0 END
-                WHEN tf = 'VARCHAR' THEN TRY_CAST(json_extract_string(w, '$[0].confidence') AS DOUBLE)
+                WHEN tf = 'VARCHAR' THEN CASE WHEN regexp_matches({py_strip("json_extract_string(w, '$[0].confidence')")}, {sq(R.FLOAT_TEXT)})
+                  THEN TRY_CAST(replace({py_strip("json_extract_string(w, '$[0].confidence')")}, '_', '') AS DOUBLE) END
                 WHEN tf IN ('BIGINT', 'UBIGINT', 'DOUBLE') THEN CAST(json_extract_string(w, '$[0].confidence') AS DOUBLE)
            END AS conf_num,
            CASE WHEN tr IS NULL THEN '' WHEN tr = 'VARCHAR' THEN json_extract_string(w, '$[0].reason')
@@ -73,9 +74,8 @@ dec AS (SELECT doc_key, cache_read, cache_create, clean, error,
           CASE WHEN strict THEN json_extract_string(w, '$[0].category') WHEN named IS NOT NULL THEN named
                ELSE {sq(vocab.UNPARSEABLE_CATEGORY)} END AS category,
           CASE WHEN strict THEN conf_num WHEN named IS NOT NULL THEN {vocab.PARSE_FALLBACK_CONFIDENCE} ELSE 0.0 END AS confidence,
-          substring(CASE WHEN strict THEN reason_txt WHEN named IS NOT NULL THEN {sq(vocab.PARSE_FALLBACK_REASON)}
-               ELSE {sq(vocab.UNPARSEABLE_PREFIX)} || substring(clean, 1, {vocab.UNPARSEABLE_ECHO_CHARS}) END,
-               1, {vocab.REASON_MAX_CHARS}) AS reason
+          CASE WHEN strict THEN reason_txt WHEN named IS NOT NULL THEN {sq(vocab.PARSE_FALLBACK_REASON)}
+               ELSE {sq(vocab.UNPARSEABLE_PREFIX)} || clean END AS reason
         FROM rep4),
 ok AS (SELECT * FROM dec WHERE error IS NULL)
 """
@@ -90,11 +90,11 @@ def rq(select: str) -> str:
 
 def q_reclass_batch(spark, sf):
     d = edocs(spark, sf)
-    return R.reclass_batch(d, vocab.DEFAULT_RECLASS_MAX).select("doc_key", "title")
+    return R.reclass_batch(d).select("doc_key", "title")
 
 
 QUERIES["reclass_batch"] = q_reclass_batch
-ORACLES["reclass_batch"] = rq(f"SELECT doc_key, title FROM unc ORDER BY doc_key LIMIT {vocab.DEFAULT_RECLASS_MAX}\n")
+ORACLES["reclass_batch"] = rq("SELECT doc_key, title FROM unc\n")
 
 QUERIES["prompt_text"] = lambda spark, sf: R.with_prompt(_unclassified(spark, sf)).select("doc_key", "prompt")
 ORACLES["prompt_text"] = rq(f"SELECT doc_key, {_PROMPT} AS prompt FROM unc\n")
@@ -113,7 +113,7 @@ ORACLES["verdict_errors"] = rq("SELECT doc_key, error FROM dec WHERE error IS NO
 
 QUERIES["reason_clean"] = lambda spark, sf: R.verdicts_ok(_decoded(spark, sf)).select(
     "doc_key", P.reason_clean("reason").alias("reason_clean"))
-ORACLES["reason_clean"] = rq("SELECT doc_key, replace(substring(reason, 1, 200), '\"', '''') AS reason_clean FROM ok\n")
+ORACLES["reason_clean"] = rq("SELECT doc_key, replace(reason, '\"', '''') AS reason_clean FROM ok\n")
 
 
 def q_verdict_join(spark, sf):
@@ -155,7 +155,7 @@ FROM ok GROUP BY category
 
 
 def q_classify_model(spark, sf):
-    batch = R.with_prompt(R.reclass_batch(_unclassified(spark, sf), vocab.DEFAULT_RECLASS_MAX))
+    batch = R.with_prompt(R.reclass_batch(_unclassified(spark, sf)))
     replies = R.classify_model(batch, R.keyword_scorer)
     return R.verdicts_ok(R.verdict_decode(replies)).select("doc_key", "category", "confidence", "cache_read")
 

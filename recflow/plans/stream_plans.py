@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from recflow.operators.entities import entity_mentions, load_entities
-from recflow.sources.listing import inbox_short_ids
+from recflow.sources.listing import inbox_ids
 from recflow.plans.common import fx
 from recflow.session import shared_dir
 from recflow.streaming import stages as S
@@ -41,7 +41,7 @@ def _ingest_env(spark, sf):
     t = S.IngestTables(root=f"{root}/tables", metadata_path=f"{root}/metadata",
                        transcripts_path=f"{root}/transcripts", inbox_path=f"{root}/inbox")
     f.metadata.write.parquet(t.metadata_path)
-    inbox_short_ids(f.inbox).write.parquet(t.inbox_path)
+    inbox_ids(f.inbox).write.parquet(t.inbox_path)
     f.ledger.write.mode("append").parquet(t.ledger)
     return root, t, (l1, tx1), (l2, tx2)
 

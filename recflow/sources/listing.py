@@ -67,6 +67,14 @@ def ledger_seed(docs: DataFrame, text: str = "text", id_key: str = "recording_id
     return found.select(rid.alias("recording_id")).distinct()
 
 
+def inbox_ids(files: DataFrame, path: str = "file_name", text: str = "text", id_key: str = "recording_id") -> DataFrame:
+    """Full ids of the documents still in the vault: files named ``*--<8 chars>.md`` (no
+    sidecars), the id from the document's own header line."""
+    base = F.substring_index(col(path), "/", -1)
+    docs = files.where(base.rlike(r"(?s)--.{8}\.md\z"))
+    return ledger_seed(docs, text, id_key).where(F.col("recording_id") != "")
+
+
 def inbox_short_ids(files: DataFrame, path: str = "file_name") -> DataFrame:
     """Short ids of vault files named ``*--<8 chars>.md``."""
     base = F.substring_index(col(path), "/", -1)

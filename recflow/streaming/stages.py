@@ -35,11 +35,10 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def _ledger_for(ledger: DataFrame, rows: DataFrame, limit: int = ingest.MAX_BROADCAST_BATCH_IDS) -> DataFrame:
-    """The ledger rows of the given ids only: the ids are broadcast (after a
-    count) so the ever-growing ledger is filtered where it is read."""
-    ids = rows.select("recording_id").distinct()
-    return ledger.join(F.broadcast(ids) if ids.count() <= limit else ids, "recording_id", "left_semi")
+def _only(history: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of a growing table whose ids the batch holds: where the batch's ids are
+    few, AQE broadcasts them and the table is filtered where it is read."""
+    return history.join(rows.select("recording_id").distinct(), "recording_id", "left_semi")
 
 
 @dataclass
@@ -48,7 +47,7 @@ class IngestTables:
     root: str
     metadata_path: str       # parquet (recording_id, meta)
     transcripts_path: str    # parquet (recording_id, transcript): grows as transcripts arrive
-    inbox_path: str | None = None   # parquet (short_id)
+    inbox_path: str | None = None   # parquet (recording_id)
 
     @property
     def ledger(self):
@@ -71,14 +70,14 @@ def ingest_batch(batch: DataFrame, batch_id: int, t: IngestTables) -> None:
     ledger = read_or_empty(spark, t.ledger, "recording_id string")
     retry = read_or_empty(spark, t.retry, "recording_id string, batch_id long")
     # failed pulls of earlier batches come first, in their original order
-    pending_retry = (retry.join(_ledger_for(ledger, retry), "recording_id", "left_anti").groupBy("recording_id")
+    pending_retry = (retry.join(_only(ledger, retry), "recording_id", "left_anti").groupBy("recording_id")
                      .agg(F.min("batch_id").alias("b"))
                      .select((F.col("b") - F.lit(1 << 20)).alias("pos"), "recording_id"))
     cands = pending_retry.unionByName(cands)
     meta = metadata_fields(spark.read.parquet(t.metadata_path))
     tx = spark.read.parquet(t.transcripts_path)
     inbox = (spark.read.parquet(t.inbox_path) if t.inbox_path
-             else spark.createDataFrame([], "short_id string"))
+             else spark.createDataFrame([], "recording_id string"))
     outcome = ingest.pull_outcome(cands, ledger, inbox, meta, tx).persist()
     try:
         pulled = outcome.where(F.col("status") == ingest.PULLED).select("recording_id")
@@ -88,7 +87,7 @@ def ingest_batch(batch: DataFrame, batch_id: int, t: IngestTables) -> None:
                     .join(docs_old.select("recording_id"), "recording_id", "left_anti")
                     .withColumn("batch_id", F.lit(batch_id).cast("long")))
         new_docs.write.mode("append").parquet(t.docs)
-        (pulled.join(_ledger_for(ledger, pulled), "recording_id", "left_anti").distinct()
+        (pulled.join(_only(ledger, pulled), "recording_id", "left_anti").distinct()
          .write.mode("append").parquet(t.ledger))
         failed = (outcome.where(F.col("status") == ingest.FAILED).select("recording_id").distinct()
                   .join(retry.where(F.col("batch_id") == batch_id).select("recording_id"),
