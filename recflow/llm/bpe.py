@@ -33,7 +33,7 @@ ship(__name__)
 
 END = "</w>"
 #: Words whose encodings a task remembers; characters encoded at a time.
-REMEMBERED, CHUNK_CHARS = 200_000, 2_000_000
+REMEMBERED, CHUNK_CHARS = 500_000, 4_000_000
 
 # The word pattern of the vocabulary file, with the white space of the common
 # alphabets spelt out (the library splits texts that hold any other).
@@ -41,6 +41,9 @@ _SPACE = r"\t-\r \x85\xa0"
 _PIECE = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{_SPACE}\p{{L}}\p{{N}}]+"
 
 
+_SHORT = (2, 1)
+
+
 def byte_symbols() -> list[str]:
     """The printable character that stands for each byte in a byte-level vocabulary."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -93,11 +96,16 @@ class Vocabulary:
 
     @staticmethod
     def _lengths(tokens: dict[bytes, int]) -> dict[bytes, tuple[int, ...]]:
-        """Lengths of the tokens that end in these two bytes, longest first, and 1: what may
-        end a prefix that ends so."""
+        """Lengths of the tokens that end in these three bytes (or are these one or two),
+        longest first: what may end a prefix that ends so."""
         found: dict[bytes, set] = {}
         for raw in tokens:
-            found.setdefault(raw[-2:], {1}).add(len(raw))
+            found.setdefault(raw[-3:], set()).add(len(raw))
+        tails = {raw[-3:] for raw in tokens if len(raw) > 2}
+        for tail in tails:
+            found[tail] |= {1} | ({2} if tail[1:] in tokens else set())
+        for tail in [t for t in found if len(t) == 2]:
+            found[tail] |= {1}
         return {tail: tuple(sorted(lengths, reverse=True)) for tail, lengths in found.items()}
 
     def crosses(self, a: int, b: int, but: int = -1) -> bool:
@@ -126,41 +134,45 @@ class Vocabulary:
             known = self.follows[key] = not self.crosses(a, b)
         return known
 
-    def _last(self, word: bytes, end: int, states: list[int], tokens: dict, lengths: dict) -> int:
-        can_follow, follows = self.can_follow, self.follows
-        for size in lengths.get(word[end - 2:end], (1,)) if end > 1 else (1,):
-            start = end - size
-            if start < 0:
-                continue
-            t = tokens.get(word[start:end])
-            if t is not None:
-                if not start:
-                    return t
-                known = follows.get(states[start] << 20 | t)
-                if known or known is None and can_follow(states[start], t):
-                    return t
-        raise ValueError(f"no token ends {word[:end]!r}")
-
     def encode_words(self, words: list[str]) -> Iterator[tuple[str, list[int]]]:
-        """(word, ids) in the depth-first order of the words' trie."""
+        """(word, ids) in the depth-first order of the words' trie.
+
+        ``states[k]`` is the last token of the encoding of the path's first k bytes; a word
+        keeps the states that it shares with the one before it."""
         path, states = b"", [0]
-        inner, final = self.inner_lengths, self.final_lengths
-        for raw, word in sorted((w.encode("utf-8"), w) for w in words):
+        follows, can_follow, length = self.follows, self.can_follow, self.length
+        inner, inner_lengths = self.inner, self.inner_lengths
+        final, final_lengths = self.final, self.final_lengths
+        for raw, word in sorted([(w.encode("utf-8"), w) for w in words]):
+            n = len(raw)
             shared = 0
-            most = min(len(path), len(raw) - 1)
+            most = min(len(path), n - 1)
             while shared < most and path[shared] == raw[shared]:
                 shared += 1
             del states[shared + 1:]
-            for end in range(shared + 1, len(raw)):
-                states.append(self._last(raw, end, states, self.inner, inner))
+            for end in range(shared + 1, n + 1):
+                tokens, lengths = (inner, inner_lengths) if end < n else (final, final_lengths)
+                # no token of three or more ends in an unknown tail, but one of two or one may
+                for size in lengths.get(raw[end - 3:end] if end > 2 else raw[:end], _SHORT):
+                    start = end - size
+                    if start < 0:
+                        continue
+                    t = tokens.get(raw[start:end])
+                    if t is None:
+                        continue
+                    if not start:
+                        break
+                    known = follows.get(states[start] << 20 | t)
+                    if known or known is None and can_follow(states[start], t):
+                        break
+                states.append(t)
             path = raw[:-1]
-            t, at, ids = self._last(raw, len(raw), states, self.final, final), len(raw), []
-            while True:
-                ids.append(t)
-                at -= self.length[t]
-                if not at:
-                    break
+            at, ids = n, []
+            while at:
                 t = states[at]
+                ids.append(t)
+                at -= length[t]
+            states.pop()
             yield word, ids[::-1]
 
     def decode(self, ids) -> str:
@@ -223,12 +235,19 @@ def _learn(vocabulary: Vocabulary, pieces: list[list[str]], known: dict, value)
     known.update((w, value(ids)) for w, ids in vocabulary.encode_words(list(new)))
 
 
+def _held(content, name: str, make):
+    """Made once for each Python worker: a worker process holds a broadcast for all its tasks."""
+    if not hasattr(content, name):
+        setattr(content, name, make())
+    return getattr(content, name)
+
+
 def digester(content):
     """Struct of n_tokens, ids_sha256, decoded_sha256 for whole texts; ``content`` is a
     broadcast of the vocabulary file."""
     def digest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        vocabulary = Vocabulary(content.value)
-        split, known = splitter(vocabulary), {}
+        vocabulary = _held(content, "vocabulary", lambda: Vocabulary(content.value))
+        split, known = splitter(vocabulary), _held(content, "digests", dict)
 
         def value(ids):
             packed = array("I", ids)
@@ -259,7 +278,8 @@ def digester(content):
 def tokeniser(content):
     """Array of token ids for whole texts."""
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        vocabulary, known = Vocabulary(content.value), {}
+        vocabulary = _held(content, "vocabulary", lambda: Vocabulary(content.value))
+        known = _held(content, "ids", dict)
         for texts in batches:
             out: list[list[int]] = []
             part: list[str] = []
@@ -296,7 +316,7 @@ def encoded(docs: DataFrame, text_col: str = "text", path: str | None = None) ->
 def decoded(ids: Column, content) -> Column:
     """Text of an array of ids."""
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        vocabulary = Vocabulary(content.value)
+        vocabulary = _held(content, "vocabulary", lambda: Vocabulary(content.value))
         for batch in batches:
             yield pd.Series([vocabulary.decode(x) for x in batch], dtype=object)
 
