@@ -242,15 +242,24 @@ FROM $recordings
 """)
 
 
-# files: a bucket directory listing.  Every recording has its .md, sidecars
+# files: directory listings.  Every recording has its .md, sidecars
 # where they exist, and for doc_id % 10 = 0 a longer name that starts with the
-# stem (bundled with it); doc_id % 15 = 0 adds a short name no stem prefixes.
+# stem (bundled with it); doc_id % 15 = 0 adds a short name that few stems begin,
+# doc_id % 20 = 0 a sidecar of the same name in another directory.
 _view("files", ["recordings", "summaries", "transcripts"], """
-SELECT stem || '.md' AS file_name FROM $recordings
-UNION ALL SELECT r.stem || '.summary.md' FROM $recordings r JOIN $summaries s ON s.doc_id = r.doc_id WHERE s.summary IS NOT NULL
-UNION ALL SELECT r.stem || '.transcript.txt' FROM $recordings r JOIN $transcripts t ON t.doc_id = r.doc_id
-UNION ALL SELECT stem || ' (conflict).md' FROM $recordings WHERE doc_id % 10 = 0
-UNION ALL SELECT left(stem, 24) || '.md' FROM $recordings WHERE doc_id % 15 = 0
+SELECT '_raw' AS directory, stem || '.md' AS file_name FROM $recordings
+UNION ALL SELECT '_raw', r.stem || '.summary.md' FROM $recordings r JOIN $summaries s ON s.doc_id = r.doc_id WHERE s.summary IS NOT NULL
+UNION ALL SELECT '_raw', r.stem || '.transcript.txt' FROM $recordings r JOIN $transcripts t ON t.doc_id = r.doc_id
+UNION ALL SELECT '_raw', stem || ' (conflict).md' FROM $recordings WHERE doc_id % 10 = 0
+UNION ALL SELECT '_raw', left(stem, 24) || '.md' FROM $recordings WHERE doc_id % 15 = 0
+UNION ALL SELECT 'Business', stem || '.summary.md' FROM $recordings WHERE doc_id % 20 = 0
+""")
+
+# located: where each document lies; for doc_id % 30 = 0 there is also one whose
+# stem is the beginning of the recording's (their files have two candidates).
+_view("located", ["recordings"], """
+SELECT '_raw' AS directory, stem FROM $recordings
+UNION ALL SELECT '_raw', left(stem, 24) FROM $recordings WHERE doc_id % 30 = 0
 """)
 
 

@@ -1,15 +1,14 @@
 """Enrichment (L3) of routed documents: mentions, action items, delivery
 candidates, idempotent sink rows, header patches and batch counts.
 
-Three independent branches hang off one prepared document table and meet
-again on ``doc_key``; every sink is "candidates left_anti existing".
+Every branch hangs off two tables made from the texts, mentions and facts; every
+sink is "candidates left_anti existing".
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,9 +16,10 @@ from recflow.functions import vocab
 from recflow.functions.projections import (bracket_list, delivery_text, recorded_date,
                                            search_text, title_fallback)
 from recflow.operators.actions import action_items
-from recflow.operators.delivery import delivery_candidates
+from recflow.operators.delivery import delivery_signal
 from recflow.operators.entities import company_hits, entity_mentions, mention_list
 from recflow.operators.sinks import append_new, backlink_line, candidate_line, rollup_block
+from recflow.session import shared_dir
 
 
 def enrich_pending(df: DataFrame, reenrich_on_category_change: bool = False) -> DataFrame:
@@ -59,99 +59,109 @@ def prepare(docs: DataFrame, run_date: str, key: str = "doc_key") -> DataFrame:
     })
 
 
-@dataclass
-class EnrichResult:
-    prepared: DataFrame
-    mentions: DataFrame
-    items: DataFrame
-    candidates: DataFrame
-    new_backlinks: DataFrame
-    new_blocks: DataFrame
-    new_candidates: DataFrame
-    patches: DataFrame
-    counts: DataFrame
+class EnrichBatch:
+    """One enrichment run.  The texts are read twice, by two tables that are written to the
+    shared folder when first needed: ``mentions``, and ``facts`` (a row per pending document
+    with its dates, action items and delivery signal, no texts).  Lists, links, candidates,
+    blocks, patches and counts derive from these small tables."""
 
-    def release(self) -> None:
-        """Drop the persisted prepared table (if any) once the sinks are written."""
-        if self.prepared.storageLevel.useMemory or self.prepared.storageLevel.useDisk:
-            self.prepared.unpersist()
-
-
-def enrich_batch(docs: DataFrame, summaries: DataFrame, transcripts: DataFrame, entities: DataFrame,
+    def __init__(self, docs: DataFrame, summaries: DataFrame, transcripts: DataFrame, entities: DataFrame,
                  run_date: str, enriched_at: str, existing_backlinks: DataFrame | None = None,
                  existing_blocks: DataFrame | None = None, existing_candidates: DataFrame | None = None,
-                 key: str = "doc_key", materialize: str | None = None,
-                 reenrich_on_category_change: bool = False) -> EnrichResult:
-    """docs(key, title, category, status, recorded_at, uploaded_at, has_header).
-
-    ``materialize``: None (default) lets every branch recompute the prepared
-    table with only the columns it needs (each text column is used by one
-    branch, so Catalyst prunes the rest; measured faster than caching the wide
-    table); "persist" or "checkpoint" compute it once, for sidecar joins that
-    are expensive to repeat."""
-    if "has_header" not in docs.columns:
-        docs = docs.withColumn("has_header", F.lit(True))
-    pending = enrich_pending(docs, reenrich_on_category_change)
-    p = prepare(sidecars_joined(pending, summaries, transcripts, key), run_date, key)
-    if materialize == "persist":
-        # the prepared table feeds five branches (and the mention join twice):
-        # computed once, kept in memory and on local disk, recomputed from its
-        # lineage if an executor is lost
-        p = p.persist(StorageLevel.MEMORY_AND_DISK)
-    elif materialize == "checkpoint":
-        # lineage cut with a reliable copy in spark.checkpoint.dir
-        p = p.checkpoint(eager=True)
-
-    mentions = entity_mentions(p.select(key, F.col("search_text").alias("text")), entities, key=key)
-    names = mention_list(mentions, key, "entity_names")
-    companies = mention_list(company_hits(mentions), key, "companies")
-
-    items = (action_category_gate(p)
-             .select(key, "recorded_date", action_items("summary").alias("items"))
-             .where(F.size("items") > 0))
-    blocks = items.select("recorded_date", key, rollup_block(key, "items").alias("block"))
-    new_blocks = append_new(blocks, existing_blocks, ["recorded_date", key], prune_on="recorded_date")
-
-    cands = delivery_candidates(p.select(key, "category", "delivery_text", "recorded_date", "title_eff"),
-                                companies, key)
-    cands = cands.select(key, "recorded_date", "title_eff", "companies",
-                         candidate_line("recorded_date", key, "companies", "title_eff").alias("line"))
+                 key: str = "doc_key", reenrich_on_category_change: bool = False,
+                 categories: list[str] | None = None):
+        """docs(key, title, category, status, recorded_at, uploaded_at, has_header);
+        ``categories``: the buckets that are enriched (default: all given)."""
+        if categories is not None:
+            docs = docs.where(F.col("category").isin(categories))
+        if "has_header" not in docs.columns:
+            docs = docs.withColumn("has_header", F.lit(True))
+        pending = enrich_pending(docs, reenrich_on_category_change)
+        self.docs, self.key, self.entities, self.enriched_at = docs, key, entities, enriched_at
+        self.existing = existing_backlinks, existing_blocks, existing_candidates
+        self.prepared = prepare(sidecars_joined(pending, summaries, transcripts, key), run_date, key)
+
+    def _stored(self, df: DataFrame, name: str) -> DataFrame:
+        spark = df.sparkSession
+        path = shared_dir(spark, f"enrich-{name}")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    @cached_property
+    def facts(self) -> DataFrame:
+        gated = F.col("category").isin(vocab.ACTION_CATEGORIES)
+        found = F.when(gated, action_items("summary"))
+        business = F.col("category") == "Business"
+        return self._stored(self.prepared.select(
+            self.key, "has_header", "status", "category", "recorded_date", "title_eff",
+            F.when(F.size(found) > 0, found).alias("items"),
+            F.when(business, delivery_signal("delivery_text")).otherwise(F.lit(False)).alias("signal")), "facts")
+
+    @cached_property
+    def mentions(self) -> DataFrame:
+        texts = self.prepared.select(self.key, F.col("search_text").alias("text"))
+        return self._stored(entity_mentions(texts, self.entities, key=self.key), "mentions")
+
+    @cached_property
+    def names(self) -> DataFrame:
+        return mention_list(self.mentions, self.key, "entity_names")
+
+    @cached_property
+    def items(self) -> DataFrame:
+        return self.facts.where(F.col("items").isNotNull()).select(self.key, "recorded_date", "items")
+
+    @cached_property
+    def new_blocks(self) -> DataFrame:
+        blocks = self.items.select("recorded_date", self.key, rollup_block(self.key, "items").alias("block"))
+        return append_new(blocks, self.existing[1], ["recorded_date", self.key], prune_on="recorded_date")
+
+    @cached_property
+    def candidates(self) -> DataFrame:
+        companies = mention_list(company_hits(self.mentions), self.key, "companies")
+        return (self.facts.where("signal").join(companies, self.key)
+                .select(self.key, "recorded_date", "title_eff", "companies",
+                        candidate_line("recorded_date", self.key, "companies", "title_eff").alias("line")))
+
     # sink keys lead with recorded_date (the lines embed it, so the key is the
     # same): against sinks partitioned by day, dynamic partition pruning reads
     # only the days of this batch instead of the whole history
-    new_cands = append_new(cands, existing_candidates, ["recorded_date", "line"], prune_on="recorded_date")
-
-    backlinks = mentions.join(p.select(key, "recorded_date", "title_eff"), key).select(
-        F.col("name").alias("entity"), key, "recorded_date",
-        backlink_line("recorded_date", key, "title_eff").alias("line"))
-    new_backlinks = append_new(backlinks, existing_backlinks, ["recorded_date", "entity", "line"],
-                               prune_on="recorded_date")
-
-    facts = (p.select(key, "has_header", "status", "category")
-             .join(names, key, "left")
-             .join(items.select(key, F.col("recorded_date").alias("rollup_date"),
-                                F.size("items").alias("n_items")), key, "left")
-             .join(new_cands.select(key, F.lit(True).alias("vdc_added")), key, "left"))
-    has = F.col("has_header")
-    patches = facts.select(
-        key,
-        F.when(has & F.col("status").isNotNull(), F.lit(vocab.STATUS_ENRICHED))
-         .otherwise(F.col("status")).alias("status"),
-        F.when(has, F.lit(enriched_at)).alias("enriched_at"),
-        F.when(has, bracket_list("entity_names")).alias("entity_mentions"),
-        F.when(has & F.col("rollup_date").isNotNull(),
-               F.concat(F.lit('"[['), F.col("rollup_date"), F.lit(']]"'))).alias("action_items_rollup"),
-        F.when(has & F.col("vdc_added").isNotNull(), F.lit(True)).alias("vdc_candidate"),
-        F.when(has, F.col("category")).alias("enriched_category"),
-        F.coalesce(F.size("entity_names"), F.lit(0)).alias("n_hits"),
-        F.col("rollup_date").isNotNull().alias("has_rollup"),
-        F.coalesce("vdc_added", F.lit(False)).alias("vdc_added"))
-
-    counts = (docs.select(key).join(patches.select(key, "n_hits", "has_rollup", "vdc_added",
-                                                   F.lit(True).alias("_pending")), key, "left")
-              .agg(F.count_if(F.col("_pending").isNotNull()).alias("enriched"),
-                   F.count_if(F.col("_pending").isNull()).alias("skipped"),
-                   F.coalesce(F.sum("n_hits"), F.lit(0)).cast("bigint").alias("entity_hits"),
-                   F.count_if(F.col("has_rollup")).alias("action_rollups"),
-                   F.count_if(F.col("vdc_added")).alias("vdc_candidates")))
-    return EnrichResult(p, mentions, items, cands, new_backlinks, new_blocks, new_cands, patches, counts)
+    @cached_property
+    def new_candidates(self) -> DataFrame:
+        return append_new(self.candidates, self.existing[2], ["recorded_date", "line"], prune_on="recorded_date")
+
+    @cached_property
+    def new_backlinks(self) -> DataFrame:
+        backlinks = self.mentions.join(self.facts.select(self.key, "recorded_date", "title_eff"), self.key).select(
+            F.col("name").alias("entity"), self.key, "recorded_date",
+            backlink_line("recorded_date", self.key, "title_eff").alias("line"))
+        return append_new(backlinks, self.existing[0], ["recorded_date", "entity", "line"], prune_on="recorded_date")
+
+    @cached_property
+    def patches(self) -> DataFrame:
+        found = (self.facts.join(self.names, self.key, "left")
+                 .join(self.new_candidates.select(self.key, F.lit(True).alias("vdc_added")), self.key, "left"))
+        has, rolled = F.col("has_header"), F.col("items").isNotNull()
+        return found.select(
+            self.key,
+            F.when(has & F.col("status").isNotNull(), F.lit(vocab.STATUS_ENRICHED))
+             .otherwise(F.col("status")).alias("status"),
+            F.when(has, F.lit(self.enriched_at)).alias("enriched_at"),
+            F.when(has, bracket_list("entity_names")).alias("entity_mentions"),
+            F.when(has & rolled, F.concat(F.lit('"[['), F.col("recorded_date"), F.lit(']]"'))).alias("action_items_rollup"),
+            F.when(has & F.col("vdc_added").isNotNull(), F.lit(True)).alias("vdc_candidate"),
+            F.when(has, F.col("category")).alias("enriched_category"))
+
+    @cached_property
+    def counts(self) -> DataFrame:
+        done = self.facts.agg(F.count(F.lit(1)).alias("enriched"), F.count("items").alias("action_rollups"))
+        return done.select(
+            "enriched",
+            (self.docs.agg(F.count(F.lit(1))).scalar() - F.col("enriched")).alias("skipped"),
+            self.mentions.agg(F.count(F.lit(1))).scalar().alias("entity_hits"),
+            "action_rollups",
+            self.new_candidates.agg(F.count(F.lit(1))).scalar().alias("vdc_candidates"))
+
+
+def enrich_batch(docs: DataFrame, summaries: DataFrame, transcripts: DataFrame, entities: DataFrame,
+                 run_date: str, enriched_at: str, **options) -> EnrichBatch:
+    return EnrichBatch(docs, summaries, transcripts, entities, run_date, enriched_at, **options)

@@ -38,16 +38,17 @@ def classify_title(df: DataFrame, title: str = "title", rules=vocab.ROUTING_RULE
 def rule_hits(df: DataFrame, title: str = "title", rules=vocab.ROUTING_RULES) -> DataFrame:
     """Tuning view: for every rule keyword, how many titles contain it.
 
-    Each keyword is one JVM regex test per row; the (rule, keyword) pairs are
-    exploded from an array of literals, so no join is involved.
+    One regex per rule decides whether any keyword of it occurs; only then its keywords
+    are tested one by one, and only hits are exploded.
     """
     t = F.coalesce(col(title), F.lit(""))
     hits = []
     for category, _blocked, words in rules:
-        for w in words:
-            hits.append(F.when(t.rlike(words_pattern([w])),
-                               F.struct(F.lit(category).alias("category"), F.lit(w).alias("keyword"))))
-    exploded = df.select(F.explode(F.array(*hits)).alias("h")).where(F.col("h").isNotNull())
+        each = F.array(*(F.when(t.rlike(words_pattern([w])), F.struct(F.lit(category).alias("category"), F.lit(w).alias("keyword")))
+                         for w in words))
+        none = F.array().cast("array<struct<category:string,keyword:string>>")
+        hits.append(F.when(t.rlike(words_pattern(words)), F.array_compact(each)).otherwise(none))
+    exploded = df.select(F.explode(F.concat(*hits)).alias("h"))
     return (exploded.groupBy(F.col("h.category").alias("category"), F.col("h.keyword").alias("keyword"))
             .agg(F.count(F.lit(1)).alias("n_titles")))
 
@@ -73,15 +74,19 @@ def patch_routed(df: DataFrame, routed_at: str) -> DataFrame:
 
 
 def sibling_bundle(docs: DataFrame, files: DataFrame, stem: str = "stem",
-                   file_name: str = "file_name") -> DataFrame:
-    """Files whose name starts with a document's stem travel with it.
+                   file_name: str = "file_name", directory: str = "directory") -> DataFrame:
+    """Files of a document's directory whose name starts with its stem travel with it;
+    a file that several stems begin goes with the first document in path order.
 
     A prefix join without a nested loop: every file name is expanded to its
     prefixes of the lengths stems actually have (a set bounded by the longest
-    file name, so it is broadcast), then equi-joined on the prefix.
+    file name, so it is broadcast), then equi-joined on directory and prefix.
     """
     lengths = docs.select(F.length(stem).alias("_len")).distinct()
-    pre = (files.select(file_name, F.explode(F.sequence(F.lit(1), F.length(file_name))).alias("_len"))
+    pre = (files.select(directory, file_name, F.explode(F.sequence(F.lit(1), F.length(file_name))).alias("_len"))
            .join(F.broadcast(lengths), "_len"))
-    keyed = pre.select(file_name, F.left(F.col(file_name), F.col("_len")).alias(stem))
-    return keyed.join(docs.select(stem).distinct(), stem)
+    keyed = pre.select(directory, file_name, F.left(F.col(file_name), F.col("_len")).alias(stem))
+    found = keyed.join(docs.select(directory, stem).distinct(), [directory, stem])
+    first = F.min(F.concat(F.col(stem), F.lit(".md"))).alias("_doc")
+    return (found.groupBy(directory, file_name).agg(first)
+            .select(directory, F.expr("left(_doc, length(_doc) - 3)").alias(stem), file_name))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recflow.functions import vocab
-from recflow.functions.projections import bracket_list, has_summary, title_escape, wikilinks
+from recflow.functions.projections import has_summary, title_escape, wikilinks
 from recflow.functions.text import col, wikilink
 from recflow.session import shared_dir
 
@@ -102,10 +102,6 @@ def rollup_block(stem, items) -> Column:
                     F.array_join(boxes, "\n"), F.lit("\n"))
 
 
-def mentions_header(names) -> Column:
-    return bracket_list(names)
-
-
 def audit_events(df: DataFrame, stage: str, ts: str, key: str, event: Column,
                  detail: Column | None = None) -> DataFrame:
     """One audit row per document: (ts, stage, doc_key, event, detail)."""

@@ -54,15 +54,18 @@ def run_cycle(spark: SparkSession, fx: Fixtures, run_date: str, run_ts: str,
     current = spark.read.parquet(routed_path)
     sums = spark.read.parquet(f"{root}/docs").select("doc_key", "summary")
     batch = R.with_prompt(R.reclass_batch(current, max_reclass).join(sums, "doc_key", "left"))
-    decoded = R.verdict_decode(R.classify_model(batch, scorer))
+    # the replies are written once: the model is asked once for each document, and the
+    # counts, the patches and the audit rows all read the same verdicts
+    R.classify_model(batch, scorer).write.parquet(f"{root}/replies")
+    decoded = R.verdict_decode(spark.read.parquet(f"{root}/replies"))
     patched = R.patch_reclassified(R.verdict_join(current, decoded), "scorer", run_ts)
-    write_partitioned(spark, patched.drop("llm"), "cycle-reclassified", "category", f"{root}/reclassified")
+    write_partitioned(spark, patched, "cycle-reclassified", "category", f"{root}/reclassified")
 
     # L3 enrich over the new snapshot
     final_docs = spark.read.parquet(f"{root}/reclassified")
     side = spark.read.parquet(f"{root}/docs")
     result = E.enrich_batch(final_docs, side.select("doc_key", "summary"), side.select("doc_key", "transcript"),
-                            load_entities(fx.entities_src), run_date, run_ts)
+                            load_entities(fx.entities_src), run_date, run_ts, categories=vocab.BUCKETS)
     sinks = write_enrich_sinks(result, f"{root}/sinks")
     return {
         "root": root, "sinks": sinks,

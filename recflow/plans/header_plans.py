@@ -59,9 +59,11 @@ SELECT doc_id, length({_d_section('text', 'AI Summary')}) AS summary_chars,
 """
 
 QUERIES["sibling_bundle"] = lambda spark, sf: route.sibling_bundle(
-    fx(spark, sf).recordings.select("stem"), fx(spark, sf).files).select("stem", "file_name")
-ORACLES["sibling_bundle"] = duckdb_with(["files"]) + """
-SELECT r.stem, f.file_name FROM recordings r JOIN files f ON starts_with(f.file_name, r.stem)
+    fx(spark, sf).located, fx(spark, sf).files).select("directory", "stem", "file_name")
+ORACLES["sibling_bundle"] = duckdb_with(["files", "located"]) + """
+SELECT directory, stem, file_name FROM (SELECT f.directory, l.stem, f.file_name FROM located l
+  JOIN files f ON f.directory = l.directory AND starts_with(f.file_name, l.stem))
+QUALIFY row_number() OVER (PARTITION BY directory, file_name ORDER BY stem || '.md') = 1
 """
 
 

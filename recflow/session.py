@@ -1,8 +1,8 @@
 """Session construction and the shared working folder.
 
 On a cluster the working folder is the one the cluster names in
-``spark.checkpoint.dir`` (a shared file system); only when that is unset, as in
-tests and local runs, a fresh local folder is made.
+``spark.checkpoint.dir`` (a shared file system); without that setting a cluster
+run is refused.  A local run (one machine) gets a fresh local folder instead.
 """
 
 from __future__ import annotations
@@ -47,7 +47,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # local runs and tests only: a cluster names its shared folder
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a folder that "
+                               "the driver and all executors share")
+        # local runs and tests only
         configured = tempfile.mkdtemp(prefix="recflow-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured

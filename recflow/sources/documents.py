@@ -71,10 +71,11 @@ def header_entries(text) -> Column:
 
 def frontmatter_map(text) -> Column:
     """MAP<STRING,STRING> of the header; the last duplicate key wins."""
-    entries = header_entries(text)
-    last = F.filter(entries, lambda e, i: ~F.exists(
-        F.slice(entries, i + 2, F.greatest(F.size(entries), F.lit(1))), lambda x: x["key"] == e["key"]))
-    return F.map_from_entries(last)
+    # one fold over the entries: inside a lambda, an expression outside it would be
+    # evaluated again for every header line
+    empty = F.create_map().cast("map<string,string>")
+    return F.aggregate(header_entries(text), empty, lambda seen, e: F.map_concat(
+        F.map_filter(seen, lambda k, _: k != e["key"]), F.create_map(e["key"], e["value"])))
 
 
 def frontmatter_title(text, stem) -> Column:
