@@ -1,24 +1,29 @@
-"""Registered streaming plans (rows-only checks: the results depend on
-arrival order, so they are verified by pytest against batch runs).
+"""Registered streaming plans and their DuckDB oracles.
 
 Each plan splits a derived table into two drops (even doc ids, then odd doc
 ids plus repeats), runs the stream to completion with availableNow, adds the
 second drop, runs it again from the same checkpoint and reads the sink back.
+The results don't depend on the order of arrival within a drop.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import re
 
-from pyspark.sql import Window
+from pyspark.sql import functions as F
 
-from recflow.operators.entities import entity_mentions, load_entities
-from recflow.sources.listing import inbox_ids
-from recflow.plans.common import fx
+from recflow.fixtures import duckdb_with
+from recflow.operators.entities import load_entities
+from recflow.plans import ingest_plans as IP
+from recflow.plans.common import ENRICH_TS, PULL_TS, RUN_DATE, fx
+from recflow.plans.enrich_plans import E_CTES, E_VIEWS
+from recflow.plans.oracle_sql import blocked_case, category_case, sq
 from recflow.session import shared_dir
+from recflow.sources.listing import inbox_ids
 from recflow.streaming import stages as S
 
 QUERIES: dict = {}
+ORACLES: dict = {}
 
 
 def _drops(df, doc_col="doc_id"):
@@ -38,9 +43,10 @@ def _ingest_env(spark, sf):
     # transcripts of doc_id % 5 = 1 arrive late: those pulls fail first, then succeed on retry
     tx1 = tx.where(F.col("doc_id") % 5 != 1).select("recording_id", "transcript")
     tx2 = tx.where(F.col("doc_id") % 5 == 1).select("recording_id", "transcript")
-    t = S.IngestTables(root=f"{root}/tables", metadata_path=f"{root}/metadata",
-                       transcripts_path=f"{root}/transcripts", inbox_path=f"{root}/inbox")
+    t = S.IngestTables(root=f"{root}/tables", metadata_path=f"{root}/metadata", summaries_path=f"{root}/summaries",
+                       transcripts_path=f"{root}/transcripts", inbox_path=f"{root}/inbox", pulled_at=PULL_TS)
     f.metadata.write.parquet(t.metadata_path)
+    f.summaries.join(rec, "doc_id").select("recording_id", "summary").write.parquet(t.summaries_path)
     inbox_ids(f.inbox).write.parquet(t.inbox_path)
     f.ledger.write.mode("append").parquet(t.ledger)
     return root, t, (l1, tx1), (l2, tx2)
@@ -60,14 +66,15 @@ def _run_ingest(spark, sf):
 
 def q_stream_ingest(spark, sf):
     _root, t = _run_ingest(spark, sf)
-    return spark.read.parquet(t.docs).select("recording_id", "name", "batch_id")
+    return spark.read.parquet(t.docs).select("recording_id", "doc_key", "text")
 
 
 def q_retry_failed(spark, sf):
+    """Every id whose pull failed in some batch, and whether a later batch pulled it."""
     _root, t = _run_ingest(spark, sf)
-    retry = spark.read.parquet(t.retry).groupBy("recording_id").agg(F.min("batch_id").alias("failed_batch"))
-    docs = spark.read.parquet(t.docs).select("recording_id", F.col("batch_id").alias("pulled_batch"))
-    return retry.join(docs, "recording_id", "left")
+    failed = spark.read.parquet(t.retry).select("recording_id").distinct()
+    docs = spark.read.parquet(t.docs).select("recording_id", F.lit(True).alias("pulled"))
+    return failed.join(docs, "recording_id", "left").select("recording_id", F.coalesce("pulled", F.lit(False)).alias("pulled"))
 
 
 def q_stream_route(spark, sf):
@@ -77,26 +84,17 @@ def q_stream_route(spark, sf):
     return spark.read.parquet(out).select("recording_id", "category", "sync_blocked")
 
 
-def q_stream_enrich(spark, sf):
-    """Mentions of the summaries of each newly pulled batch, appended idempotently."""
+def _run_enrich(spark, sf):
     root, t = _run_ingest(spark, sf)
-    f = fx(spark, sf)
-    summaries = f.summaries.join(f.recordings.select("doc_id", "recording_id"), "doc_id") \
-        .select("recording_id", F.coalesce("summary", F.lit("")).alias("text"))
-    ents = load_entities(f.entities_src)
-    out = f"{root}/mentions"
+    ents = load_entities(fx(spark, sf).entities_src)
+    S.start_enrich(spark, t.docs, ents, f"{root}/enriched", f"{root}/checkpoint/enrich", RUN_DATE, ENRICH_TS).awaitTermination()
+    return f"{root}/enriched"
 
-    def enrich(batch, batch_id):
-        docs = batch.select("recording_id").join(summaries, "recording_id")
-        m = entity_mentions(docs, ents, key="recording_id").select("recording_id", "name", "type")
-        old = S.read_or_empty(spark, out, "recording_id string, name string, type string")
-        m.join(old, ["recording_id", "name"], "left_anti").write.mode("append").parquet(out)
 
-    schema = "recording_id string, name string, start_at string, created_at string, batch_id long"
-    q = (spark.readStream.schema(schema).parquet(t.docs).writeStream.foreachBatch(enrich)
-         .option("checkpointLocation", f"{root}/checkpoint/enrich").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return S.read_or_empty(spark, out, "recording_id string, name string, type string")
+def q_stream_enrich(spark, sf):
+    """The header patches of every document that the stream pulled and enriched."""
+    return S.read_or_empty(spark, f"{_run_enrich(spark, sf)}/patches", S.PATCHES_SCHEMA).select(
+        "recording_id", "entity_mentions", "action_items_rollup", "vdc_candidate")
 
 
 def _events_env(spark, sf):
@@ -110,56 +108,36 @@ def _events_env(spark, sf):
     return root, e1.drop("doc_id"), e2.drop("doc_id")
 
 
-def _run_events(spark, sf, build, name, mode="append", sink_batch=None):
+def _run_events(spark, sf, each):
+    """Both drops through ``each(batch, batch_id, root)``; returns the root folder."""
     root, e1, e2 = _events_env(spark, sf)
-    src_dir, out, ck = f"{root}/events", f"{root}/{name}", f"{root}/checkpoint/{name}"
     for i, e in enumerate((e1, e2)):
-        e.write.parquet(f"{src_dir}/drop{i}")
-        stream = build(spark.readStream.schema("recording_id string, recorded_at timestamp")
-                       .option("recursiveFileLookup", "true").parquet(src_dir))
-        w = stream.writeStream.option("checkpointLocation", ck).trigger(availableNow=True).outputMode(mode)
-        q = w.foreachBatch(sink_batch(out)).start() if sink_batch else w.format("parquet").option("path", out).start()
-        q.awaitTermination()
-    return out
+        e.write.parquet(f"{root}/events/drop{i}")
+        stream = (spark.readStream.schema("recording_id string, recorded_at timestamp")
+                  .option("recursiveFileLookup", "true").parquet(f"{root}/events"))
+        (stream.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+         .foreachBatch(lambda df, bid: each(df, bid, root)).start().awaitTermination())
+    return root
 
 
-def q_stream_dedup(spark, sf):
-    out = _run_events(spark, sf, S.dedup_stream, "dedup")
-    return spark.read.parquet(out).select("recording_id", "recorded_at")
+def _deduplicated(spark, sf):
+    root = _run_events(spark, sf, lambda df, bid, root: S.dedup_batch(df, bid, f"{root}/dedup") and None)
+    return spark.read.parquet(f"{root}/dedup")
 
 
-def _batch_sink(out):
-    def write(batch, batch_id):
-        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(out)
-    return write
+def q_stream_dedup(spark, sf):
+    return _deduplicated(spark, sf).select("recording_id", F.date_format("recorded_at", "yyyy-MM-dd HH:mm:ss").alias("recorded_at"))
 
 
 def q_late_arrivals(spark, sf):
-    """Rows the 90-day watermark still admitted although they arrived after a
-    newer event (late = older than the newest event of earlier batches)."""
-    out = _run_events(spark, sf, S.dedup_stream, "late", sink_batch=_batch_sink)
-    rows = spark.read.parquet(out)
-    # one row per micro-batch (bounded by the number of batches), so the
-    # running maximum over earlier batches is a tiny window
-    per_batch = rows.groupBy("batch_id").agg(F.max("recorded_at").alias("batch_max"))
-    earlier = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, -1)
-    seen = per_batch.select("batch_id", F.max("batch_max").over(earlier).alias("seen_max"))
-    return (rows.join(F.broadcast(seen), "batch_id", "left")
-            .select("recording_id", "recorded_at", "batch_id",
-                    F.coalesce(F.col("recorded_at") < F.col("seen_max"), F.lit(False)).alias("late")))
+    """Rows that arrived after a newer event of an earlier batch are kept and marked."""
+    return _deduplicated(spark, sf).select("recording_id", "late")
 
 
 def q_stream_daily_counts(spark, sf):
-    def sink(out):
-        def write(batch, batch_id):
-            (batch.select(F.col("day.start").alias("day_start"), "n_recordings",
-                          F.lit(batch_id).cast("long").alias("batch_id"))
-             .write.mode("append").parquet(out))
-        return write
-
-    out = _run_events(spark, sf, S.daily_counts_stream, "daily", mode="update", sink_batch=sink)
-    rows = spark.read.parquet(out)
-    return rows.groupBy("day_start").agg(F.max_by("n_recordings", "batch_id").alias("n_recordings"))
+    root = _run_events(spark, sf, lambda df, bid, root: S.daily_counts_batch(df, bid, f"{root}/dedup", f"{root}/daily"))
+    return (spark.read.parquet(f"{root}/daily").groupBy(F.date_format("day_start", "yyyy-MM-dd").alias("day"))
+            .agg(F.sum("n_recordings").alias("n_recordings")))
 
 
 QUERIES.update({
@@ -171,3 +149,41 @@ QUERIES.update({
     "late_arrivals": q_late_arrivals,
     "stream_daily_counts": q_stream_daily_counts,
 })
+
+# ---------------------------------------------------------------- oracle side
+
+_OUTCOME = IP.d_with(IP.D_CANDS, IP.D_META, IP.D_INBOX, IP.D_TX, IP.d_outcome())
+ORACLES["stream_ingest"] = IP.ORACLES["unified_document"]
+ORACLES["retry_failed"] = _OUTCOME + """
+SELECT DISTINCT b.recording_id, b.base = 'pulled' AS pulled
+FROM base b LEFT JOIN recordings r ON r.recording_id = b.recording_id
+WHERE b.base = 'failed' OR (b.base = 'pulled' AND (b.pos // 8) % 2 = 0 AND r.doc_id % 5 = 1)
+"""
+ORACLES["stream_route"] = _OUTCOME + f"""
+SELECT recording_id, category, {blocked_case('category')} AS sync_blocked FROM (
+  SELECT o.recording_id, {category_case('m.name')} AS category
+  FROM outcome o JOIN meta m ON m.recording_id = o.recording_id WHERE o.status = 'pulled')
+"""
+_PULLED_E = (re.sub(r"\bcands\b", "queue_cands", E_CTES).replace("SELECT doc_id, stem AS doc_key,", "SELECT doc_id, recording_id AS doc_key,")
+             .replace("WHERE status IS NULL OR status <> 'enriched'",
+                      "WHERE doc_key IN (SELECT recording_id FROM outcome WHERE status = 'pulled')"))
+ORACLES["stream_enrich"] = IP.d_with(
+    IP.D_CANDS, IP.D_META, IP.D_INBOX, IP.D_TX, IP.d_outcome(),
+    views=("listing", "metadata", "ledger", "inbox", *E_VIEWS)).rstrip("\n") + "," + _PULLED_E + """
+SELECT p.doc_key AS recording_id, coalesce(m.entity_mentions, '[]') AS entity_mentions,
+  CASE WHEN g.doc_key IS NOT NULL THEN '"[[' || g.recorded_date || ']]"' END AS action_items_rollup,
+  CASE WHEN c.doc_key IS NOT NULL THEN true END AS vdc_candidate
+FROM prep p LEFT JOIN mlist m ON m.doc_key = p.doc_key LEFT JOIN gated g ON g.doc_key = p.doc_key
+LEFT JOIN queue_cands c ON c.doc_key = p.doc_key
+"""
+_EVENTS = duckdb_with(["recordings"]) + """, ev AS (
+  SELECT doc_id, recording_id, replace(substring(recorded_at, 1, 19), 'T', ' ') AS recorded_at
+  FROM recordings WHERE recorded_at <> '')
+"""
+ORACLES["stream_dedup"] = _EVENTS + "SELECT DISTINCT recording_id, recorded_at FROM ev\n"
+ORACLES["late_arrivals"] = _EVENTS + """
+SELECT recording_id, doc_id % 2 = 1 AND recorded_at < (SELECT max(recorded_at) FROM ev WHERE doc_id % 2 = 0) AS late FROM ev
+"""
+ORACLES["stream_daily_counts"] = _EVENTS + """
+SELECT substring(recorded_at, 1, 10) AS day, count(DISTINCT recording_id) AS n_recordings FROM ev GROUP BY 1
+"""

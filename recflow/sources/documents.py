@@ -20,7 +20,7 @@ HEADER_RE = r"(?s)\A---\n(.*?)\n---\n"
 WS_NO_NL = WS[:-1] + r"&&[^\n]]"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
@@ -34,7 +34,7 @@ def scan_documents(spark: SparkSession, root: str, buckets: list[str] | None = N
     # Bucket folders are passed as roots: Spark's listing skips children whose
     # name starts with '_' (such as '_unclassified') or '.'.
     paths = [f"{root.rstrip('/')}/{b}" for b in (buckets or vocab.BUCKETS)]
-    paths = [p for p in paths if _exists(spark, p)]
+    paths = [p for p in paths if path_exists(spark, p)]
     if not paths:
         return spark.createDataFrame([], "bucket string, file_name string, stem string, text string")
     df = (spark.read.option("pathGlobFilter", "*.md").option("recursiveFileLookup", "true")

@@ -3,12 +3,14 @@
 The polling loop becomes a file-source stream with ``trigger(availableNow)``
 (or a processing-time trigger); the checkpoint makes every file count once.
 Each micro-batch runs the same batch functions inside ``foreachBatch`` and
-writes idempotently (anti-join on the natural key before appending), so a
-replayed batch after an executor or driver loss writes nothing twice.
-
-Tables live in a shared folder (under ``spark.checkpoint.dir``):
-``ledger`` (recording_id), ``docs`` (pulled recordings), ``retry``
-(recording_id, batch_id) for failed pulls that must be tried again.
+writes idempotently: appends are anti-joined with the sink on the natural key,
+other outputs replace the folder of their batch, so a batch that is replayed
+after a loss writes nothing twice.
+
+Tables live in a shared folder (under ``spark.checkpoint.dir``): ``ledger``
+(recording_id), ``docs`` (pulled recordings with their unified document) and
+``retry/batch_id=N``: the ids that are open after batch N, one row each, of
+which only the last is read.
 """
 
 from __future__ import annotations
@@ -18,27 +20,35 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recflow.functions import vocab
+from recflow.functions.projections import doc_key
 from recflow.operators import ingest
+from recflow.operators.enrich import EnrichBatch
 from recflow.operators.route import classify_title
+from recflow.operators.sinks import unified_document
+from recflow.sources.documents import path_exists
 from recflow.sources.listing import listing_ids, metadata_fields
 
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+DOCS_SCHEMA = ("recording_id string, doc_key string, name string, start_at string, created_at string, "
+               "status string, summary string, transcript string, text string")
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    if _exists(spark, path):
+    if path_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
     return spark.createDataFrame([], schema)
 
 
-def _only(history: DataFrame, rows: DataFrame) -> DataFrame:
+def _only(history: DataFrame, rows: DataFrame, key: str = "recording_id") -> DataFrame:
     """The rows of a growing table whose ids the batch holds: where the batch's ids are
     few, AQE broadcasts them and the table is filtered where it is read."""
-    return history.join(rows.select("recording_id").distinct(), "recording_id", "left_semi")
+    return history.join(rows.select(key).distinct(), key, "left_semi")
+
+
+def append_unseen(rows: DataFrame, path: str, schema: str, key: str = "recording_id") -> None:
+    """Append the rows whose key the table doesn't hold yet."""
+    held = _only(read_or_empty(rows.sparkSession, path, schema), rows, key).select(key)
+    rows.join(held, key, "left_anti").write.mode("append").parquet(path)
 
 
 @dataclass
@@ -47,7 +57,9 @@ class IngestTables:
     root: str
     metadata_path: str       # parquet (recording_id, meta)
     transcripts_path: str    # parquet (recording_id, transcript): grows as transcripts arrive
+    summaries_path: str | None = None   # parquet (recording_id, summary)
     inbox_path: str | None = None   # parquet (recording_id)
+    pulled_at: str = ""
 
     @property
     def ledger(self):
@@ -62,38 +74,46 @@ class IngestTables:
         return f"{self.root}/retry"
 
 
+def _open_retries(spark: SparkSession, t: IngestTables, batch_id: int) -> DataFrame:
+    """The ids open after the last batch before this one: (recording_id, failed_batch)."""
+    schema = "recording_id string, failed_batch long"
+    for before in range(batch_id - 1, -1, -1):
+        if path_exists(spark, f"{t.retry}/batch_id={before}"):
+            return spark.read.schema(schema).parquet(f"{t.retry}/batch_id={before}")
+    return spark.createDataFrame([], schema)
+
+
 def ingest_batch(batch: DataFrame, batch_id: int, t: IngestTables) -> None:
-    """One micro-batch of listing lines: gates, fetch, write docs, ledger, retries."""
+    """One micro-batch of listing lines: gates, fetch, write docs, ledger, open retries."""
     spark = batch.sparkSession
     lines = batch.withColumn("pos", F.monotonically_increasing_id() + F.lit(batch_id) * F.lit(1 << 40))
-    cands = listing_ids(lines)
-    ledger = read_or_empty(spark, t.ledger, "recording_id string")
-    retry = read_or_empty(spark, t.retry, "recording_id string, batch_id long")
+    retry = _open_retries(spark, t, batch_id)
     # failed pulls of earlier batches come first, in their original order
-    pending_retry = (retry.join(_only(ledger, retry), "recording_id", "left_anti").groupBy("recording_id")
-                     .agg(F.min("batch_id").alias("b"))
-                     .select((F.col("b") - F.lit(1 << 20)).alias("pos"), "recording_id"))
-    cands = pending_retry.unionByName(cands)
+    cands = (retry.select((F.col("failed_batch") - F.lit(1 << 20)).alias("pos"), "recording_id")
+             .unionByName(listing_ids(lines)))
+    ledger = read_or_empty(spark, t.ledger, "recording_id string")
     meta = metadata_fields(spark.read.parquet(t.metadata_path))
     tx = spark.read.parquet(t.transcripts_path)
+    sums = (spark.read.parquet(t.summaries_path) if t.summaries_path
+            else spark.createDataFrame([], "recording_id string, summary string"))
     inbox = (spark.read.parquet(t.inbox_path) if t.inbox_path
              else spark.createDataFrame([], "recording_id string"))
     outcome = ingest.pull_outcome(cands, ledger, inbox, meta, tx).persist()
     try:
-        pulled = outcome.where(F.col("status") == ingest.PULLED).select("recording_id")
-        docs_old = read_or_empty(spark, t.docs, "recording_id string, name string, start_at string, "
-                                 "created_at string, batch_id long")
-        new_docs = (pulled.join(meta.select("recording_id", "name", "start_at", "created_at"), "recording_id")
-                    .join(docs_old.select("recording_id"), "recording_id", "left_anti")
-                    .withColumn("batch_id", F.lit(batch_id).cast("long")))
-        new_docs.write.mode("append").parquet(t.docs)
-        (pulled.join(_only(ledger, pulled), "recording_id", "left_anti").distinct()
-         .write.mode("append").parquet(t.ledger))
+        pulled = outcome.where(F.col("status") == ingest.PULLED).select("recording_id").distinct()
+        facts = ingest.one_per_recording(_only(meta.drop("meta"), pulled))
+        docs = (pulled.join(facts, "recording_id").join(_only(tx, pulled).select("recording_id", "transcript"), "recording_id")
+                .join(_only(sums, pulled).select("recording_id", "summary"), "recording_id", "left"))
+        docs = docs.select("recording_id", doc_key("start_at", "created_at", "name", "recording_id").alias("doc_key"),
+                           "name", "start_at", "created_at", F.lit(vocab.STATUS_UNTRIAGED).alias("status"),
+                           "summary", "transcript", unified_document(docs, t.pulled_at).alias("text"))
+        append_unseen(docs, t.docs, DOCS_SCHEMA)
         failed = (outcome.where(F.col("status") == ingest.FAILED).select("recording_id").distinct()
-                  .join(retry.where(F.col("batch_id") == batch_id).select("recording_id"),
-                        "recording_id", "left_anti")
-                  .withColumn("batch_id", F.lit(batch_id).cast("long")))
-        failed.write.mode("append").parquet(t.retry)
+                  .join(retry, "recording_id", "left")
+                  .select("recording_id", F.coalesce("failed_batch", F.lit(batch_id).cast("long")).alias("failed_batch")))
+        failed.write.mode("overwrite").parquet(f"{t.retry}/batch_id={batch_id}")
+        # the ledger comes last: a batch that is replayed finds its ids not yet recorded
+        append_unseen(pulled, t.ledger, "recording_id string")
     finally:
         outcome.unpersist()
 
@@ -109,31 +129,86 @@ def start_ingest(spark: SparkSession, listing_dir: str, t: IngestTables, checkpo
 
 
 def route_batch(batch: DataFrame, batch_id: int, out_path: str) -> None:
-    """Route newly pulled documents; append only keys not yet routed."""
-    spark = batch.sparkSession
-    routed = classify_title(batch.withColumnRenamed("name", "title"))
-    old = read_or_empty(spark, out_path, "recording_id string, category string, sync_blocked boolean")
-    (routed.select("recording_id", "category", "sync_blocked")
-     .join(old.select("recording_id"), "recording_id", "left_anti")
+    """Route newly pulled documents; append only those not yet routed."""
+    routed = classify_title(batch.withColumnRenamed("name", "title")).select("recording_id", "category", "sync_blocked")
+    held = _only(read_or_empty(batch.sparkSession, out_path, "recording_id string, category string, sync_blocked boolean"), routed)
+    (routed.join(held.select("recording_id"), "recording_id", "left_anti")
      .write.mode("append").partitionBy("category").parquet(out_path))
 
 
+def _over_docs(spark: SparkSession, docs_path: str, checkpoint: str, each):
+    src = spark.readStream.schema(DOCS_SCHEMA).parquet(docs_path)
+    return (src.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
 def start_route(spark: SparkSession, docs_path: str, out_path: str, checkpoint: str):
     """Route stage as a stream over the ingest stage's docs table."""
-    schema = "recording_id string, name string, start_at string, created_at string, batch_id long"
-    src = spark.readStream.schema(schema).parquet(docs_path)
-    return (src.writeStream.foreachBatch(lambda df, bid: route_batch(df, bid, out_path))
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    return _over_docs(spark, docs_path, checkpoint, lambda df, bid: route_batch(df, bid, out_path))
+
+
+PATCHES_SCHEMA = ("recording_id string, status string, enriched_at string, entity_mentions string, "
+                  "action_items_rollup string, vdc_candidate boolean, enriched_category string")
+
+
+def enrich_stream_batch(batch: DataFrame, batch_id: int, entities: DataFrame, root: str, run_date: str, at: str) -> None:
+    """The whole enrichment of newly pulled documents: mentions, action items, delivery
+    candidates, link, block and queue lines, patches.  The patches are written first: a
+    replayed batch finds them and only completes the lines."""
+    spark, key = batch.sparkSession, "recording_id"
+    docs = classify_title(batch.withColumnRenamed("name", "title")).select(
+        key, "title", "category", F.col("status"), F.col("start_at").alias("recorded_at"), F.col("created_at").alias("uploaded_at"))
+    lines = {"backlinks": "entity string, recording_id string, line string, recorded_date string",
+             "rollups": "recording_id string, block string, recorded_date string",
+             "candidates": "recording_id string, line string, recorded_date string"}
+    old = {name: read_or_empty(spark, f"{root}/{name}", schema) for name, schema in lines.items()}
+    run = EnrichBatch(docs, batch.select(key, "summary"), batch.select(key, "transcript"), entities, run_date, at,
+                      existing_backlinks=old["backlinks"], existing_blocks=old["rollups"],
+                      existing_candidates=old["candidates"], key=key, categories=vocab.BUCKETS)
+    append_unseen(run.patches, f"{root}/patches", PATCHES_SCHEMA)
+    for name, new in (("backlinks", run.new_backlinks), ("rollups", run.new_blocks), ("candidates", run.new_candidates)):
+        columns = [c.split()[0] for c in lines[name].split(", ")]
+        (new.select(*columns).hint("rebalance", "recorded_date").write.mode("append")
+         .partitionBy("recorded_date").parquet(f"{root}/{name}"))
 
 
-def dedup_stream(events: DataFrame, key: str = "recording_id", ts: str = "recorded_at",
-                 lateness: str = "90 days") -> DataFrame:
-    """Bounded-state dedup: a key seen within the lateness window is dropped."""
+def start_enrich(spark: SparkSession, docs_path: str, entities: DataFrame, root: str, checkpoint: str, run_date: str, at: str):
+    return _over_docs(spark, docs_path, checkpoint,
+                      lambda df, bid: enrich_stream_batch(df, bid, entities, root, run_date, at))
+
+
+EVENTS_SCHEMA = "recording_id string, recorded_at timestamp, late boolean"
+
+
+def dedup_batch(batch: DataFrame, batch_id: int, out_path: str) -> DataFrame:
+    """Exact dedup against all earlier batches, however old: the first arrival of an id is
+    kept.  ``late``: older than the newest event of the batches before.  Every batch writes
+    its own folder, so a replay replaces what it wrote.  Returns the rows written."""
+    spark = batch.sparkSession
+    first = batch.groupBy("recording_id").agg(F.min("recorded_at").alias("recorded_at"))
+    earlier = read_or_empty(spark, out_path, EVENTS_SCHEMA + ", batch_id long").where(F.col("batch_id") < batch_id)
+    seen = earlier.agg(F.max("recorded_at")).scalar()
+    fresh = first.join(_only(earlier, first).select("recording_id"), "recording_id", "left_anti")
+    path = f"{out_path}/batch_id={batch_id}"
+    (fresh.select("recording_id", "recorded_at", F.coalesce(F.col("recorded_at") < seen, F.lit(False)).alias("late"))
+     .write.mode("overwrite").parquet(path))
+    return spark.read.schema(EVENTS_SCHEMA).parquet(path)
+
+
+def daily_counts_batch(batch: DataFrame, batch_id: int, out_path: str, counts_path: str) -> None:
+    """Day counts of the batch's deduplicated rows, in the batch's own folder."""
+    fresh = dedup_batch(batch, batch_id, out_path)
+    (fresh.groupBy(F.date_trunc("day", "recorded_at").alias("day_start")).agg(F.count(F.lit(1)).alias("n_recordings"))
+     .write.mode("overwrite").parquet(f"{counts_path}/batch_id={batch_id}"))
+
+
+def dedup_within_watermark(events: DataFrame, lateness: str, key: str = "recording_id", ts: str = "recorded_at") -> DataFrame:
+    """Opt-in dedup with bounded state: ids seen within the lateness are dropped, and so is
+    whatever is later than the watermark.  ``late_rows`` finds the latter for a side table."""
     return events.withWatermark(ts, lateness).dropDuplicatesWithinWatermark([key])
 
 
-def daily_counts_stream(events: DataFrame, ts: str = "recorded_at", lateness: str = "90 days") -> DataFrame:
-    """Recordings per recorded day; rows later than the watermark are dropped."""
-    return (events.withWatermark(ts, lateness)
-            .groupBy(F.window(ts, "1 day").alias("day"))
-            .agg(F.count(F.lit(1)).alias("n_recordings")))
+def late_rows(batch: DataFrame, seen_max, lateness: str, ts: str = "recorded_at") -> DataFrame:
+    """Rows of a raw micro-batch that a watermark at ``seen_max`` less the lateness drops;
+    written to a side table from the same source, they complete the opt-in dedup."""
+    return batch.where(F.col(ts) < F.lit(seen_max) - F.expr(f"INTERVAL {lateness}"))
