@@ -18,22 +18,32 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from recflow.functions import vocab
+
 BASE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
                "conversations"]
 
 NL = "chr(10)"
 
-_TITLE = """CASE doc_id % 8
+_ALL_KEYWORDS = [w for _, _, words in vocab.ROUTING_RULES for w in words]
+# every routing keyword in turn (the patterns among them in their plain spelling)
+_KEYWORD = ("CASE cast(floor(doc_id / 8) as bigint) % " + str(len(_ALL_KEYWORDS)) + " "
+            + " ".join(f"WHEN {i} THEN '{w.replace('?', '').replace(chr(92), '').replace(chr(39), chr(39) * 2)}'"
+                       for i, w in enumerate(_ALL_KEYWORDS)) + " END")
+# the beginning of the document's own text, on one line
+_OPENING = f"left(replace(replace(coalesce(text, ''), {NL}, ' '), chr(92), ' '), 40)"
+
+_TITLE = f"""CASE doc_id % 8
       WHEN 0 THEN 'Client strategy review'
       WHEN 1 THEN 'Family catch-up'
       WHEN 2 THEN 'Spark training workshop'
       WHEN 3 THEN 'Doctor visit notes'
       WHEN 4 THEN 'Memo'
       WHEN 5 THEN 'Job ob_x list'
-      WHEN 6 THEN 'Patient onboarding meeting'
+      WHEN 6 THEN 'Notes on ' || {_KEYWORD}
       ELSE 'Product demo pipeline' END
-    || ' ' || cast(doc_id as string)
+    || ' ' || cast(doc_id as string) || ' ' || {_OPENING}
     || CASE doc_id % 10 WHEN 3 THEN ' "final" cut' WHEN 7 THEN ' at Caf' || chr(233) || ' Z' || chr(252) || 'rich' ELSE '' END"""
 
 _DAY = ("'2024-' || lpad(cast(doc_id % 12 + 1 as string), 2, '0') || '-' "

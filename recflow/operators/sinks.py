@@ -110,6 +110,13 @@ def audit_events(df: DataFrame, stage: str, ts: str, key: str, event: Column,
                      (detail if detail is not None else F.lit("")).alias("detail"))
 
 
+def audit_total(counts: DataFrame, stage: str, ts: str) -> DataFrame:
+    """The batch row of a stage's audit: the one-row counts as ``name=value`` pairs."""
+    pairs = [F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in counts.columns]
+    return counts.select(F.lit(ts).alias("ts"), F.lit(stage).alias("stage"), F.lit("").alias("doc_key"),
+                         F.lit("batch").alias("event"), F.concat_ws(" ", *pairs).alias("detail"))
+
+
 def write_vault(df: DataFrame, root: str, bucket: str = "bucket", stem: str = "stem",
                 text: str = "text", suffix: str = ".md") -> DataFrame:
     """Write one file ``<root>/<bucket>/<stem><suffix>`` per row from inside the

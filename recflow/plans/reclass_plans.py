@@ -161,3 +161,10 @@ def q_classify_model(spark, sf):
 
 
 QUERIES["classify_model"] = q_classify_model
+ORACLES["classify_model"] = rq(f"""
+SELECT doc_key, CASE WHEN regexp_matches(lower(prompt), 'clinic|health') THEN 'Personal-Health'
+    WHEN regexp_matches(lower(prompt), 'family|friend') THEN 'Casual'
+    WHEN regexp_matches(lower(prompt), 'lecture|course|class') THEN 'Learning' ELSE 'Business' END AS category,
+  CAST(0.6 AS DOUBLE) AS confidence, length(prompt) % 7 AS cache_read
+FROM (SELECT doc_key, {_PROMPT} AS prompt FROM unc)
+""")
