@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass, field
 
@@ -95,22 +94,36 @@ def forward_backward(e: np.ndarray, mask: np.ndarray, step: np.ndarray, start: f
     return np.where(mask, top / (top + 1 - f), 0.0), f, r
 
 
-def _seeds(docs: list[set[str]], toxic: np.ndarray) -> set[str]:
-    """Features that occur in toxic documents beyond chance, over all features tried."""
-    t, c = Counter(), Counter()
-    for found, y in zip(docs, toxic, strict=True):
-        (t if y else c).update(found)
-    rate = toxic.mean()
-    limit = math.log(len(t.keys() | c.keys()) + 1) + 3
-    out = set()
-    for f, k in t.items():
-        n = k + c[f]
-        share = k / n
-        if share >= PRECISION:
-            evidence = n * (share * math.log(share / rate) + ((1 - share) * math.log((1 - share) / (1 - rate)) if share < 1 else 0))
-            if evidence > limit:
-                out.add(f)
-    return out
+def _seeds(toxic_docs: np.ndarray, clean_docs: np.ndarray, rate: float) -> np.ndarray:
+    """Which features occur in toxic documents beyond chance, over all features tried."""
+    n = toxic_docs + clean_docs
+    with np.errstate(divide="ignore", invalid="ignore"):
+        share = toxic_docs / n
+        rest = np.where(share < 1, (1 - share) * np.log((1 - share) / (1 - rate)), 0.0)
+        evidence = n * (share * np.log(share / rate) + rest)
+    return (share >= PRECISION) & (evidence > math.log(len(n) + 1) + 3)
+
+
+class _Index:
+    """Words and features of the sample as numbers; a row of feature numbers for each word
+    (0: none), so that the sample's texts are kept as arrays of word numbers."""
+
+    def __init__(self):
+        self.word: dict[str, int] = {}
+        self.feature: dict[str, int] = {"": 0}
+        self.rows: list[list[int]] = []
+
+    def of(self, text: str) -> np.ndarray:
+        out = np.empty(0, np.int32) if not text else np.fromiter(map(self._number, _WORD.findall(text)), np.int32)
+        return out
+
+    def _number(self, word: str) -> int:
+        n = self.word.get(word)
+        if n is None:
+            n = self.word[word] = len(self.rows)
+            row = [self.feature.setdefault(f, len(self.feature)) for f in features(word)]
+            self.rows.append(row + [0] * (len(PREFIXES) + 2 - len(row)))
+        return n
 
 
 def fit_texts(texts: list[str], toxic: np.ndarray, rounds: int = 60, rate: float = 0.2, decay: float = 1e-3, seed: int = 11) -> Model:
@@ -121,25 +134,24 @@ def fit_texts(texts: list[str], toxic: np.ndarray, rounds: int = 60, rate: float
     of_text: dict[str, bool] = {}
     for text, y in zip(texts, toxic, strict=True):  # copies of a text are one example
         of_text[text] = of_text.get(text, False) or bool(y)
-    texts, toxic = list(of_text), np.array(list(of_text.values()))
-    words = [_WORD.findall(t) for t in texts]
-    of_word: dict[str, list[str]] = {}
-    for w in set().union(*words):
-        of_word[w] = features(w)
-    sets = [{f for w in set(ws) for f in of_word[w]} for ws in words]
+    toxic = np.array(list(of_text.values()))
     if toxic.all() or not toxic.any():
         return Model(fixed=float(toxic.mean()))
-    seeds = _seeds(sets, toxic)
-    spread = Counter(f for s in sets for f in s)
-    del sets
-    marked = {w for w, fs in of_word.items() if any(f in seeds for f in fs)}
+    index = _Index()
+    words = [index.of(t) for t in of_text]
+    table = np.array(index.rows, np.int32).reshape(len(index.rows), len(PREFIXES) + 2)
+    spread = np.zeros((2, len(index.feature)))
+    for ws, y in zip(words, toxic, strict=True):
+        spread[int(y), np.unique(table[np.unique(ws)])] += 1
+    spread[:, 0] = 0
+    marked = _seeds(spread[1], spread[0], toxic.mean())[table].any(axis=1)
     rng = np.random.default_rng(seed)
-    segments: list[tuple[list[str], bool]] = []
-    clean: list[tuple[list[str], bool]] = []
+    segments: list[tuple[np.ndarray, bool]] = []
+    clean: list[tuple[np.ndarray, bool]] = []
     for ws, y in zip(words, toxic, strict=True):
         for k in range(0, len(ws), SEGMENT):
             part = ws[k:k + SEGMENT]
-            if y and any(w in marked for w in part):
+            if y and marked[part].any():
                 segments.append((part, True))
             elif not y:
                 clean.append((part, False))
@@ -147,23 +159,21 @@ def fit_texts(texts: list[str], toxic: np.ndarray, rounds: int = 60, rate: float
         return Model(fixed=float(toxic.mean()))
     segments = [segments[i] for i in rng.permutation(len(segments))[:MAX_SEGMENTS]]
     segments += [clean[i] for i in rng.permutation(len(clean))[:2 * len(segments)]]
-    ids = {f: k for k, f in enumerate(sorted(f for f, n in spread.items() if n >= 3), 1)}  # 0: no feature
+    kept = spread.sum(axis=0) >= 3
+    ids = np.where(kept, np.cumsum(kept), 0)  # 0: no feature
+    size = int(kept.sum()) + 1
     n, width = len(segments), len(PREFIXES) + 2
     grid = np.zeros((SEGMENT, n, width), np.int32)
     mask, gold = np.zeros((SEGMENT, n), bool), np.zeros((SEGMENT, n))
     for j, (part, y) in enumerate(segments):
-        for i, w in enumerate(part):
-            mask[i, j] = True
-            gold[i, j] = y and w in marked
-            for k, f in enumerate(of_word[w]):
-                grid[i, j, k] = ids.get(f, 0)
-    theta = np.zeros(len(ids) + 6)  # feature weights, then bias, start, transitions 00 01 10 11
-    m, v, size = np.zeros_like(theta), np.zeros_like(theta), len(ids) + 1
+        grid[:len(part), j] = ids[table[part]]
+        mask[:len(part), j] = True
+        gold[:len(part), j] = marked[part] if y else 0
+    theta = np.zeros(size + 5)  # feature weights, then bias, start, transitions 00 01 10 (11 is 0)
+    m, v = np.zeros_like(theta), np.zeros_like(theta)
     pair_gold = np.array([((gold[:-1] == a) & (gold[1:] == b) & mask[1:]).sum() for a in (0, 1) for b in (0, 1)], float)
     for it in range(1, rounds + 1):
-        w = theta[:size].copy()
-        w[0] = 0
-        e = w[grid].sum(axis=2) + theta[size]
+        e = theta[:size][grid].sum(axis=2) + theta[size]
         step = np.exp(np.append(theta[size + 2:size + 5], 0.0)).reshape(2, 2)
         p, f, r = forward_backward(e, mask, step, theta[size + 1])
         x = np.exp(np.clip(e[1:], -30, 30)) * r[1:]
@@ -172,15 +182,17 @@ def fit_texts(texts: list[str], toxic: np.ndarray, rounds: int = 60, rate: float
         miss = np.where(mask, gold - p, 0.0)
         g = np.zeros_like(theta)
         g[:size] = np.bincount(grid.ravel(), np.repeat(miss.ravel(), width), minlength=size)
-        g[0] = 0
         g[size], g[size + 1] = miss.sum(), miss[0].sum()
         g[size + 2:size + 5] = (pair_gold - pairs)[:3]
         g = g / n - decay * theta
+        g[0] = 0
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         theta += rate * (m / (1 - 0.9 ** it)) / (np.sqrt(v / (1 - 0.999 ** it)) + 1e-8)
-    model = Model(weights={f: float(theta[k]) for f, k in ids.items() if abs(theta[k]) > 1e-4}, bias=float(theta[size]),
-                  step=np.exp(np.append(theta[size + 2:size + 5], 0.0)).reshape(2, 2).tolist(), start=float(theta[size + 1]))
-    model.slope, model.offset = _curve(np.array([_measure(p) for p in marginals(model, words)]), toxic)
+    model = Model(weights={f: float(theta[ids[k]]) for f, k in index.feature.items() if ids[k] and abs(theta[ids[k]]) > 1e-4},
+                  bias=float(theta[size]), start=float(theta[size + 1]),
+                  step=np.exp(np.append(theta[size + 2:size + 5], 0.0)).reshape(2, 2).tolist())
+    emissions = theta[:size][ids[table]].sum(axis=1) + model.bias
+    model.slope, model.offset = _curve(np.array([_measure(p) for p in marginals(model, words, emissions)]), toxic)
     return model
 
 
@@ -201,11 +213,11 @@ def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
-def marginals(model: Model, docs: list[list[str]], emissions: _Emissions | None = None) -> list[np.ndarray]:
-    """Marginals of each document's words; documents of like length go together."""
-    emissions = _Emissions(model) if emissions is None else emissions
+def marginals(model: Model, docs: list, emissions) -> list[np.ndarray]:
+    """Marginals of each document's words; documents of like length go together.
+    ``emissions``: the log-odds by word, for documents as lists of words, or by number."""
     step, out = np.array(model.step), [np.zeros(0)] * len(docs)
-    order = sorted((i for i in range(len(docs)) if docs[i]), key=lambda i: len(docs[i]))
+    order = sorted((i for i in range(len(docs)) if len(docs[i])), key=lambda i: len(docs[i]))
     at = 0
     while at < len(order):
         n = min(512, max(1, 1_000_000 // len(docs[order[min(at + 511, len(order) - 1)]])))
@@ -215,7 +227,8 @@ def marginals(model: Model, docs: list[list[str]], emissions: _Emissions | None
         e, mask = np.zeros((longest, len(part))), np.zeros((longest, len(part)), bool)
         for j, i in enumerate(part):
             k = len(docs[i])
-            e[:k, j] = np.fromiter(map(emissions.__getitem__, docs[i]), float, k)
+            e[:k, j] = emissions[docs[i]] if isinstance(emissions, np.ndarray) else np.fromiter(
+                map(emissions.__getitem__, docs[i]), float, k)
             mask[:k, j] = True
         p, _, _ = forward_backward(e, mask, step, model.start)
         for j, i in enumerate(part):
@@ -228,6 +241,7 @@ def score_texts(model: Model, texts: list[str], emissions: _Emissions | None = N
     if model.fixed is not None:
         return [(model.fixed, []) for _ in texts]
     out = []
+    emissions = _Emissions(model) if emissions is None else emissions
     for text, p in zip(texts, marginals(model, [_WORD.findall(t) for t in texts], emissions), strict=True):
         z = model.slope * _measure(p) + model.offset
         spans: list[tuple[int, int]] = []
