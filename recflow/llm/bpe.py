@@ -22,7 +22,7 @@ import unicodedata
 from array import array
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +33,7 @@ ship(__name__)
 
 END = "</w>"
 #: Words whose encodings a task remembers; characters encoded at a time.
-REMEMBERED, CHUNK_CHARS = 500_000, 4_000_000
+REMEMBERED, CHUNK_CHARS = 200_000, 2_000_000
 
 # The word pattern of the vocabulary file, with the white space of the common
 # alphabets spelt out (the library splits texts that hold any other).
@@ -129,7 +129,7 @@ class Vocabulary:
         key = a << 20 | b
         known = self.follows.get(key)
         if known is None:
-            if len(self.follows) > 1_000_000:
+            if len(self.follows) > 400_000:
                 self.follows.clear()
             known = self.follows[key] = not self.crosses(a, b)
         return known
@@ -210,29 +210,47 @@ def splitter(vocabulary: Vocabulary):
     return split
 
 
-def encode_texts(vocabulary: Vocabulary, texts: Iterator[str], remembered: dict | None = None) -> Iterator[list[int]]:
-    """Token ids of each text; distinct words of the given texts are encoded together."""
-    split, known = splitter(vocabulary), {} if remembered is None else remembered
-    pieces = [split(t) for t in texts]
-    for ids in _of_pieces(vocabulary, pieces, known):
-        yield ids
-
-
-def _of_pieces(vocabulary: Vocabulary, pieces: list[list[str]], known: dict) -> Iterator[list[int]]:
-    _learn(vocabulary, pieces, known, lambda ids: ids)
-    for words in pieces:
-        yield [i for w in words for i in known[w]]
-
-
-def _learn(vocabulary: Vocabulary, pieces: list[list[str]], known: dict, value) -> None:
-    if len(known) > REMEMBERED:
-        known.clear()
-    new = set().union(*pieces) - known.keys()
-    for s, i in vocabulary.specials.items():
-        if s in new:
-            known[s] = value([i])
-            new.discard(s)
-    known.update((w, value(ids)) for w, ids in vocabulary.encode_words(list(new)))
+class Words:
+    """Encodings of words.  What a chunk of texts needs is encoded together; afterwards only
+    words that the chunk before had to encode as well are remembered, as most words are rare."""
+
+    def __init__(self, vocabulary: Vocabulary, value):
+        self.vocabulary, self.value = vocabulary, value
+        self.split = splitter(vocabulary)
+        self.known: dict = {}
+        self.before: set[str] = set()
+
+    def chunk(self, texts: list[str]) -> Iterator[list]:
+        """The values of each text's words."""
+        known, pieces = self.known, [self.split(t) for t in texts]
+        if len(known) > REMEMBERED:
+            known.clear()
+        new = set().union(*pieces) - known.keys()
+        special = {s: self.value([i]) for s, i in self.vocabulary.specials.items() if s in new}
+        known.update((w, self.value(ids)) for w, ids in self.vocabulary.encode_words([w for w in new if w not in special]))
+        known.update(special)
+        for words in pieces:
+            yield [known[w] for w in words]
+        for w in new - self.before:
+            del known[w]
+        self.before = new
+
+    def all(self, texts: Iterator[str]) -> Iterator[list]:
+        part, chars = [], 0
+        for text in texts:
+            part.append(text)
+            chars += len(text)
+            if chars >= CHUNK_CHARS:
+                yield from self.chunk(part)
+                part, chars = [], 0
+        yield from self.chunk(part)
+
+
+def encode_texts(vocabulary: Vocabulary, texts: Iterator[str], words: Words | None = None) -> Iterator[list[int]]:
+    """Token ids of each text; distinct words of a chunk of texts are encoded together."""
+    words = Words(vocabulary, lambda ids: ids) if words is None else words
+    for values in words.all(texts):
+        yield [i for ids in values for i in ids]
 
 
 def _held(content, name: str, make):
@@ -242,58 +260,49 @@ def _held(content, name: str, make):
     return getattr(content, name)
 
 
+def _words(content, name: str, value) -> Words:
+    vocabulary = _held(content, "vocabulary", lambda: Vocabulary(content.value))
+    return _held(content, name, lambda: Words(vocabulary, value(vocabulary)))
+
+
+def _texts(batch: pa.Array) -> Iterator[str]:
+    """One text at a time: a batch stays in Arrow's form."""
+    return (x.as_py() for x in batch)
+
+
 def digester(content):
     """Struct of n_tokens, ids_sha256, decoded_sha256 for whole texts; ``content`` is a
     broadcast of the vocabulary file."""
-    def digest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        vocabulary = _held(content, "vocabulary", lambda: Vocabulary(content.value))
-        split, known = splitter(vocabulary), _held(content, "digests", dict)
-
+    def both(vocabulary):
         def value(ids):
             packed = array("I", ids)
             return packed.tobytes(), vocabulary.decode(packed)
+        return value
 
-        def rows(pieces):
-            _learn(vocabulary, pieces, known, value)
-            for words in pieces:
-                found = [known[w] for w in words]
+    def digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        words = _words(content, "digests", both)
+        for batch in batches:
+            counts, ids_digests, decoded_digests = [], [], []
+            for found in words.all(_texts(batch)):
                 ids = b"".join([x[0] for x in found])
-                yield (len(ids) // 4, hashlib.sha256(ids).hexdigest(),
-                       hashlib.sha256(" ".join([x[1] for x in found]).encode("utf-8")).hexdigest())
-
-        for texts in batches:
-            out, pieces, chars = [], [], 0
-            for text in texts:
-                pieces.append(split(text))
-                chars += len(text)
-                if chars >= CHUNK_CHARS:
-                    out += rows(pieces)
-                    pieces, chars = [], 0
-            out += rows(pieces)
-            yield pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+                counts.append(len(ids) // 4)
+                ids_digests.append(hashlib.sha256(ids).hexdigest())
+                decoded_digests.append(hashlib.sha256(" ".join([x[1] for x in found]).encode("utf-8")).hexdigest())
+            yield pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(ids_digests, pa.string()),
+                                              pa.array(decoded_digests, pa.string())],
+                                             names=["n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return F.pandas_udf(digest, "n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return F.arrow_udf(digest, "n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def tokeniser(content):
     """Array of token ids for whole texts."""
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        vocabulary = _held(content, "vocabulary", lambda: Vocabulary(content.value))
-        known = _held(content, "ids", dict)
-        for texts in batches:
-            out: list[list[int]] = []
-            part: list[str] = []
-            chars = 0
-            for text in texts:
-                part.append(text)
-                chars += len(text)
-                if chars >= CHUNK_CHARS:
-                    out += encode_texts(vocabulary, part, known)
-                    part, chars = [], 0
-            out += encode_texts(vocabulary, part, known)
-            yield pd.Series(out)
-
-    return F.pandas_udf(encode, "array<int>")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        words = _words(content, "ids", lambda vocabulary: lambda ids: ids)
+        for batch in batches:
+            yield pa.array(list(encode_texts(words.vocabulary, _texts(batch), words)), pa.list_(pa.int32()))
+
+    return F.arrow_udf(encode, "array<int>")
 
 
 def default_path() -> str:
@@ -315,12 +324,12 @@ def encoded(docs: DataFrame, text_col: str = "text", path: str | None = None) ->
 
 def decoded(ids: Column, content) -> Column:
     """Text of an array of ids."""
-    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocabulary = _held(content, "vocabulary", lambda: Vocabulary(content.value))
         for batch in batches:
-            yield pd.Series([vocabulary.decode(x) for x in batch], dtype=object)
+            yield pa.array([vocabulary.decode(x.as_py()) for x in batch], pa.string())
 
-    return F.pandas_udf(decode, "string")(ids)
+    return F.arrow_udf(decode, "string")(ids)
 
 
 def digests(docs: DataFrame, text_col: str = "text", path: str | None = None) -> DataFrame:

@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,7 +62,7 @@ def choose_bands(threshold: float = THRESHOLD, recall: float = RECALL, most: int
 
 class _WordHashes(dict):
     def __missing__(self, word):
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
@@ -104,32 +105,37 @@ def signer(bands: int, rows: int, size: int = WORDS):
     b = rng.integers(0, 2**63, bands * rows, dtype=np.uint64)
     place = rng.integers(1, 2**63, rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-    def sign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def sign(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hashes = _WordHashes()
         for texts in batches:
-            out = []
+            classes, sizes, keys = [], [], []
             for text in texts:
-                grams = shingles(text, hashes, size)
+                grams = shingles(text.as_py(), hashes, size)
+                sizes.append(len(grams))
                 if not len(grams):
-                    out.append((None, 0, None))
+                    classes.append(None)
+                    keys.append(None)
                     continue
                 m = _minhashes(grams, a, b).reshape(bands, rows)
-                keys = _mix((m * place).sum(axis=1, dtype=np.uint64) + np.arange(1, bands + 1, dtype=np.uint64))
-                out.append((_class(grams), len(grams), keys.view(np.int64)))
-            yield pd.DataFrame(out, columns=["cls", "size", "keys"])
+                hashed = _mix((m * place).sum(axis=1, dtype=np.uint64) + np.arange(1, bands + 1, dtype=np.uint64))
+                classes.append(_class(grams))
+                keys.append(hashed.view(np.int64))
+            yield pa.StructArray.from_arrays([pa.array(classes, pa.binary()), pa.array(sizes, pa.int64()),
+                                              pa.array(keys, pa.list_(pa.int64()))], names=["cls", "size", "keys"])
 
-    return F.pandas_udf(sign, "cls binary, size long, keys array<long>")
+    return F.arrow_udf(sign, "cls binary, size long, keys array<long>")
 
 
 def grammer(size: int = WORDS):
-    def gram(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def gram(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hashes = _WordHashes()
         for texts in batches:
-            sets = [shingles(t, hashes, size) for t in texts]
-            yield pd.DataFrame({"cls": [_class(s) for s in sets], "grams": [s.tobytes() for s in sets]})
+            sets = [shingles(t.as_py(), hashes, size) for t in texts]
+            yield pa.StructArray.from_arrays([pa.array([_class(s) for s in sets], pa.binary()),
+                                              pa.array([s.tobytes() for s in sets], pa.binary())], names=["cls", "grams"])
 
     # else a null check on its result would be pushed below the semi join, to all documents
-    return F.pandas_udf(gram, "cls binary, grams binary").asNondeterministic()
+    return F.arrow_udf(gram, "cls binary, grams binary").asNondeterministic()
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:

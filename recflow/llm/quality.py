@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,14 +80,15 @@ def text_stats(text: str) -> tuple:
             len(set(words)), sum(a == b for a, b in zip(words, words[1:], strict=False)), raw.count(b"!"))
 
 
-def _stats_batches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+def _stats_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for texts in batches:
-        yield pd.DataFrame([text_stats(t) for t in texts], columns=list(STATS), dtype="int64")
+        rows = np.array([text_stats(t.as_py()) for t in texts], np.int64).reshape(len(texts), len(STATS))
+        yield pa.StructArray.from_arrays([pa.array(rows[:, k]) for k in range(len(STATS))], names=list(STATS))
 
 
 def stats_column(text: Column) -> Column:
     """One struct of STATS for each text (Arrow batches; one text at a time in memory)."""
-    udf = F.pandas_udf(_stats_batches, ", ".join(f"{s} long" for s in STATS))
+    udf = F.arrow_udf(_stats_batches, ", ".join(f"{s} long" for s in STATS))
     return udf(text)
 
 
