@@ -46,7 +46,9 @@ def append_new(candidates: DataFrame, existing: DataFrame | None, keys: list[str
         return fresh
     old = existing.select(*keys)
     if prune_on is not None:
-        old = old.join(fresh.select(prune_on).distinct(), prune_on, "left_semi")
+        # pruning is only planned against a side with a comparison; this one holds for every day
+        days = fresh.select(prune_on).where(F.col(prune_on).cast("string") >= "").distinct()
+        old = old.join(days, prune_on, "left_semi")
     return fresh.join(old.dropDuplicates(keys), on=keys, how="left_anti")
 
 

@@ -32,8 +32,10 @@ def test_stream_ingest_equals_batch_and_retries(spark):
     streamed = {r["recording_id"] for r in spark.read.parquet(t.docs).collect()}
     batch = {r["recording_id"] for r in ingest.ledger_append(IP._outcome(spark, SF_SMALL)).collect()}
     assert streamed == batch
-    retried = spark.read.parquet(t.retry).join(spark.read.parquet(t.docs), "recording_id")
+    retry = spark.read.parquet(t.retry)
+    retried = retry.join(spark.read.parquet(t.docs), "recording_id")
     assert retried.count() > 0          # failed first (late transcript), pulled on the next run
+    assert retry.groupBy("batch_id", "recording_id").count().where("count > 1").count() == 0  # one open row per id
     assert spark.read.parquet(t.docs).groupBy("recording_id").count().where("count > 1").count() == 0
 
 

@@ -2,6 +2,8 @@
 partition filters, top-N as TakeOrderedAndProject, no Python outside the scorer."""
 from conftest import SF_SMALL
 
+from recflow.functions import vocab
+from recflow.operators import reclassify as R
 from recflow.plans import enrich_plans as EP
 from recflow.plans import reclass_plans as RP
 from recflow.plans import route_plans as RT
@@ -18,8 +20,26 @@ def test_entity_mentions_has_no_nested_loop(spark):
     assert "BroadcastHashJoin" in p or "SortMergeJoin" in p
 
 
-def test_reclass_batch_is_take_ordered(spark):
-    assert "TakeOrderedAndProject" in plan(RP.q_reclass_batch(spark, SF_SMALL))
+def test_reclass_budget_is_take_ordered_and_dealt_out(spark):
+    docs = EP.edocs(spark, SF_SMALL)
+    p = plan(R.reclass_batch(docs, vocab.DEFAULT_RECLASS_MAX))
+    assert "TakeOrderedAndProject" in p and "REPARTITION_BY_NUM" in p
+    assert "TakeOrdered" not in plan(RP.q_reclass_batch(spark, SF_SMALL))  # no budget unless asked for
+    assert R.reclass_batch(docs, 50).count() == min(50, R.reclass_batch(docs).count())
+
+
+def test_enrichment_reads_few_relations(spark):
+    """Mentions and facts are written once; everything else reads these two."""
+    run = EP._batch(spark, SF_SMALL)
+    for df in (run.patches, run.counts, run.new_backlinks, run.new_candidates):
+        assert plan(df).count("FileScan") <= 12
+    assert plan(run.patches).count("FileScan") <= 4 and "documents.parquet" not in plan(run.patches)
+
+
+def test_mentions_join_no_text(spark):
+    p = plan(EP._mentions(spark, SF_SMALL))
+    joins = [line for line in p.split("\n") if "Join" in line and "_key" in line]
+    assert joins and not any("search_text" in line for line in joins)
 
 
 def test_unclassified_scan_prunes_partitions(spark):
@@ -41,4 +61,4 @@ def test_scorer_runs_in_map_in_pandas(spark):
 
 def test_scan_columns_pruned(spark):
     p = plan(entry.queries()["route_counts"](spark, SF_SMALL))
-    assert "ReadSchema: struct<doc_id:bigint>" in p
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in p  # the title quotes the text
