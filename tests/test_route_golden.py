@@ -59,7 +59,7 @@ def test_route_counts_every_bucket_nonempty(spark):
     (["a.md", "a.summary.md", "a (x).md", "ab.md", "b.md"], "a", {"a.md", "a.summary.md", "a (x).md", "ab.md"}),
 ])
 def test_sibling_bundle(spark, files, stem, expected):
-    docs = spark.createDataFrame([(stem,), ("b",)], "stem string")
-    f = spark.createDataFrame([(x,) for x in files], "file_name string")
+    docs = spark.createDataFrame([("d", stem), ("d", "b")], "directory string, stem string")
+    f = spark.createDataFrame([("d", x) for x in files], "directory string, file_name string")
     got = {r["file_name"] for r in route.sibling_bundle(docs, f).where("stem = 'a'").collect()}
     assert got == expected
