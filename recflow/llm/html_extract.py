@@ -46,6 +46,8 @@ SKIP_NAMES = frozenset("""ad ads adv advert adverts advertisement advertising ad
 menu nav navbar navigation breadcrumb breadcrumbs footer masthead topbar toolbar cookie cookies consent gdpr notice notices alert
 popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended comment comments
 disqus respond replies pagination pager widget skip complementary contentinfo""".split())
+#: A header so named is the article's own, not the page's.
+ARTICLE_NAMES = frozenset("article entry post story content".split())
 LANDMARK = frozenset(("article", "main"))
 #: Elements that a start tag of a block closes, with what they hold.
 _LIGHT = frozenset("p h1 h2 h3 h4 h5 h6 dt dd li option".split())
@@ -60,8 +62,9 @@ def _skips(name: str, attributes: str, in_article: bool) -> bool:
         return True
     if not attributes or name in LANDMARK or name in ("body", "html"):
         return False
-    return any(part in SKIP_NAMES for _, value in _ATTRIBUTE.findall(attributes)
-               for part in _NAME.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()))
+    parts = {part for _, value in _ATTRIBUTE.findall(attributes)
+             for part in _NAME.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())}
+    return bool(parts & SKIP_NAMES) or "header" in parts and not in_article and not parts & ARTICLE_NAMES
 
 
 def tokens(page: str) -> list[tuple[str, str]]:

@@ -35,6 +35,7 @@ WEIGHTS = {"w": 1.0, "a": -0.5, "<div": -2.0, "</div": -2.0, "<body": -3.0, "<ar
     ("<div class=ad>buy<article><p>text here</article>", "text here"),
     ("<main><header><h1>Title</h1></header><script>if (a < b) '</p>'</script><p>Body<!-- x > y --></p></main>", "Title\nBody"),
     ("<p title='a > b'>x</p>", "x"),
+    ("<div id='siteHeader'>My site</div><div class='entry-header'><h1>A title of five words</h1></div><p>Some text of the entry</p>", "A title of five words\nSome text of the entry"),
     ("<ul><li><a href=1>menu</a></li></ul><p>a long text of many plain words that is the page</p>", "a long text of many plain words that is the page"),
     ("<article><p>open <b>bold<p>next <i>it</article>", "open bold\nnext it"),
 ])
