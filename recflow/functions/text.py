@@ -38,16 +38,6 @@ def py_strip(c) -> Column:
     return F.trim(col(c), F.lit(PY_WS_CHARS))
 
 
-def strip_quotes(c) -> Column:
-    """``str.strip('"')``."""
-    return F.regexp_replace(col(c), r'\A"+|"+\z', "")
-
-
-def normalize_newlines(c) -> Column:
-    """Universal-newline reading: ``\\r\\n`` and ``\\r`` become ``\\n``."""
-    return F.regexp_replace(col(c), r"\r\n?", "\n")
-
-
 def words_pattern(words: list[str]) -> str:
     """Case-insensitive whole-word alternation with Python ``\\b`` semantics."""
     return "(?iu)" + BOUNDARY + "(?:" + "|".join(words) + ")" + BOUNDARY
@@ -80,10 +70,6 @@ def word_tokens(c) -> Column:
     return F.regexp_extract_all(col(c), F.lit(f"{WORD}+"), 0)
 
 
-def nonempty(c) -> Column:
-    return F.length(F.coalesce(col(c), F.lit(""))) > 0
-
-
 def nullif_empty(c) -> Column:
     return F.when(col(c) == "", None).otherwise(col(c))
 
