@@ -31,6 +31,8 @@ SHARD_SLOTS = 1024
 #: Documents in a chunk, about; slots that one row of the slot plan stands for.
 CHUNK_DOCS, PLAN_SLOTS = 10_000, 8_192
 ROUNDS = 16
+#: Bits of the fractions that decide on a document's further copy.
+STEP_BITS = 32
 SEED = 20_240_607
 
 
@@ -111,7 +113,7 @@ def draw(plan: DataFrame, shard_slots: int = SHARD_SLOTS) -> DataFrame:
 
 
 def place_documents(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> tuple[DataFrame, DataFrame]:
-    """(documents with row, id, source_no, size, start within the source; sources)."""
+    """(documents with row, id, tie, source_no, size, start within the source; sources)."""
     sized = stored(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), text_of(text_col).alias("text"))
                    .select(F.monotonically_increasing_id().alias("row"), "id", "source", F.xxhash64("text").alias("tie"),
                            F.regexp_count("text", F.lit(WORD)).cast("long").alias("size")), "sizes")
@@ -126,7 +128,7 @@ def place_documents(docs: DataFrame, id_col: str, text_col: str, source_col: str
               .rowsBetween(Window.unboundedPreceding, -1))
     placed = (numbered.withColumn("before", F.coalesce(F.sum("size").over(within), F.lit(0)))
               .join(sums, ["source_no", "chunk"])
-              .select("row", "id", "source_no", "size", (F.col("chunk_start") + F.col("before")).alias("start")))
+              .select("row", "id", "tie", "source_no", "size", (F.col("chunk_start") + F.col("before")).alias("start")))
     return stored(placed, "placed"), sources
 
 
@@ -141,9 +143,9 @@ def pieces(placed: DataFrame, block: int = BLOCK) -> DataFrame:
                       (F.least(end, at + block) - at).alias("high"), (F.greatest("start", at) - F.col("start")).alias("skip"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        block: int = BLOCK) -> DataFrame:
-    """A row per document: id, size, source_no, source_size, target, taken."""
+def taken_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                block: int = BLOCK) -> DataFrame:
+    """A row per document: row, id, tie, size, source_no, source_size, target, taken."""
     placed, sources = place_documents(docs, id_col, text_col, source_col)
     drawn = (draw(_plan(sources, block)).groupBy("source_no", "block")
              .agg(F.count(F.when(F.col("cut").isNull(), 1)).alias("times"), F.max("cut").alias("cut")))
@@ -153,7 +155,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
              .groupBy("row").agg(F.sum(F.col("times") * (F.col("high") - F.col("low"))
                                        + F.when(F.col("cut").isNull(), 0).otherwise(part)).alias("taken")))
     return (placed.join(taken, "row", "left").join(sources.drop("source", "weight"), "source_no")
-            .select("id", "size", "source_no", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
+            .select("row", "id", "tie", "size", "source_no", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+        block: int = BLOCK) -> DataFrame:
+    """A row per document: id, size, source_no, source_size, target, taken."""
+    return taken_words(docs, id_col, text_col, source_col, block).drop("row", "tie")
 
 
 def mixed_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -171,11 +179,33 @@ def mixed_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 F.slice("words", F.lit(1), F.col("cut").cast("int"))), " ").alias("text")))
 
 
+def copies(placed: DataFrame) -> DataFrame:
+    """``placed`` (row, id, tie, source_no, size, taken) with ``times``, how many whole copies its rows get.
+
+    A document gets the whole part of taken / size and one more with the rest as probability,
+    so that its expected words are those taken, whatever its length.  The rests of documents
+    of one source and about one length, in the order of size, are added up from a random
+    start, and the sum's steps over whole numbers give the further copies: so the words of a
+    stratum miss those taken by no more than about one document of it."""
+    placed = stored(placed, "taken")
+    chunks = max(1, math.ceil(placed.count() / CHUNK_DOCS))
+    rest = F.when(F.col("size") > 0, F.floor((F.col("taken") % F.col("size")) * F.lit(float(1 << STEP_BITS)) / F.col("size"))).otherwise(0)
+    strata = (placed.withColumn("whole", F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(0))
+              .withColumn("rest", rest.cast("long")).withColumn("stratum", F.floor(F.log2(F.col("size") + 1)))
+              .withColumn("chunk", F.pmod(F.xxhash64(F.lit(SEED + 5), "id", "tie"), F.lit(chunks))))
+    at = (Window.partitionBy("source_no", "stratum", "chunk").orderBy("size", F.xxhash64(F.lit(SEED + 6), "id", "tie"), "id", "tie", "row")
+          .rowsBetween(Window.unboundedPreceding, -1))
+    begin = F.pmod(F.xxhash64(F.lit(SEED + 7), "source_no", "stratum", "chunk"), F.lit(1 << STEP_BITS))
+    before = F.coalesce(F.sum("rest").over(at), F.lit(0)) + begin
+    further = F.shiftright(F.col("before") + F.col("rest"), STEP_BITS) - F.shiftright(F.col("before"), STEP_BITS)
+    return strata.withColumn("before", before).withColumn("times", (F.col("whole") + further).cast("int")).drop(
+        "whole", "rest", "stratum", "chunk", "before")
+
+
 def resample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The documents of the mix with all their columns: one row for each time that at least
-    half of a document's words are taken (none, once or twice)."""
-    times = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0).cast("int")
-    drawn = (mix(docs, id_col, text_col, source_col).groupBy("id").agg(F.max(times).alias("_times")).where("_times > 0")
+    """The documents of the mix with all their columns: whole ones, so often that each one's
+    expected words are those taken (none, once or twice)."""
+    drawn = (copies(taken_words(docs, id_col, text_col, source_col)).groupBy("id").agg(F.max("times").alias("_times")).where("_times > 0")
              .select(F.col("id").alias("drawn"), "_times"))
     return unpacked(packed(docs, id=F.col(id_col)).join(stored(drawn, "drawn"), F.col("id").eqNullSafe(F.col("drawn")))
                     .select("row", F.explode(F.sequence(F.lit(1), F.col("_times")))))

@@ -123,6 +123,39 @@ def test_mix_reaches_targets_and_reruns_agree(spark, odd, odd_rows, none):
     assert M.resample(none).collect() == []
 
 
+def test_resampled_words_reach_each_sources_target_at_any_length(spark):
+    """Documents much longer than a block are no more and no less likely than short ones."""
+    rng = random.Random(10)
+    rows = [(k, "w " * (rng.randrange(2500, 3500) if rng.random() < 0.1 else rng.randrange(50, 150)), None, "abcdef"[k % 6], None)
+            for k in range(1500)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    size, source = {r[0]: len(r[1].split()) for r in rows}, {r[0]: r[3] for r in rows}
+    target = {source[r.id]: r.target for r in M.mix(docs).collect()}
+    words, long, all_words, all_long = Counter(), Counter(), Counter(), Counter()
+    for r in M.resample(docs).collect():
+        words[r.source] += size[r.doc_id]
+        long[r.source] += size[r.doc_id] * (size[r.doc_id] > 2000)
+    for k, s in source.items():
+        all_words[s] += size[k]
+        all_long[s] += size[k] * (size[k] > 2000)
+    assert min(target[s] / all_words[s] for s in all_words) < 0.95
+    for s in all_words:
+        assert words[s] == pytest.approx(target[s], rel=0.08), s
+        assert long[s] / all_long[s] == pytest.approx(target[s] / all_words[s], rel=0.15), s
+
+
+@pytest.mark.parametrize("ratio", [0.2, 0.4, 0.805, 1.5])
+def test_copies_of_long_documents_keep_the_ratio(spark, ratio):
+    rng = random.Random(12)
+    sizes = [rng.randrange(1280, 20000) for _ in range(600)] + [0]
+    rows = [(k, k, k * 31, 1 + k % 2, n, round(ratio * n)) for k, n in enumerate(sizes)]
+    got = M.copies(spark.createDataFrame(rows, "row long, id long, tie long, source_no long, size long, taken long")).collect()
+    assert len(got) == len(rows) and all(r.times in (int(ratio), int(ratio) + 1) or r.size == 0 == r.times for r in got)
+    for s in (1, 2):
+        assert sum(r.times * r.size for r in got if r.source_no == s) == pytest.approx(
+            sum(r.taken for r in got if r.source_no == s), rel=0.06)
+
+
 def test_blocks_hold_the_words_taken(spark):
     rng = random.Random(9)
     rows = [(k, words(rng, rng.randrange(1, 90)), None, "ab"[k % 2], None) for k in range(60)]
