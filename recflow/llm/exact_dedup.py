@@ -87,9 +87,15 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     F.col("id").eqNullSafe(keep).alias("kept"), F.lower(F.hex("digest")).alias("digest")))
 
 
+def _mark(id_col: Column, digest: Column) -> Column:
+    """Hash of an id, null too, and its text's hexadecimal digest."""
+    return F.unhex(F.sha2(F.concat(digest, F.coalesce(F.concat(F.lit(":"), id_col.cast("string")), F.lit(""))), 256))
+
+
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, with all their columns."""
-    dropped = stored(exact_groups(docs, id_col, text_col).where(~F.col("kept")).select(F.col("id").alias("gone")), "dropped")
-    left = (packed(docs, id=F.col(id_col), text=normalised(text_col))
-            .join(dropped, F.col("id").eqNullSafe(F.col("gone")), "left_anti"))
-    return unpacked(left.dropDuplicates(["id", "text"]))
+    dropped = stored(exact_groups(docs, id_col, text_col).where(~F.col("kept"))
+                     .select(_mark(F.col("id"), F.col("digest")).alias("mark")).distinct(), "dropped")
+    # an id that repeats, null too, may have a copy and a text of its own; the documents move once, for both steps
+    once = packed(docs, mark=_mark(F.col(id_col), F.sha2(normalised(text_col), 256))).dropDuplicates(["mark"])
+    return unpacked(once.join(dropped, "mark", "left_anti"))

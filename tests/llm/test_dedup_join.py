@@ -36,6 +36,12 @@ def test_exact_keeps_one_row_of_each_text(odd, odd_rows, none):
     assert E.drop_copies(none).collect() == [] and E.exact_groups(none).collect() == []
 
 
+def test_exact_keeps_texts_found_nowhere_else_of_repeated_ids(spark):
+    rows = [(1, "copied"), (None, "copied"), (None, "alone"), (7, "copied"), (7, "mine"), (8, "other"), (None, "alone")]
+    got = E.drop_copies(spark.createDataFrame([(*r, None, None, None) for r in rows], SCHEMA))
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter([(1, "copied"), (None, "alone"), (7, "mine"), (8, "other")])
+
+
 def test_directory_doubles_until_buckets_fit(spark):
     keys = spark.range(3000).selectExpr("xxhash64(id) AS key")
     depth, slots = E.directory(keys, capacity=100)
