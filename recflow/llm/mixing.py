@@ -112,10 +112,18 @@ def draw(plan: DataFrame, shard_slots: int = SHARD_SLOTS) -> DataFrame:
                     F.when(F.col("slot") == F.col("slots") - 1, F.col("last_cut")).alias("cut")))
 
 
-def place_documents(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> tuple[DataFrame, DataFrame]:
+def numbered_rows(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """number, row (the whole row), id, text, source; the numbers are fixed by being written."""
+    whole = stored(packed(docs).withColumn("number", F.monotonically_increasing_id()), "numbered")
+    at = lambda c: F.col("row").getField(c)
+    return whole.select("number", "row", at(id_col).alias("id"), at(text_col).alias("text"), at(source_col).alias("source"))
+
+
+def place_documents(docs: DataFrame, id_col: str, text_col: str, source_col: str, row_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(documents with row, id, tie, source_no, size, start within the source; sources)."""
-    sized = stored(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), text_of(text_col).alias("text"))
-                   .select(F.monotonically_increasing_id().alias("row"), "id", "source", F.xxhash64("text").alias("tie"),
+    row = F.monotonically_increasing_id() if row_col is None else F.col(row_col)
+    sized = stored(docs.select(row.alias("row"), F.col(id_col).alias("id"), F.col(source_col).alias("source"), text_of(text_col).alias("text"))
+                   .select("row", "id", "source", F.xxhash64("text").alias("tie"),
                            F.regexp_count("text", F.lit(WORD)).cast("long").alias("size")), "sizes")
     sources = stored(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))), "sources")
     chunks = max(1, math.ceil(sized.count() / CHUNK_DOCS))
@@ -144,9 +152,9 @@ def pieces(placed: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def taken_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-                block: int = BLOCK) -> DataFrame:
+                block: int = BLOCK, row_col: str | None = None) -> DataFrame:
     """A row per document: row, id, tie, size, source_no, source_size, target, taken."""
-    placed, sources = place_documents(docs, id_col, text_col, source_col)
+    placed, sources = place_documents(docs, id_col, text_col, source_col, row_col)
     drawn = (draw(_plan(sources, block)).groupBy("source_no", "block")
              .agg(F.count(F.when(F.col("cut").isNull(), 1)).alias("times"), F.max("cut").alias("cut")))
     part = F.greatest(F.lit(0), F.least("high", "cut") - F.col("low"))
@@ -167,10 +175,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def mixed_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                  block: int = BLOCK) -> DataFrame:
     """The mix itself: shard, place, source_no, block, text of the words taken."""
-    placed, sources = place_documents(docs, id_col, text_col, source_col)
-    words = docs.select(F.col(id_col).alias("id"), F.regexp_extract_all(text_of(text_col), F.lit(WORD), 0).alias("words"),
-                        F.xxhash64(text_of(text_col)).alias("tie")).dropDuplicates(["id", "tie"]).drop("tie")
-    cut = (pieces(placed, block).join(words, "id").where(F.size("words") >= F.col("skip") + F.col("high") - F.col("low"))
+    whole = numbered_rows(docs, id_col, text_col, source_col)
+    placed, sources = place_documents(whole, "id", "text", "source", "number")
+    words = whole.select(F.col("number").alias("row"), F.regexp_extract_all(text_of("text"), F.lit(WORD), 0).alias("words"))
+    cut = (pieces(placed, block).join(words, "row")
            .select("source_no", "block", "low", F.expr("slice(words, cast(skip + 1 as int), cast(high - low as int))").alias("words")))
     blocks = (cut.groupBy("source_no", "block").agg(F.flatten(F.transform(
         F.array_sort(F.collect_list(F.struct("low", "words"))), lambda x: x["words"])).alias("words")))  # at most one block of words
@@ -205,7 +213,8 @@ def copies(placed: DataFrame) -> DataFrame:
 def resample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The documents of the mix with all their columns: whole ones, so often that each one's
     expected words are those taken (none, once or twice)."""
-    drawn = (copies(taken_words(docs, id_col, text_col, source_col)).groupBy("id").agg(F.max("times").alias("_times")).where("_times > 0")
-             .select(F.col("id").alias("drawn"), "_times"))
-    return unpacked(packed(docs, id=F.col(id_col)).join(stored(drawn, "drawn"), F.col("id").eqNullSafe(F.col("drawn")))
-                    .select("row", F.explode(F.sequence(F.lit(1), F.col("_times")))))
+    whole = numbered_rows(docs, id_col, text_col, source_col)
+    drawn = (copies(taken_words(whole, "id", "text", "source", row_col="number")).where("times > 0")
+             .select(F.col("row").alias("drawn"), "times"))
+    return unpacked(whole.join(stored(drawn, "drawn"), F.col("number") == F.col("drawn"))
+                    .select("row", F.explode(F.sequence(F.lit(1), F.col("times")))))

@@ -14,8 +14,9 @@ Links are then united to groups by alternating large and small stars.
 
 Defined results: words are runs of non-white-space; a text of one to four words is one
 shingle; null, empty and blank texts have no shingles and link with nothing; a null id links
-with nothing and has a null class; rows that repeat id and text are copies; extra columns
-are ignored.  Shingles are 64-bit hashes.
+with nothing and has a null class; rows that repeat id and text are copies; an id that
+repeats with other texts is several documents, each linked by its own text, and of the least
+id's texts in a group the one of least hash stands for it; extra columns are ignored.  Shingles are 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -179,7 +180,7 @@ def _components(linked: np.ndarray) -> np.ndarray:
 def block_verifier(threshold: float):
     def verify(rows: pd.DataFrame) -> pd.DataFrame:
         """One bucket's block pair: a row per class with its links here and its local component."""
-        rows = rows.sort_values("rep", ignore_index=True)
+        rows = rows.sort_values("node", ignore_index=True)
         key, low, high = int(rows["key"].iloc[0]), int(rows["low"].iloc[0]), int(rows["high"].iloc[0])
         sets = [np.frombuffer(g, np.uint64) for g in rows["grams"]]
         size = np.array([len(s) for s in sets])
@@ -197,8 +198,8 @@ def block_verifier(threshold: float):
         for who in holders.values():
             owned[np.ix_(who, who)] = False
         links = (linked & owned) @ rows["copies"].to_numpy(np.int64)
-        rep = rows["rep"].to_numpy()
-        out = pd.DataFrame({"rep": rep, "label": rep[_components(linked)], "links": links})
+        node = rows["node"].to_numpy()
+        out = pd.DataFrame({"node": node, "label": node[_components(linked)], "links": links})
         return out[linked.any(axis=1)]
 
     return verify
@@ -231,68 +232,80 @@ def connected(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
-                size: int = WORDS, recall: float = RECALL) -> DataFrame:
-    """A row per document: id, rep (of its class), class_id (of its group of linked
-    documents: the least id), n_links (other documents at this similarity or more)."""
+def _grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
+             size: int = WORDS, recall: float = RECALL) -> DataFrame:
+    """A row per document: id, tie (hash of its text), rep, class_id, n_links, stands (for its group)."""
     bands, rows = choose_bands(threshold, recall)
-    texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    signed = stored(texts.select("id", signer(bands, rows, size)(F.col("text")).alias("s")).select("id", "s.*"), "signed")
+    texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).withColumn("tie", F.xxhash64("text"))
+    signed = stored(texts.select("id", "tie", signer(bands, rows, size)(F.col("text")).alias("s")).select("id", "tie", "s.*"), "signed")
     known = signed.where("cls IS NOT NULL AND id IS NOT NULL")
-    # the least id of a class stands for it, with its signature
-    reps = stored(known.groupBy("cls").agg(F.min(F.struct("id", "size", "keys")).alias("r"), F.count("*").alias("copies"))
-                  .select("cls", "copies", F.col("r.id").alias("rep"), "r.size", "r.keys"), "reps")
-    keyed = reps.select("rep", "size", F.explode("keys").alias("key"))
+    # the least id of a class stands for it, with its signature; an id may stand for several, so the
+    # graph's nodes are numbers of classes, fixed by being written
+    reps = stored(known.groupBy("cls").agg(F.min(F.struct("id", "tie", "size", "keys")).alias("r"), F.count("*").alias("copies"))
+                  .select(F.monotonically_increasing_id().alias("node"), "cls", "copies", F.col("r.id").alias("rep"),
+                          F.col("r.tie").alias("tie"), "r.size", "r.keys"), "reps")
+    keyed = reps.select("node", "size", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.sum("size").alias("grams")).where("n > 1")
-    members = stored(keyed.select("rep", "key").join(shared, "key"), "members")
+    members = stored(keyed.select("node", "key").join(shared, "key"), "members")
 
-    few = members.where(F.col("n") <= SMALL).select("key", "rep")
-    pairs = stored(few.select("key", F.col("rep").alias("a")).join(few.select("key", F.col("rep").alias("b")), "key")
+    few = members.where(F.col("n") <= SMALL).select("key", "node")
+    pairs = stored(few.select("key", F.col("node").alias("a")).join(few.select("key", F.col("node").alias("b")), "key")
                    .where("a < b").select("a", "b").distinct(), "pairs")
     crowded = members.where(F.col("n") > SMALL)
-    crowds = crowded.groupBy("rep").agg(F.collect_set("key").alias("crowds"))  # at most one key a band
-    wanted = (pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep")))
-              .unionByName(crowded.select("rep")).distinct())
-    wanted = wanted.join(reps.select("rep", "cls", "copies"), "rep")
-    grams = (texts.join(wanted.select(F.col("rep").alias("id")), "id", "left_semi")
-             .select(F.col("id").alias("rep"), grammer(size)(F.col("text")).alias("g")).select("rep", "g.*"))
-    sets = stored(grams.dropDuplicates(["rep", "cls"]).join(wanted, ["rep", "cls"]).join(crowds, "rep", "left")
-                  .select("rep", "copies", "grams", F.coalesce("crowds", F.array().cast("array<long>")).alias("crowds")), "sets")
-
-    side = lambda x: sets.select(*(F.col(c).alias(f"{x}{'' if c == 'rep' else '_' + c}") for c in sets.columns))
+    crowds = crowded.groupBy("node").agg(F.collect_set("key").alias("crowds"))  # at most one key a band
+    wanted = (pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+              .unionByName(crowded.select("node")).distinct())
+    wanted = wanted.join(reps.select("node", "rep", "tie", "cls", "copies"), "node")
+    grams = (texts.join(wanted.select(F.col("rep").alias("id"), "tie"), ["id", "tie"], "left_semi")
+             .select(F.col("id").alias("rep"), "tie", grammer(size)(F.col("text")).alias("g")).select("rep", "tie", "g.*"))
+    sets = stored(grams.dropDuplicates(["rep", "tie", "cls"]).join(wanted, ["rep", "tie", "cls"]).join(crowds, "node", "left")
+                  .select("node", "copies", "grams", F.coalesce("crowds", F.array().cast("array<long>")).alias("crowds")), "sets")
+
+    side = lambda x: sets.select(*(F.col(c).alias(f"{x}{'' if c == 'node' else '_' + c}") for c in sets.columns))
     verified = (pairs.join(side("a"), "a").join(side("b"), "b").where(~F.arrays_overlap("a_crowds", "b_crowds"))
                 .withColumn("s", F.pandas_udf(_similar, "double")("a_grams", "b_grams")).where(F.col("s") >= threshold)
                 .select("a", "b", "a_copies", "b_copies"))
     verified = stored(verified, "verified")
 
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("grams") / BLOCK_SHINGLES)).cast("long")
-    placed = (crowded.select("key", "rep", blocks.alias("blocks")).join(sets, "rep")
-              .withColumn("block", F.expr("pmod(xxhash64(rep), blocks)"))
+    placed = (crowded.select("key", "node", blocks.alias("blocks")).join(sets, "node")
+              .withColumn("block", F.expr("pmod(xxhash64(node), blocks)"))
               .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
               .select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-                      "block", "rep", "copies", "grams", "crowds"))
+                      "block", "node", "copies", "grams", "crowds"))
     crowd_links = stored(placed.groupBy("key", "low", "high").applyInPandas(
-        block_verifier(threshold), "rep long, label long, links long"), "crowd-links")
+        block_verifier(threshold), "node long, label long, links long"), "crowd-links")
 
     edges = (verified.select(F.col("b").alias("u"), F.col("a").alias("v"))
-             .unionByName(crowd_links.where("rep <> label").select(F.col("rep").alias("u"), F.col("label").alias("v"))))
+             .unionByName(crowd_links.where("node <> label").select(F.col("node").alias("u"), F.col("label").alias("v"))))
     roots = connected(edges)
-    links = (verified.select(F.col("a").alias("rep"), F.col("b_copies").alias("links"))
-             .unionByName(verified.select(F.col("b").alias("rep"), F.col("a_copies").alias("links")))
-             .unionByName(crowd_links.select("rep", "links")).groupBy("rep").agg(F.sum("links").alias("links")))
-    groups = (reps.select("cls", "rep", "copies").join(links, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+    links = (verified.select(F.col("a").alias("node"), F.col("b_copies").alias("links"))
+             .unionByName(verified.select(F.col("b").alias("node"), F.col("a_copies").alias("links")))
+             .unionByName(crowd_links.select("node", "links")).groupBy("node").agg(F.sum("links").alias("links")))
+    groups = (reps.select("cls", "node", "rep", "tie", "copies").join(links, "node", "left").join(roots, "node", "left")
               .where("copies > 1 OR links IS NOT NULL OR root IS NOT NULL")
-              .select("cls", "rep", F.coalesce("root", "rep").alias("class_id"),
+              .select("cls", "rep", "tie", F.coalesce("root", "node").alias("root"),
                       (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
     groups = stored(groups, "groups")
-    return (signed.select("id", "cls").join(groups, "cls", "left")
-            .select("id", F.when(F.col("id").isNotNull(), F.coalesce("rep", "id")).alias("rep"),
+    least = groups.groupBy("root").agg(F.min(F.struct("rep", "tie")).alias("least"))
+    groups = groups.join(least, "root").select("cls", "rep", F.col("least.rep").alias("class_id"), F.col("least.tie").alias("least_tie"), "n_links")
+    stands = F.col("class_id").isNull() | (F.col("class_id") == F.col("id")) & (F.col("least_tie") == F.col("tie"))
+    return (signed.select("id", "tie", "cls").join(groups, "cls", "left")
+            .select("id", "tie", F.when(F.col("id").isNotNull(), F.coalesce("rep", "id")).alias("rep"),
                     F.when(F.col("id").isNotNull(), F.coalesce("class_id", "id")).alias("class_id"),
-                    F.when(F.col("id").isNotNull(), F.coalesce("n_links", F.lit(0))).otherwise(0).cast("long").alias("n_links")))
+                    F.when(F.col("id").isNotNull(), F.coalesce("n_links", F.lit(0))).otherwise(0).cast("long").alias("n_links"),
+                    (F.col("id").isNull() | stands).alias("stands")))
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """A row per document: id, rep (of its class), class_id (of its group of linked
+    documents: the least id), n_links (other documents at this similarity or more)."""
+    return _grouped(docs, id_col, text_col, **options).select("id", "rep", "class_id", "n_links")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents that stand for their groups, with all their columns; null ids stay."""
-    gone = stored(near_groups(docs, id_col, text_col, **options).where("class_id <> id").select(F.col("id").alias("gone"))
-                  .distinct(), "gone")
-    return unpacked(packed(docs, id=F.col(id_col)).join(gone, F.col("id") == F.col("gone"), "left_anti"))
+    gone = stored(_grouped(docs, id_col, text_col, **options).where("NOT stands")
+                  .select(F.col("id").alias("gone"), F.col("tie").alias("gone_tie")).distinct(), "gone")
+    return unpacked(packed(docs, id=F.col(id_col), tie=F.xxhash64(text_of(text_col)))
+                    .join(gone, (F.col("id") == F.col("gone")) & (F.col("tie") == F.col("gone_tie")), "left_anti"))

@@ -105,6 +105,20 @@ def test_near_groups_equal_brute_force(odd, odd_rows, none):
     assert {r.doc_id for r in kept.collect()} == {None, *(i for i in group if group[i] == i)}
 
 
+@pytest.mark.parametrize("small", [24, 0])
+def test_an_id_with_several_texts_is_several_documents(spark, monkeypatch, small):
+    rng = random.Random(3)
+    a, b, c, d = (words(rng, 120) for _ in range(4))
+    rows = [(5, a), (6, a + " x"), (5, b), (7, b + " y"), (7, c), (9, c + " z"), (9, d), (5, d + " w"), (5, d + " v")]
+    docs = spark.createDataFrame([(*r, None, None, None) for r in rows], SCHEMA)
+    monkeypatch.setattr(N, "SMALL", small)
+    got = Counter(tuple(r) for r in N.near_groups(docs).select("id", "class_id", "n_links").collect())
+    assert got == Counter([(5, 5, 1), (6, 5, 1), (5, 5, 1), (7, 5, 1), (7, 7, 1), (9, 7, 1), (9, 5, 2), (5, 5, 2), (5, 5, 2)])
+    kept = Counter((r.doc_id, r.text) for r in N.one_of_each(docs).collect())
+    (last,) = [t for i, t in kept if i == 5 and t.startswith(d)]
+    assert kept == Counter([(5, a), (5, b), (7, c), (5, last)])
+
+
 @pytest.mark.parametrize("small", [24, 3])
 def test_crowded_buckets_by_blocks_lose_no_link(spark, monkeypatch, small):
     """A large group of near copies: block pairs give the links and groups of all pairs."""

@@ -156,6 +156,27 @@ def test_copies_of_long_documents_keep_the_ratio(spark, ratio):
             sum(r.taken for r in got if r.source_no == s), rel=0.06)
 
 
+def test_ids_with_several_texts_are_mixed_by_row(spark):
+    """One id on all rows: its long texts are drawn as often as their words are, blocks hold each row's own words."""
+    rng = random.Random(11)
+    rows = [(1 if k % 2 else None, f"r{k} " * rng.choice([40, 900]), None, "abcdef"[k % 6], None) for k in range(600)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    own = lambda t: t.split()[0]
+    target = {r.source_no: r.target for r in M.mix(docs).collect()}
+    words, times = Counter(), Counter()
+    for r in M.resample(docs).collect():
+        words["abcdef".index(r.source) + 1] += len(r.text.split())
+        times[own(r.text)] += 1
+    assert max(times.values()) <= 2 and len(set(times.values())) > 1
+    assert words == {s: pytest.approx(t, rel=0.08) for s, t in target.items()}
+    place = {own(r[1]): "abcdef".index(r[3]) + 1 for r in rows}
+    got = Counter()
+    for r in M.mixed_blocks(docs).collect():
+        got[r.source_no] += len(r.text.split())
+        assert {place[w] for w in r.text.split()} == {r.source_no}
+    assert got == {s: pytest.approx(t, abs=1) for s, t in target.items()}
+
+
 def test_blocks_hold_the_words_taken(spark):
     rng = random.Random(9)
     rows = [(k, words(rng, rng.randrange(1, 90)), None, "ab"[k % 2], None) for k in range(60)]
