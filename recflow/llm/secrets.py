@@ -29,6 +29,7 @@ class Detector:
     group: int = 0
     least: int = 1  # characters of the value
     base: bool = False
+    needs: tuple[str, ...] = ()  # patterns that the value has to hold
 
 
 # The base kinds; hex and access have their least lengths in the pattern, as runs are maximal.
@@ -39,10 +40,12 @@ BASE = (
 )
 #: Further kinds that the frequency decides on.
 FURTHER = (
-    Detector("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]{0,8192}"),
+    # to the END line, header lines and escaped line ends included; without one as far as headers and base64 go
+    Detector("private_key", r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY-----((?:[^-]++|-(?!----))*+(?=-----END [A-Z0-9 ]{0,40}PRIVATE KEY-----)"
+             r"|(?:\s*+[A-Za-z][A-Za-z0-9-]*+:[^\r\n]*+)*+[A-Za-z0-9+/=\s]*+)(?:-----END [A-Z0-9 ]{0,40}PRIVATE KEY-----)?", 1),
     Detector("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Detector("url_login", r"[a-z][a-z0-9+.-]{1,20}://[^\s:/@]{1,64}:([^\s:/@]{4,128})@", 1),
-    Detector("opaque", r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,127}[0-9])(?=[0-9A-Z+/_-]{0,127}[a-z])(?=[0-9a-z+/_-]{0,127}[A-Z])[A-Za-z0-9+/_-]{24,128}(?![A-Za-z0-9+/_-])"),
+    Detector("url_login", r"[a-z][a-z0-9+.-]{1,20}://[^\s:/@]*+:([^\s:/@]{4,}+)@", 1),
+    Detector("opaque", r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}+", needs=("[0-9]", "[a-z]", "[A-Z]")),
 )
 #: A value held by more owners than this is an example.
 MAX_OWNERS = 1
@@ -75,7 +78,11 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     each = scanned.where(F.size("hits") > 0).select("row", "owner", "repo", F.explode("hits").alias("h")).select("row", "owner", "repo", "h.*")
     end = F.sum(F.col("gap") + F.col("size")).over(Window.partitionBy("row", "kind_no").orderBy("at"))
     least = F.element_at(F.array(*(F.lit(d.least) for d in detectors)), F.col("kind_no") + 1)
-    spans = (each.withColumn("end", end).where(F.length("value") >= least)
+    spans = each.withColumn("end", end).where(F.length("value") >= least)
+    for k, d in enumerate(detectors):
+        for need in d.needs:
+            spans = spans.where((F.col("kind_no") != k) | F.col("value").rlike(need))
+    spans = (spans
              .select("row", "owner", "repo", "kind_no", (F.col("end") - F.col("size")).alias("start"), "end",
                      F.sha2("value", 256).alias("key"),
                      (F.size(F.array_distinct(F.split("value", ""))) >= LEAST_VARIETY).alias("varied")))
