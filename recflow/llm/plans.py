@@ -12,6 +12,7 @@ from recflow.llm import (
     bpe,
     exact_dedup,
     html_extract,
+    lexical,
     licenses,
     mixing,
     ngram_join,
@@ -90,6 +91,11 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), F.col("rep").alias("rep_id"), "class_id", "n_links")
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return out.select(F.col("item").alias("item_id"), "rank", F.col("id").cast("long").alias("doc_id"), "score")
+
+
 QUERIES = {
     "op1_html_extract": op1_html_extract,
     "op2_bpe": op2_bpe,
@@ -101,9 +107,25 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_mixing": op9_mixing,
     "op10_ngram_join": op10_ngram_join,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLES = {
+    "op13_lexical_search": r"""
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+n AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+c AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM n),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM t WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, c GROUP BY term, docs),
+m AS (SELECT doc_id, 10 + (90 * n * docs) // terms AS m FROM n, c),
+s AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+    FROM q JOIN tf USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10
+""",
     "op8_warc": r"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 g AS (SELECT h, min(page_id) AS first_id FROM p GROUP BY h),
