@@ -19,6 +19,7 @@ from recflow.llm import (
     quality,
     secrets,
     toxicity,
+    vector_search,
     warc,
 )
 from recflow.llm.common import read
@@ -91,6 +92,12 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), F.col("rep").alias("rep_id"), "class_id", "n_links")
 
 
+def op12_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = vector_search.search(read(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, "vec_id", "embedding")
+    return out.select(F.col("query").cast("long").alias("query_id"), "rank", F.col("id").cast("long").alias("vec_id"),
+                      F.col("distance").alias("score"))
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return out.select(F.col("item").alias("item_id"), "rank", F.col("id").cast("long").alias("doc_id"), "score")
@@ -107,6 +114,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_mixing": op9_mixing,
     "op10_ngram_join": op10_ngram_join,
+    "op12_nearest_vectors": op12_nearest_vectors,
     "op13_lexical_search": op13_lexical_search,
 }
 
