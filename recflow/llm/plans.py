@@ -16,6 +16,7 @@ from recflow.llm import (
     licenses,
     mixing,
     ngram_join,
+    prefix_trie,
     quality,
     secrets,
     toxicity,
@@ -92,6 +93,10 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), F.col("rep").alias("rep_id"), "class_id", "n_links")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.build(read(spark, sf_dir, "conversations"))
+
+
 def op12_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = vector_search.search(read(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, "vec_id", "embedding")
     return out.select(F.col("query").cast("long").alias("query_id"), "rank", F.col("id").cast("long").alias("vec_id"),
@@ -114,11 +119,34 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_mixing": op9_mixing,
     "op10_ngram_join": op10_ngram_join,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_nearest_vectors": op12_nearest_vectors,
     "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLES = {
+    "op11_prefix_trie": r"""
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos,
+        [coalesce(role, ''), coalesce(text, '')] AS turn FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list(turn ORDER BY pos) AS turns FROM t GROUP BY conv_id),
+crc AS (SELECT conv_id, turns, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(conv_id::VARCHAR) + 1),
+        lambda i: ascii(substr(conv_id::VARCHAR, i, 1))::BIGINT)),
+        lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)),
+        4294967295) % 6 AS h FROM o),
+r AS (SELECT c.conv_id, list_concat(coalesce(b.turns[1:c.h], []), c.turns[c.h + 1:]) AS turns
+    FROM crc c LEFT JOIN o b ON b.conv_id = c.conv_id - c.conv_id % 100),
+p AS (SELECT conv_id, len(turns) AS total, unnest(range(0, len(turns) + 1)) AS depth, turns FROM r),
+n AS (SELECT turns[1:depth] AS prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        string_agg(CASE WHEN total = depth THEN conv_id::VARCHAR END, ',' ORDER BY conv_id) AS ends FROM p GROUP BY ALL),
+v AS (SELECT *, (n_convs - 1) * length(coalesce(prefix[depth][2], '')) AS saved FROM n),
+c AS (SELECT prefix[1:depth - 1] AS prefix, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+w AS (SELECT v.*, coalesce(n_children, 0) AS n_children FROM v LEFT JOIN c USING (prefix, depth)),
+s AS (SELECT a.prefix, a.depth, count(*) FILTER (b.n_children = 0) AS n_leaves, sum(b.saved)::BIGINT AS saved_tokens
+    FROM w a JOIN w b ON b.depth >= a.depth AND b.prefix[1:a.depth] = a.prefix GROUP BY ALL)
+SELECT w.conv_id, w.depth, u.conv_id AS parent_conv_id, w.n_convs, w.n_children, s.n_leaves, s.saved_tokens,
+    sha256(coalesce(w.ends, '')) AS ends_sha256
+FROM w JOIN s USING (prefix, depth) LEFT JOIN n u ON w.depth > 0 AND u.depth = w.depth - 1 AND u.prefix = w.prefix[1:w.depth - 1]
+""",
     "op13_lexical_search": r"""
 WITH t AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
