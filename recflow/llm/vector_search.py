@@ -65,12 +65,12 @@ def clean(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def distinct_vectors(rows: DataFrame, keep: int) -> DataFrame:
-    """id, vector, rep, place: of each vector's rows those with the ``keep`` smallest ids; rep
-    is the smallest."""
+    """id, vector, place, rep: of each vector's rows those with the ``keep`` smallest ids; rep
+    numbers the vectors."""
     once = rows.withColumn("key", F.xxhash64("vector")).dropDuplicates(["key", "id", "vector"])
     own = Window.partitionBy("key", "vector")
-    return (once.withColumn("place", F.row_number().over(own.orderBy("id"))).where(F.col("place") <= keep)
-            .withColumn("rep", F.min("id").over(own)).drop("key"))
+    kept = once.withColumn("place", F.row_number().over(own.orderBy("id"))).where(F.col("place") <= keep)
+    return stored(kept.withColumn("rep", F.min(F.monotonically_increasing_id()).over(own)).drop("key"), "distinct_vectors")
 
 
 def matrix(column) -> np.ndarray:
@@ -218,7 +218,7 @@ def build(vectors: DataFrame, nearest: int = NEAREST, sample: int = SAMPLE, list
 
 
 def nearest_in_block(queries: np.ndarray, points: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query rows, ids, distances): each query's k nearest points, ties to the smaller id."""
+    """(query rows, point rows, distances): each query's k nearest points, ties to the smaller id."""
     rough = squares(queries, points)
     if rough.shape[1] > k:
         slack = 1e-9 * ((queries * queries).sum(1) + (points * points).sum(1).max())
@@ -228,12 +228,12 @@ def nearest_in_block(queries: np.ndarray, points: np.ndarray, ids: np.ndarray, k
     exact = np.sqrt(((queries[rows] - points[cols]) ** 2).sum(1))
     order = np.lexsort((ids[cols], exact, rows))
     rows, cols, exact = rows[order], cols[order], exact[order]
-    place = np.arange(len(rows)) - np.searchsorted(rows, rows)
-    return rows[place < k], ids[cols][place < k], exact[place < k]
+    near = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
+    return rows[near], cols[near], exact[near]
 
 
-def _lists(of: DataFrame, id_col: str, choose, name: str) -> DataFrame:
-    """``of`` (id, vector) with a row for each list that ``choose(vectors)`` gives."""
+def _lists(of: DataFrame, choose, name: str) -> DataFrame:
+    """``of`` (rep, id, vector) with a row for each list that ``choose(vectors)`` gives."""
     kinds = dict(of.dtypes)
 
     def deal(batches):
@@ -242,12 +242,11 @@ def _lists(of: DataFrame, id_col: str, choose, name: str) -> DataFrame:
                 vectors = batch.column("vector")
                 points = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
                 chosen = choose(points)
-                rows = np.repeat(np.arange(batch.num_rows), [len(x) for x in chosen])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([np.asarray(x, np.int32) for x in chosen]), pa.int32()),
-                     batch.column(id_col).take(pa.array(rows)), vectors.take(pa.array(rows))], names=["list", id_col, "vector"])
+                rows = pa.array(np.repeat(np.arange(batch.num_rows), [len(x) for x in chosen]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.asarray(x, np.int32) for x in chosen]), pa.int32()),
+                                                  *(batch.column(c).take(rows) for c in kinds)], names=["list", *kinds])
 
-    return stored(of.select(id_col, "vector").mapInArrow(deal, f"list int, {id_col} {kinds[id_col]}, vector {kinds['vector']}"), name)
+    return stored(of.mapInArrow(deal, "list int, " + ", ".join(f"{c} {t}" for c, t in kinds.items())), name)
 
 
 def search(df: DataFrame, is_query: Column, id_col: str = "id", vector_col: str = "vector", k: int = NEAREST,
@@ -256,49 +255,46 @@ def search(df: DataFrame, is_query: Column, id_col: str = "id", vector_col: str
     condition on the column ``id``."""
     keep = k + 1
     rows = stored(clean(df, id_col, vector_col), "vectors")
-    kept = stored(distinct_vectors(rows, keep), "distinct_vectors")
-    reps = kept.where("place = 1").select("id", "vector")
-    index = index or build(reps, k, **sizes)
+    kept = distinct_vectors(rows, keep)
+    firsts = kept.where("place = 1").select("rep", "id", "vector")
+    index = index or build(firsts, k, **sizes)
     spark = df.sparkSession
     kind = dict(rows.dtypes)["id"]
     if index is None:
         return spark.createDataFrame([], f"query {kind}, rank int, id {kind}, distance double")
     sent = spark.sparkContext.broadcast(index)
-    postings = _lists(reps, "id", lambda points: sent.value.lists_of(points), "postings")
-    # a query's own vector is looked up by its rows' smallest id
-    asked = (rows.where(is_query).dropDuplicates(["id", "vector"]).withColumn("key", F.xxhash64("vector"))
-             .join(reps.select(F.xxhash64("vector").alias("key"), F.col("vector").alias("same"), F.col("id").alias("rep")), "key")
-             .where(F.col("vector") == F.col("same")))
-    queries = stored(asked.select(F.col("id").alias("query"), "rep", "vector"), "queries")
-    once = queries.dropDuplicates(["rep"]).select("rep", "vector")
-    probes = _lists(once, "rep", lambda points: [sent.value.search(p) for p in points], "probes")
+    postings = _lists(firsts, lambda points: sent.value.lists_of(points), "postings")
+    known = firsts.select(F.xxhash64("vector").alias("key"), F.col("vector").alias("same"), "rep")
+    asked = rows.where(is_query).dropDuplicates(["id", "vector"]).withColumn("key", F.xxhash64("vector"))
+    queries = stored(asked.join(known, "key").where(F.col("vector") == F.col("same")).select(F.col("id").alias("query"), "rep", "vector"), "queries")
+    probes = _lists(queries.dropDuplicates(["rep"]).select("rep", "vector"), lambda points: [sent.value.search(p) for p in points], "probes")
 
     cuts = (postings.groupBy("list").agg(F.ceil(F.count("*") / block).alias("blocks"))
             .join(probes.groupBy("list").agg(F.ceil(F.count("*") / group).alias("groups")), "list"))
     cuts = F.broadcast(cuts)  # a row for each list, at most LISTS
     spread = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    points = (postings.join(cuts, "list").withColumn("block", F.pmod(F.xxhash64(F.lit(SEED), "id"), F.col("blocks")))
-              .withColumn("group", spread("groups")).select("list", "block", "group", "id", "vector"))
+    points = (postings.join(cuts, "list").withColumn("block", F.pmod(F.xxhash64(F.lit(SEED), "rep"), F.col("blocks")))
+              .withColumn("group", spread("groups")).select("list", "block", "group", "rep", "id", "vector"))
     wanted = (probes.join(cuts, "list").withColumn("group", F.pmod(F.xxhash64(F.lit(SEED), "rep"), F.col("groups")))
               .withColumn("block", spread("blocks")).select("list", "block", "group", "rep", "vector"))
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"rep": [], "id": [], "distance": []})
-        at, ids, distance = nearest_in_block(matrix(left["vector"]), matrix(right["vector"]), right["id"].to_numpy(), keep)
-        return pd.DataFrame({"rep": left["rep"].to_numpy()[at], "id": ids, "distance": distance})
+            return pd.DataFrame({"asked": [], "rep": [], "first": [], "distance": []})
+        ids = right["id"].to_numpy()
+        at, of, distance = nearest_in_block(matrix(left["vector"]), matrix(right["vector"]), ids, keep)
+        return pd.DataFrame({"asked": left["rep"].to_numpy()[at], "rep": right["rep"].to_numpy()[of], "first": ids[of], "distance": distance})
 
     keys = ["list", "block", "group"]
-    near = wanted.groupBy(*keys).cogroup(points.groupBy(*keys)).applyInPandas(compare, f"rep {kind}, id {kind}, distance double")
+    near = wanted.groupBy(*keys).cogroup(points.groupBy(*keys)).applyInPandas(compare, f"asked long, rep long, first {kind}, distance double")
     ranked = lambda df, by, *order: df.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
-    merged = near.groupBy("rep", "id").agg(F.min("distance").alias("distance"))
-    merged = ranked(merged, ["rep"], "distance", "id").where(F.col("rank") <= keep).drop("rank")
-    # the rows of the vectors found; of each query's vector the best are enough for all of its rows
-    rows_found = merged.withColumnRenamed("id", "found").join(kept.select(F.col("rep").alias("found"), "id"), "found")
-    rows_found = ranked(rows_found, ["rep"], "distance", "id").where(F.col("rank") <= keep).drop("rank")
-    out = queries.select("query", "rep").join(rows_found, "rep")
-    own = (F.col("query") == F.col("id")) & (F.col("rep") == F.col("found"))
-    out = ranked(out.where(~own), ["query", "rep"], "distance", "id").where(F.col("rank") <= k)
+    merged = near.groupBy("asked", "rep").agg(F.min("distance").alias("distance"), F.min("first").alias("first"))
+    merged = ranked(merged, ["asked"], "distance", "first").where(F.col("rank") <= keep).drop("rank", "first")
+    # the rows of the vectors found: the best are enough for all rows of the vector that asks
+    found = ranked(merged.join(kept.select("rep", "id"), "rep"), ["asked"], "distance", "id").where(F.col("rank") <= keep).drop("rank")
+    out = queries.select("query", F.col("rep").alias("asked")).join(found, "asked")
+    own = (F.col("query") == F.col("id")) & (F.col("asked") == F.col("rep"))
+    out = ranked(out.where(~own), ["query", "asked"], "distance", "id").where(F.col("rank") <= k)
     return out.select("query", "rank", "id", "distance")
 
 
