@@ -42,7 +42,7 @@ HEADS, FAMILY = 6, 100
 #: Running sums are cut into chunks of so many turns.
 CHUNK = 8_192
 #: Turns in a shard, at least; messages that a queue holds in memory, runs on disk; ids in a piece.
-SHARD, HELD, RUNS, PIECE = 10_000, 200_000, 64, 8_192
+SHARD, HELD, RUNS, PIECE = 1_000, 200_000, 64, 8_192
 #: Parts of a name, and bits of each.
 PARTS, BITS = 3, 48
 ROOT = bytes(PARTS * BITS // 8)
