@@ -8,8 +8,9 @@ best first) and takes the lists whose distance is within a ratio of its nearest
 The ratio is measured on the sample: that which finds ``RECALL`` of the true neighbours of
 sampled queries.  The vectors of the lists taken are compared in double precision.
 
-Lists are cut into blocks, and the queries of a list into groups, so that a task holds one
-block and one group whatever the size of a list.  Rows of one vector are kept once in the
+Neighbouring lists stand on a shelf.  A shelf's vectors are cut into blocks and its queries
+into groups, so that a task holds one block and one group whatever the size of a list, and a
+query gets one answer from a block, the best of those lists of it that the query takes.  Rows of one vector are kept once in the
 lists, with the smallest ids that a result can need (one more than asked for); so are
 queries of one vector.
 
@@ -46,7 +47,8 @@ REPLICAS, REPLICA_RATIO, APART = 4, 1.06, 0.5
 DEGREE, VISITS = 24, 48
 #: Share of true neighbours that the ratio must find for queries of the sample, their number.
 RECALL, TRIALS = 0.97, 512
-#: Vectors in a block of a list, queries in a group.
+#: Lists on a shelf (bits of a mask); vectors in a block of a shelf, queries in a group.
+SHELF = 32
 BLOCK, GROUP = 4_096, 512
 #: Vectors compared with all centroids at once.
 ROWS = 2_048
@@ -217,14 +219,16 @@ def build(vectors: DataFrame, nearest: int = NEAREST, sample: int = SAMPLE, list
     return fit(points, max(1, min(lists, math.ceil(n / list_size), math.ceil(len(points) / 8))), nearest)
 
 
-def nearest_in_block(queries: np.ndarray, points: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query rows, point rows, distances): each query's k nearest points, ties to the smaller id."""
+def nearest_in_block(queries: np.ndarray, points: np.ndarray, ids: np.ndarray, k: int,
+                     masks: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query rows, point rows, distances): each query's k nearest points, ties to the smaller id,
+    of those whose mask shares a bit with its own."""
     rough = squares(queries, points)
-    if rough.shape[1] > k:
-        slack = 1e-9 * ((queries * queries).sum(1) + (points * points).sum(1).max())
-        rows, cols = np.nonzero(rough <= (np.partition(rough, k - 1, axis=1)[:, k - 1] + slack)[:, None])
-    else:
-        rows, cols = (x.ravel() for x in np.indices(rough.shape))
+    if masks is not None:
+        rough[(masks[0][:, None] & masks[1][None, :]) == 0] = np.inf
+    most = np.partition(rough, k - 1, axis=1)[:, k - 1] if rough.shape[1] > k else np.full(len(rough), np.inf)
+    slack = 1e-9 * ((queries * queries).sum(1) + (points * points).sum(1).max())
+    rows, cols = np.nonzero((rough <= (most + slack)[:, None]) & np.isfinite(rough))
     exact = np.sqrt(((queries[rows] - points[cols]) ** 2).sum(1))
     order = np.lexsort((ids[cols], exact, rows))
     rows, cols, exact = rows[order], cols[order], exact[order]
@@ -232,8 +236,17 @@ def nearest_in_block(queries: np.ndarray, points: np.ndarray, ids: np.ndarray, k
     return rows[near], cols[near], exact[near]
 
 
-def _lists(of: DataFrame, choose, name: str) -> DataFrame:
-    """``of`` (rep, id, vector) with a row for each list that ``choose(vectors)`` gives."""
+def shelves(lists: list[int]) -> dict[int, int]:
+    """Shelf: mask of these lists on it."""
+    out: dict[int, int] = {}
+    for x in lists:
+        out[x // SHELF] = out.get(x // SHELF, 0) | 1 << x % SHELF
+    return out
+
+
+def _shelved(of: DataFrame, choose, name: str) -> DataFrame:
+    """``of`` (rep, id, vector) with a row for each shelf, and the mask, of the lists that
+    ``choose(vectors)`` gives."""
     kinds = dict(of.dtypes)
 
     def deal(batches):
@@ -241,12 +254,13 @@ def _lists(of: DataFrame, choose, name: str) -> DataFrame:
             if batch.num_rows:
                 vectors = batch.column("vector")
                 points = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
-                chosen = choose(points)
+                chosen = [shelves(x) for x in choose(points)]
                 rows = pa.array(np.repeat(np.arange(batch.num_rows), [len(x) for x in chosen]))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.asarray(x, np.int32) for x in chosen]), pa.int32()),
-                                                  *(batch.column(c).take(rows) for c in kinds)], names=["list", *kinds])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x for c in chosen for x in c], pa.int32()), pa.array([m for c in chosen for m in c.values()], pa.int64()),
+                     *(batch.column(c).take(rows) for c in kinds)], names=["shelf", "mask", *kinds])
 
-    return stored(of.mapInArrow(deal, "list int, " + ", ".join(f"{c} {t}" for c, t in kinds.items())), name)
+    return stored(of.mapInArrow(deal, "shelf int, mask long, " + ", ".join(f"{c} {t}" for c, t in kinds.items())), name)
 
 
 def search(df: DataFrame, is_query: Column, id_col: str = "id", vector_col: str = "vector", k: int = NEAREST,
@@ -263,29 +277,31 @@ def search(df: DataFrame, is_query: Column, id_col: str = "id", vector_col: str
     if index is None:
         return spark.createDataFrame([], f"query {kind}, rank int, id {kind}, distance double")
     sent = spark.sparkContext.broadcast(index)
-    postings = _lists(firsts, lambda points: sent.value.lists_of(points), "postings")
+    postings = _shelved(firsts, lambda points: sent.value.lists_of(points), "postings")
     known = firsts.select(F.xxhash64("vector").alias("key"), F.col("vector").alias("same"), "rep")
     asked = rows.where(is_query).dropDuplicates(["id", "vector"]).withColumn("key", F.xxhash64("vector"))
     queries = stored(asked.join(known, "key").where(F.col("vector") == F.col("same")).select(F.col("id").alias("query"), "rep", "vector"), "queries")
-    probes = _lists(queries.dropDuplicates(["rep"]).select("rep", "vector"), lambda points: [sent.value.search(p) for p in points], "probes")
+    once = queries.dropDuplicates(["rep"]).select("rep", "vector").repartition("rep")
+    probes = _shelved(once, lambda points: [sent.value.search(p) for p in points], "probes")
 
-    cuts = (postings.groupBy("list").agg(F.ceil(F.count("*") / block).alias("blocks"))
-            .join(probes.groupBy("list").agg(F.ceil(F.count("*") / group).alias("groups")), "list"))
-    cuts = F.broadcast(cuts)  # a row for each list, at most LISTS
+    cuts = (postings.groupBy("shelf").agg(F.ceil(F.count("*") / block).alias("blocks"))
+            .join(probes.groupBy("shelf").agg(F.ceil(F.count("*") / group).alias("groups")), "shelf"))
+    cuts = F.broadcast(cuts)  # a row for each shelf, at most LISTS / SHELF
     spread = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    points = (postings.join(cuts, "list").withColumn("block", F.pmod(F.xxhash64(F.lit(SEED), "rep"), F.col("blocks")))
-              .withColumn("group", spread("groups")).select("list", "block", "group", "rep", "id", "vector"))
-    wanted = (probes.join(cuts, "list").withColumn("group", F.pmod(F.xxhash64(F.lit(SEED), "rep"), F.col("groups")))
-              .withColumn("block", spread("blocks")).select("list", "block", "group", "rep", "vector"))
+    points = (postings.join(cuts, "shelf").withColumn("block", F.pmod(F.xxhash64(F.lit(SEED), "rep"), F.col("blocks")))
+              .withColumn("group", spread("groups")).select("shelf", "block", "group", "mask", "rep", "id", "vector"))
+    wanted = (probes.join(cuts, "shelf").withColumn("group", F.pmod(F.xxhash64(F.lit(SEED), "rep"), F.col("groups")))
+              .withColumn("block", spread("blocks")).select("shelf", "block", "group", "mask", "rep", "vector"))
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"asked": [], "rep": [], "first": [], "distance": []})
         ids = right["id"].to_numpy()
-        at, of, distance = nearest_in_block(matrix(left["vector"]), matrix(right["vector"]), ids, keep)
+        at, of, distance = nearest_in_block(matrix(left["vector"]), matrix(right["vector"]), ids, keep,
+                                            (left["mask"].to_numpy(), right["mask"].to_numpy()))
         return pd.DataFrame({"asked": left["rep"].to_numpy()[at], "rep": right["rep"].to_numpy()[of], "first": ids[of], "distance": distance})
 
-    keys = ["list", "block", "group"]
+    keys = ["shelf", "block", "group"]
     near = wanted.groupBy(*keys).cogroup(points.groupBy(*keys)).applyInPandas(compare, f"asked long, rep long, first {kind}, distance double")
     ranked = lambda df, by, *order: df.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
     merged = near.groupBy("asked", "rep").agg(F.min("distance").alias("distance"), F.min("first").alias("first"))
