@@ -6,7 +6,9 @@ extra columns of its input, whatever they are called, never clash with its own.
 
 from __future__ import annotations
 
+import functools
 import sys
+from collections.abc import Callable
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,10 +36,39 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     start from the files, and a lost executor costs no recomputation of what led there."""
     spark = df.sparkSession
     path = shared_dir(spark, name)
+    if _in_stage:
+        _scratch.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Scratch tables of the running or last stage of a pipeline.
+_scratch: list[str] = []
+_in_stage = False
+
+
+def stage(function: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A stage of a pipeline, ``function(spark, docs, sf_dir)``.  Its predecessor's rows are
+    written by the time it begins and come as ``docs``, so the predecessor's scratch tables
+    go first, unless ``docs`` still reads them."""
+    @functools.wraps(function)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        global _in_stage
+        if _scratch:
+            read_now = docs.inputFiles()
+            for path in _scratch:
+                if not any(path in file for file in read_now):
+                    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+                    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+            _scratch.clear()
+        _in_stage = True
+        try:
+            return function(spark, docs, sf_dir)
+        finally:
+            _in_stage = False
+    return run
+
+
 def text_of(name: str = "text") -> Column:
     """The whole text; null counts as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

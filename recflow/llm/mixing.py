@@ -112,11 +112,15 @@ def draw(plan: DataFrame, shard_slots: int = SHARD_SLOTS) -> DataFrame:
                     F.when(F.col("slot") == F.col("slots") - 1, F.col("last_cut")).alias("cut")))
 
 
-def numbered_rows(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """number, row (the whole row), id, text, source; the numbers are fixed by being written."""
-    whole = stored(packed(docs).withColumn("number", F.monotonically_increasing_id()), "numbered")
-    at = lambda c: F.col("row").getField(c)
-    return whole.select("number", "row", at(id_col).alias("id"), at(text_col).alias("text"), at(source_col).alias("source"))
+def numbered_rows(docs: DataFrame, id_col: str, text_col: str, source_col: str, in_files: bool = False) -> DataFrame:
+    """number, row (the whole row), id, text, source.  A row's number is its place in the
+    files; documents that aren't rows ``in_files`` as they stand are written first."""
+    whole = docs if in_files else stored(docs, "numbered")
+    at = whole.metadataColumn("_metadata")
+    file, place = at.getField("file_path"), at.getField("row_index")
+    number = F.struct(F.xxhash64(file).alias("file"), F.hash(file).alias("more"), place.alias("place"))
+    of = lambda c: F.col(f"`{c}`")
+    return packed(whole, number=number, id=of(id_col), text=of(text_col), source=of(source_col))
 
 
 def place_documents(docs: DataFrame, id_col: str, text_col: str, source_col: str, row_col: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -210,11 +214,13 @@ def copies(placed: DataFrame) -> DataFrame:
         "whole", "rest", "stratum", "chunk", "before")
 
 
-def resample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def resample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+             in_files: bool = False) -> DataFrame:
     """The documents of the mix with all their columns: whole ones, so often that each one's
-    expected words are those taken (none, once or twice)."""
-    whole = numbered_rows(docs, id_col, text_col, source_col)
+    expected words are those taken (none, once or twice).  ``in_files``: ``docs`` are the rows
+    of files as they stand, so that their places in the files number them; others are written."""
+    whole = numbered_rows(docs, id_col, text_col, source_col, in_files)
     drawn = (copies(taken_words(whole, "id", "text", "source", row_col="number")).where("times > 0")
              .select(F.col("row").alias("drawn"), "times"))
-    return unpacked(whole.join(stored(drawn, "drawn"), F.col("number") == F.col("drawn"))
+    return unpacked(whole.select("number", "row").join(stored(drawn, "drawn"), F.col("number") == F.col("drawn"))
                     .select("row", F.explode(F.sequence(F.lit(1), F.col("times")))))
