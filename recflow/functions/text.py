@@ -65,6 +65,13 @@ def name_pattern(c) -> Column:
     return F.concat(F.lit("(?iu)"), q, pre, post)
 
 
+def same_text(text, name) -> Column:
+    """Whether a text is the name, letter for letter, in any case, as a case-insensitive
+    pattern sees it.  Nearly all hits are equal as they stand and need no pattern."""
+    whole = F.concat(F.lit(r"(?iu)\A"), quote_literal(name), F.lit(r"\z"))
+    return (col(text) == col(name)) | ((F.length(col(text)) == F.length(col(name))) & F.rlike(col(text), whole))
+
+
 def word_tokens(c) -> Column:
     """Array of maximal word runs of the text."""
     return F.regexp_extract_all(col(c), F.lit(f"{WORD}+"), 0)

@@ -19,7 +19,7 @@ from recflow.operators.actions import action_items
 from recflow.operators.delivery import delivery_signal
 from recflow.operators.entities import company_hits, entity_mentions, mention_list
 from recflow.operators.sinks import append_new, backlink_line, candidate_line, rollup_block
-from recflow.session import shared_dir
+from recflow.session import stored
 
 
 def enrich_pending(df: DataFrame, reenrich_on_category_change: bool = False) -> DataFrame:
@@ -81,26 +81,20 @@ class EnrichBatch:
         self.existing = existing_backlinks, existing_blocks, existing_candidates
         self.prepared = prepare(sidecars_joined(pending, summaries, transcripts, key), run_date, key)
 
-    def _stored(self, df: DataFrame, name: str) -> DataFrame:
-        spark = df.sparkSession
-        path = shared_dir(spark, f"enrich-{name}")
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
     @cached_property
     def facts(self) -> DataFrame:
         gated = F.col("category").isin(vocab.ACTION_CATEGORIES)
         found = F.when(gated, action_items("summary"))
         business = F.col("category") == "Business"
-        return self._stored(self.prepared.select(
+        return stored(self.prepared.select(
             self.key, "has_header", "status", "category", "recorded_date", "title_eff",
             F.when(F.size(found) > 0, found).alias("items"),
-            F.when(business, delivery_signal("delivery_text")).otherwise(F.lit(False)).alias("signal")), "facts")
+            F.when(business, delivery_signal("delivery_text")).otherwise(F.lit(False)).alias("signal")), "enrich-facts")
 
     @cached_property
     def mentions(self) -> DataFrame:
         texts = self.prepared.select(self.key, F.col("search_text").alias("text"))
-        return self._stored(entity_mentions(texts, self.entities, key=self.key), "mentions")
+        return stored(entity_mentions(texts, self.entities, key=self.key), "enrich-mentions")
 
     @cached_property
     def names(self) -> DataFrame:

@@ -1,13 +1,14 @@
 """Entity dictionary and whole-name mention matching at scale.
 
 Matching every document against every entity regex is a nested-loop join.
-Instead a name and a text are cut into parts, runs of word and of other
-characters in turn, and each entity gets one *key part*: of its words the one
-that the fewest names hold (a shared last word like "Holdings Ltd" is no key).
-A whole-name match implies that the key occurs as a complete part of the text.
-Each part of a text goes into an equi-join with the keys, together with the
-window of parts around it that the longest name could fill; the exact pattern
-is then tested on that window.  No text is joined or shuffled for it.
+Instead names and texts are cut into words, and the dictionary's words are looked
+up in the texts once: an inverted index of (document, place, word), with the
+separators around each word, of the words that some name holds.  A name is
+anchored at the word of it that the fewest names hold (a shared last word like
+"Holdings Ltd" is no anchor).  Where the index holds an anchor, the name's further
+words are looked for at the places that follow from it, by an equi-join on
+(document, place, word): a mention is a place where all of them are found.  The
+work for a name depends on that name alone, and no text is joined or shuffled.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recflow.functions import vocab
-from recflow.functions.text import NON_WORD, WORD, col, name_pattern
+from recflow.functions.text import NON_WORD, WORD, col, same_text
+from recflow.session import stored
 
 
 def fold(c) -> Column:
@@ -56,42 +58,78 @@ def _parts(c) -> Column:
     return F.regexp_extract_all(col(c), F.lit(f"{WORD}+|{NON_WORD}+"), 0)
 
 
-def _keyed(entities: DataFrame) -> DataFrame:
-    """Entities with their key part and how many parts stand before and after it.
-
-    A name without any word character is its own key: between word boundaries it is a
-    whole part of the text."""
-    who = ["name", "type", "type_rank"]
-    parts = entities.where(F.length("name") > 0).select(*who, _parts("name").alias("_parts"))
-    keys = (parts.select(*who, F.size("_parts").alias("_n"), F.posexplode("_parts").alias("_at", "_part"))
-            .where(F.col("_part").rlike(WORD) | (F.col("_n") == 1)).withColumn("_key", fold("_part")))
-    spread = keys.select("name", "_key").distinct().groupBy("_key").agg(F.count(F.lit(1)).alias("_names"))
-    best = F.min(F.struct("_names", (-F.length("_part")).alias("_short"), "_at", "_key", "_n")).alias("_k")
-    return keys.join(spread, "_key").groupBy(*who).agg(best).select(
-        *who, name_pattern("name").alias("_pattern"), F.col("_k._key").alias("_key"),
-        F.col("_k._at").alias("_before"), (F.col("_k._n") - F.col("_k._at") - 1).alias("_after"))
-
-
-def candidate_windows(docs: DataFrame, entities: DataFrame, key: str = "doc_key", text: str = "text") -> DataFrame:
-    """A row for each place where an entity's key part stands in a text, with the window
-    of parts around it (one more on each side than the longest name needs)."""
-    keyed = _keyed(entities)
-    before = keyed.agg(F.max("_before")).scalar()
-    after = keyed.agg(F.max("_after")).scalar()
-    placed = (docs.select(col(key).alias("_doc"), _parts(text).alias("_parts"), before.alias("_b"), after.alias("_a"))
-              .select("_doc", "_parts", "_b", "_a", F.posexplode("_parts").alias("_at", "_part"))
-              .where(F.col("_part") != " "))
-    first = F.greatest(F.lit(1), F.col("_at") - F.col("_b"))
-    window = F.array_join(F.slice("_parts", first, F.col("_at") + F.col("_a") + 3 - first), "")
-    return (placed.select("_doc", fold("_part").alias("_key"), window.alias("_window"))
-            .join(keyed.drop("_before", "_after"), "_key"))
+def _placed(df: DataFrame, who: list[str], text: str, whole: bool) -> DataFrame:
+    """A row for each word: its place (_no) among the words, _part, the separators around it
+    (_pre, _post) and whether more words follow (_more).  With ``whole``, a text without any
+    word is a row of its own; otherwise separators between two words are, but single blanks."""
+    parts = df.select(*who, _parts(text).alias("_parts"))
+    size, is_word = F.size("_parts"), lambda x: x.rlike(WORD)
+    row = F.transform("_parts", lambda x, i: F.struct(
+        F.floor(i / 2).cast("int").alias("_no"), x.alias("_part"), F.get("_parts", i - 1).alias("_pre"),
+        F.get("_parts", i + 1).alias("_post"), (i + 2 < size).alias("_more"), is_word(x).alias("_word"),
+        ((i > 0) & (i + 1 < size)).alias("_between")))
+    if whole:
+        wanted = lambda r: r["_word"] | (size == 1)
+    else:
+        wanted = lambda r: r["_word"] | (r["_between"] & (r["_part"] != " "))
+    return (parts.select(*who, F.inline(F.filter(row, wanted))).withColumn("_key", fold("_part")).drop("_between"))
+
+
+def name_words(entities: DataFrame) -> DataFrame:
+    """A row for each word of each name: name, _no, _key, _part, separators, _words (their
+    number), and _anchor: whether it is the one that the fewest names hold."""
+    words = _placed(entities.where(F.length("name") > 0).select("name").distinct(), ["name"], "name", whole=True)
+    spread = words.select("name", "_key").distinct().groupBy("_key").agg(F.count(F.lit(1)).alias("_names"))
+    counted = words.join(spread, "_key")
+    best = counted.groupBy("name").agg(F.count(F.lit(1)).alias("_words"), F.min(
+        F.struct("_names", (-F.length("_part")).alias("_short"), "_no")).alias("_best"))
+    return (counted.join(best, "name").withColumn("_anchor", F.col("_no") == F.col("_best._no"))
+            .drop("_names", "_best"))
+
+
+def word_index(docs: DataFrame, words: DataFrame, key: str = "doc_key", text: str = "text") -> DataFrame:
+    """The places in the texts of the words (``name_words``) that some name holds."""
+    placed = _placed(docs.select(col(key).alias("_doc"), col(text).alias("_text")), ["_doc"], "_text", whole=False)
+    return placed.join(words.select("_key").distinct(), "_key", "left_semi")
+
+
+def _stands(index: str = "i", word: str = "w") -> Column:
+    """Whether a place of the index holds a name's word: the same letters, and on each side
+    the name's separator.  Within a name it must be the whole separator; a name that begins
+    or ends with one needs a further word beyond it, as whole names do."""
+    at = lambda side, c: F.col(f"{side}.{c}")
+    first, last = at(word, "_no") == 0, at(word, "_no") + 1 == at(word, "_words")
+    pre, post = at(word, "_pre"), at(word, "_post")
+    # the separator after a word is the one before the next: only a name's last word tests it
+    before = pre.isNull() | (same_text(at(index, "_pre"), pre) & (~first | (at(index, "_no") > 0)))
+    after = post.isNull() | ~last | (same_text(at(index, "_post"), post) & at(index, "_more"))
+    return same_text(at(index, "_part"), at(word, "_part")) & F.coalesce(before, F.lit(False)) & F.coalesce(after, F.lit(False))
+
+
+def candidate_places(index: DataFrame, words: DataFrame) -> DataFrame:
+    """(_doc, name, _start, _words): where a name's anchor stands, the place of its first word."""
+    found = index.alias("i").join(words.where("_anchor").alias("w"), F.col("i._key") == F.col("w._key")).where(_stands())
+    return found.select("i._doc", "w.name", (F.col("i._no") - F.col("w._no")).alias("_start"), "w._words")
 
 
 def entity_mentions(docs: DataFrame, entities: DataFrame, key: str = "doc_key",
                     text: str = "text") -> DataFrame:
-    """(key, text) x (name, type, type_rank) -> one row per (document, entity hit)."""
-    return (candidate_windows(docs, entities, key, text).where(F.expr("_window RLIKE _pattern"))
-            .select(F.col("_doc").alias(key), "name", "type", "type_rank").distinct())
+    """(key, text) x (name, type, type_rank) -> one row per (document, entity hit).
+
+    The index is written to the shared folder, as both joins read it."""
+    words = stored(name_words(entities), "name-words")
+    index = stored(word_index(docs, words, key, text), "word-index")
+    places = candidate_places(index, words)
+    whole = places.where("_words = 1").select("_doc", "name")
+    # each further word of a name is expected at one place; all of them must be found
+    expected = (places.where("_words > 1").distinct().join(words.where("NOT _anchor").drop("_words"), "name")
+                .withColumn("_at", F.col("_start") + F.col("_no")))
+    met = (index.alias("i").join(expected.alias("w"), (F.col("i._doc") == F.col("w._doc")) & (F.col("i._no") == F.col("w._at"))
+                                 & (F.col("i._key") == F.col("w._key"))).where(_stands()))
+    longer = (met.groupBy("w._doc", "w.name", "w._start", "w._words").agg(F.count(F.lit(1)).alias("_met"))
+              .where(F.col("_met") + 1 == F.col("_words")).select("_doc", "name"))
+    hits = whole.unionByName(longer).distinct()
+    return hits.join(entities, "name").select(F.col("_doc").alias(key), "name", "type", "type_rank")
 
 
 def company_hits(mentions: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
@@ -61,3 +61,12 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder next to the checkpoints for written tables/streams."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/recflow/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: what is used several times is
+    computed once, and a lost executor costs no recomputation of what led there."""
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

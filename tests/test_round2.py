@@ -99,7 +99,8 @@ def test_shared_last_words_are_no_keys(spark):
     n = 400
     docs = spark.createDataFrame([(str(k), f"we met Firm{k} Holdings Ltd today") for k in range(n)], "doc_key string, text string")
     ents = spark.createDataFrame([(f"Firm{k} Holdings Ltd", "Companies", 2) for k in range(n)], "name string, type string, type_rank int")
-    assert EN.candidate_windows(docs, ents).count() <= 2 * n
+    words = EN.name_words(ents)
+    assert EN.candidate_places(EN.word_index(docs, words), words).count() <= 2 * n
     assert EN.entity_mentions(docs, ents).count() == n
 
 
