@@ -53,57 +53,62 @@ def entity_union(frames: dict[str, DataFrame], name_col: str) -> DataFrame:
     return out
 
 
-def _parts(c) -> Column:
-    """Runs of word characters and of other characters, in turn."""
-    return F.regexp_extract_all(col(c), F.lit(f"{WORD}+|{NON_WORD}+"), 0)
-
-
-def _placed(df: DataFrame, who: list[str], text: str, whole: bool) -> DataFrame:
-    """A row for each word: its place (_no) among the words, _part, the separators around it
-    (_pre, _post) and whether more words follow (_more).  With ``whole``, a text without any
-    word is a row of its own; otherwise separators between two words are, but single blanks."""
-    parts = df.select(*who, _parts(text).alias("_parts"))
-    size, is_word = F.size("_parts"), lambda x: x.rlike(WORD)
-    row = F.transform("_parts", lambda x, i: F.struct(
-        F.floor(i / 2).cast("int").alias("_no"), x.alias("_part"), F.get("_parts", i - 1).alias("_pre"),
-        F.get("_parts", i + 1).alias("_post"), (i + 2 < size).alias("_more"), is_word(x).alias("_word"),
-        ((i > 0) & (i + 1 < size)).alias("_between")))
-    if whole:
-        wanted = lambda r: r["_word"] | (size == 1)
-    else:
-        wanted = lambda r: r["_word"] | (r["_between"] & (r["_part"] != " "))
-    return (parts.select(*who, F.inline(F.filter(row, wanted))).withColumn("_key", fold("_part")).drop("_between"))
+#: Keys of separators begin with this, so that none is a word's.
+SEPARATOR = "\x00"
+
+
+def _words_of(df: DataFrame, who: list[str], text: str) -> DataFrame:
+    """A row for each word: its place _no among the words, _part, and the separator _pre before it."""
+    cut = lambda group: F.regexp_extract_all(col(text), F.lit(f"({NON_WORD}*)({WORD}+)"), group)
+    pairs = F.arrays_zip(cut(1).alias("pre"), cut(2).alias("part"))
+    return (df.select(*who, F.posexplode(pairs).alias("_no", "_pair"))
+            .select(*who, "_no", F.col("_pair.pre").alias("_pre"), F.col("_pair.part").alias("_part")))
 
 
 def name_words(entities: DataFrame) -> DataFrame:
-    """A row for each word of each name: name, _no, _key, _part, separators, _words (their
-    number), and _anchor: whether it is the one that the fewest names hold."""
-    words = _placed(entities.where(F.length("name") > 0).select("name").distinct(), ["name"], "name", whole=True)
-    spread = words.select("name", "_key").distinct().groupBy("_key").agg(F.count(F.lit(1)).alias("_names"))
-    counted = words.join(spread, "_key")
-    best = counted.groupBy("name").agg(F.count(F.lit(1)).alias("_words"), F.min(
-        F.struct("_names", (-F.length("_part")).alias("_short"), "_no")).alias("_best"))
+    """What a text must hold for a name, a row for each word, and one for the separator that a
+    name ends with or consists of: name, _no, _pre, _part (null for a separator), _key, _words
+    (the name's rows), _anchor (whether it is the row whose key the fewest names hold)."""
+    names = entities.where(F.length("name") > 0).select("name").distinct()
+    tail = F.regexp_extract("name", rf"({NON_WORD}*)\z", 1)
+    ends = (names.withColumn("_pre", tail).where(F.length("_pre") > 0)
+            .select("name", F.regexp_count("name", F.lit(f"{WORD}+")).alias("_no"), "_pre", F.lit(None).cast("string").alias("_part"),
+                    F.concat(F.lit(SEPARATOR), fold("_pre")).alias("_key")))
+    rows = _words_of(names, ["name"], "name").withColumn("_key", fold("_part")).unionByName(ends)
+    spread = rows.select("name", "_key").distinct().groupBy("_key").agg(F.count(F.lit(1)).alias("_names"))
+    counted = rows.join(spread, "_key")
+    best = counted.groupBy("name").agg(F.count(F.lit(1)).alias("_words"), F.min(F.struct(
+        F.col("_part").isNull().alias("_last"), "_names", (-F.length("_key")).alias("_short"), "_no")).alias("_best"))
     return (counted.join(best, "name").withColumn("_anchor", F.col("_no") == F.col("_best._no"))
-            .drop("_names", "_best"))
+            .select("name", "_no", "_pre", "_part", "_key", "_words", "_anchor"))
 
 
 def word_index(docs: DataFrame, words: DataFrame, key: str = "doc_key", text: str = "text") -> DataFrame:
-    """The places in the texts of the words (``name_words``) that some name holds."""
-    placed = _placed(docs.select(col(key).alias("_doc"), col(text).alias("_text")), ["_doc"], "_text", whole=False)
+    """The places in the texts of what some name needs (``name_words``): words, and the
+    separators between two words that a name ends with."""
+    placed = _words_of(docs.select(col(key).alias("_doc"), col(text).alias("_text")), ["_doc"], "_text")
+    separators = words.where(F.col("_part").isNull()).agg(
+        F.count(F.lit(1)).alias("all"), F.count_if(F.col("_pre") == " ").alias("blank")).first()
+    if separators["all"]:  # few names end with a separator, next to none with a blank
+        between = F.col("_no") > 0
+        if not separators["blank"]:
+            between = between & (F.col("_pre") != " ")
+        both = F.array(F.struct("_part", fold("_part").alias("_key")),
+                       F.struct(F.lit(None).cast("string").alias("_part"), F.concat(F.lit(SEPARATOR), fold("_pre")).alias("_key")))
+        placed = placed.select("_doc", "_no", "_pre", F.inline(F.when(between, both).otherwise(F.slice(both, 1, 1))))
+    else:
+        placed = placed.withColumn("_key", fold("_part"))
     return placed.join(words.select("_key").distinct(), "_key", "left_semi")
 
 
 def _stands(index: str = "i", word: str = "w") -> Column:
-    """Whether a place of the index holds a name's word: the same letters, and on each side
-    the name's separator.  Within a name it must be the whole separator; a name that begins
-    or ends with one needs a further word beyond it, as whole names do."""
+    """Whether a place of the index holds what a name needs there: the same letters, behind
+    the name's separator.  Within a name that is the whole separator; where a name begins with
+    one, a further word stands before it, as whole names require."""
     at = lambda side, c: F.col(f"{side}.{c}")
-    first, last = at(word, "_no") == 0, at(word, "_no") + 1 == at(word, "_words")
-    pre, post = at(word, "_pre"), at(word, "_post")
-    # the separator after a word is the one before the next: only a name's last word tests it
-    before = pre.isNull() | (same_text(at(index, "_pre"), pre) & (~first | (at(index, "_no") > 0)))
-    after = post.isNull() | ~last | (same_text(at(index, "_post"), post) & at(index, "_more"))
-    return same_text(at(index, "_part"), at(word, "_part")) & F.coalesce(before, F.lit(False)) & F.coalesce(after, F.lit(False))
+    pre = at(word, "_pre")
+    behind = ((at(word, "_no") == 0) & (pre == "")) | (same_text(at(index, "_pre"), pre) & (at(index, "_no") > 0))
+    return behind & (at(word, "_part").isNull() | same_text(at(index, "_part"), at(word, "_part")))
 
 
 def candidate_places(index: DataFrame, words: DataFrame) -> DataFrame:
