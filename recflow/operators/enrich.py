@@ -69,9 +69,10 @@ class EnrichBatch:
                  run_date: str, enriched_at: str, existing_backlinks: DataFrame | None = None,
                  existing_blocks: DataFrame | None = None, existing_candidates: DataFrame | None = None,
                  key: str = "doc_key", reenrich_on_category_change: bool = False,
-                 categories: list[str] | None = None):
+                 categories: list[str] | None = None, stem: str | None = None):
         """docs(key, title, category, status, recorded_at, uploaded_at, has_header);
-        ``categories``: the buckets that are enriched (default: all given)."""
+        ``categories``: the buckets that are enriched (default: all given); ``stem``: the
+        column that links name a document by (default: the key)."""
         if categories is not None:
             docs = docs.where(F.col("category").isin(categories))
         if "has_header" not in docs.columns:
@@ -79,7 +80,8 @@ class EnrichBatch:
         pending = enrich_pending(docs, reenrich_on_category_change)
         self.docs, self.key, self.entities, self.enriched_at = docs, key, entities, enriched_at
         self.existing = existing_backlinks, existing_blocks, existing_candidates
-        self.prepared = prepare(sidecars_joined(pending, summaries, transcripts, key), run_date, key)
+        self.stem = stem or key
+        self.prepared = prepare(sidecars_joined(pending, summaries, transcripts, key), run_date, self.stem)
 
     @cached_property
     def facts(self) -> DataFrame:
@@ -87,7 +89,7 @@ class EnrichBatch:
         found = F.when(gated, action_items("summary"))
         business = F.col("category") == "Business"
         return stored(self.prepared.select(
-            self.key, "has_header", "status", "category", "recorded_date", "title_eff",
+            *dict.fromkeys((self.key, self.stem)), "has_header", "status", "category", "recorded_date", "title_eff",
             F.when(F.size(found) > 0, found).alias("items"),
             F.when(business, delivery_signal("delivery_text")).otherwise(F.lit(False)).alias("signal")), "enrich-facts")
 
@@ -96,25 +98,35 @@ class EnrichBatch:
         texts = self.prepared.select(self.key, F.col("search_text").alias("text"))
         return stored(entity_mentions(texts, self.entities, key=self.key), "enrich-mentions")
 
+    @cached_property
+    def company_mentions(self) -> DataFrame:
+        """Companies of the documents with a delivery signal: where nothing else has asked for
+        all mentions, only these documents and names are matched."""
+        if "mentions" in self.__dict__:
+            return company_hits(self.mentions)
+        texts = self.prepared.select(self.key, F.col("search_text").alias("text"))
+        texts = texts.join(self.facts.where("signal").select(self.key), self.key, "left_semi")
+        return stored(entity_mentions(texts, company_hits(self.entities), key=self.key), "enrich-companies")
+
     @cached_property
     def names(self) -> DataFrame:
         return mention_list(self.mentions, self.key, "entity_names")
 
     @cached_property
     def items(self) -> DataFrame:
-        return self.facts.where(F.col("items").isNotNull()).select(self.key, "recorded_date", "items")
+        return self.facts.where(F.col("items").isNotNull()).select(*dict.fromkeys((self.key, self.stem)), "recorded_date", "items")
 
     @cached_property
     def new_blocks(self) -> DataFrame:
-        blocks = self.items.select("recorded_date", self.key, rollup_block(self.key, "items").alias("block"))
+        blocks = self.items.select("recorded_date", self.key, rollup_block(self.stem, "items").alias("block"))
         return append_new(blocks, self.existing[1], ["recorded_date", self.key], prune_on="recorded_date")
 
     @cached_property
     def candidates(self) -> DataFrame:
-        companies = mention_list(company_hits(self.mentions), self.key, "companies")
+        companies = mention_list(self.company_mentions, self.key, "companies")
         return (self.facts.where("signal").join(companies, self.key)
                 .select(self.key, "recorded_date", "title_eff", "companies",
-                        candidate_line("recorded_date", self.key, "companies", "title_eff").alias("line")))
+                        candidate_line("recorded_date", self.stem, "companies", "title_eff").alias("line")))
 
     # sink keys lead with recorded_date (the lines embed it, so the key is the
     # same): against sinks partitioned by day, dynamic partition pruning reads
@@ -125,9 +137,9 @@ class EnrichBatch:
 
     @cached_property
     def new_backlinks(self) -> DataFrame:
-        backlinks = self.mentions.join(self.facts.select(self.key, "recorded_date", "title_eff"), self.key).select(
+        backlinks = self.mentions.join(self.facts.select(*dict.fromkeys((self.key, self.stem)), "recorded_date", "title_eff"), self.key).select(
             F.col("name").alias("entity"), self.key, "recorded_date",
-            backlink_line("recorded_date", self.key, "title_eff").alias("line"))
+            backlink_line("recorded_date", self.stem, "title_eff").alias("line"))
         return append_new(backlinks, self.existing[0], ["recorded_date", "entity", "line"], prune_on="recorded_date")
 
     @cached_property

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recflow.functions.projections import short_id
+from recflow.session import stored
 
 PULLED, SKIPPED, FAILED = "pulled", "skipped", "failed"
 
@@ -42,10 +43,10 @@ def batch_dedup(candidates: DataFrame) -> DataFrame:
 
 
 def discovery_window(df: DataFrame, day_col, run_date: str, days: int) -> DataFrame:
-    """Rows whose ISO day lies in the last ``days`` days up to ``run_date``."""
+    """Rows whose ISO day is ``run_date`` or one of the ``days`` days before it."""
     start = (date.fromisoformat(run_date) - timedelta(days=days)).isoformat()
     d = F.col(day_col) if isinstance(day_col, str) else day_col
-    return df.where((d > F.lit(start)) & (d <= F.lit(run_date)))
+    return df.where((d >= F.lit(start)) & (d <= F.lit(run_date)))
 
 
 def pull_outcome(candidates: DataFrame, ledger: DataFrame, inbox: DataFrame, metadata: DataFrame,
@@ -62,7 +63,8 @@ def pull_outcome(candidates: DataFrame, ledger: DataFrame, inbox: DataFrame, met
     lookup tables are semi-joined with these first; one join then brings the status back
     to the lines.
     """
-    ids = candidates.groupBy("recording_id").agg(F.min("pos").alias("_first"))
+    # four gates and the status read the distinct ids: they are written once
+    ids = stored(candidates.groupBy("recording_id").agg(F.min("pos").alias("_first")), "batch-ids")
 
     def only_batch(df: DataFrame) -> DataFrame:
         return df.join(ids.select("recording_id"), "recording_id", "left_semi")

@@ -8,9 +8,11 @@ variant accessors, and two substring fallbacks.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -211,3 +213,7 @@ def keyword_scorer(prompts: pd.Series) -> pd.DataFrame:
     cat[lower.str.contains("clinic|health", regex=True)] = "Personal-Health"
     raw = '{"category": "' + cat + '", "confidence": 0.6, "reason": "keywords in the prompt"}'
     return pd.DataFrame({"raw": raw, "cache_read": prompts.str.len() % 7, "cache_create": 0})
+
+
+# the scorer is sent to the workers by value: they need not have the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

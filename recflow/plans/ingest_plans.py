@@ -184,7 +184,7 @@ def q_discovery_window(spark, sf):
 QUERIES["discovery_window"] = q_discovery_window
 ORACLES["discovery_window"] = duckdb_with(["recordings"]) + f"""
 SELECT doc_id, day FROM (SELECT doc_id, {d_date_prefix('recorded_at', 'uploaded_at')} AS day FROM recordings)
-WHERE day > '2024-04-01' AND day <= '{WINDOW_RUN_DATE}'
+WHERE day >= '2024-04-01' AND day <= '{WINDOW_RUN_DATE}'
 """
 
 

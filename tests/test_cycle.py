@@ -31,7 +31,7 @@ def test_full_cycle(spark, tmp_path):
     assert pulls["pulled"] > 0 and pulls["skipped"] > 0 and pulls["failed"] > 0
     assert sum(routed.values()) == pulls["pulled"]
     assert reclass > 0
-    final = spark.read.parquet(f"{out['root']}/reclassified")
+    final = out["status"].read()
     in_buckets = final.where(final.category.isin(vocab.BUCKETS)).count()
     assert enrich["enriched"] + enrich["skipped"] == in_buckets < pulls["pulled"]  # "Finance" is no bucket
     named = final.where("llm IS NOT NULL").select("llm.*").collect()
@@ -40,3 +40,41 @@ def test_full_cycle(spark, tmp_path):
     assert spark.read.parquet(out["sinks"]["backlinks"]).count() > 0
     asked = sum(int(open(os.path.join(calls, f)).read()) for f in os.listdir(calls))
     assert asked == reclass
+
+
+def test_runs_repeat_on_one_root(spark):
+    """A second run pulls, asks and enriches nothing; a document new in between is the only
+    one that the third touches; a run lost before its end is done again with the same result."""
+    from types import SimpleNamespace
+
+    whole = fx(spark, SF_SMALL)
+    names = ("recordings", "metadata", "transcripts", "listing", "ledger", "inbox", "summaries", "entities_src")
+    parts = {n: getattr(whole, n).cache() for n in names}
+    first = out = run_cycle(spark, SimpleNamespace(**parts), RUN_DATE, RUN_TS)
+    ids = {r["recording_id"]: r for r in out["status"].read().collect()}
+    late = sorted(ids)[3]
+    root = run_cycle(spark, SimpleNamespace(**parts | {"listing": parts["listing"].where(~parts["listing"].value.contains(late))}),
+                     RUN_DATE, RUN_TS, compact_every=1)["root"]
+    before = {r["recording_id"]: r for r in run_cycle(spark, SimpleNamespace(**parts | {"listing": parts["listing"].where("false")}),
+                                                      RUN_DATE, RUN_TS, root=root)["status"].read().collect()}
+    assert set(before) == set(ids) - {late}
+    lines = {n: spark.read.parquet(f"{root}/sinks/{n}").count() for n in ("backlinks", "rollups", "candidates")}
+    second = run_cycle(spark, SimpleNamespace(**parts | {"listing": parts["listing"].where(~parts["listing"].value.contains(late))}),
+                       RUN_DATE, "2031-01-01T00:00:00", root=root)
+    assert counts_row(second["pull_counts"])["pulled"] == 0 and counts_row(second["enrich_counts"])["enriched"] == 0
+    assert second["reclass_counts"].collect() == []
+    assert {n: spark.read.parquet(f"{root}/sinks/{n}").count() for n in lines} == lines
+    for again in range(2):  # the second time as if the run had been lost before its marker
+        third = run_cycle(spark, SimpleNamespace(**parts), RUN_DATE, "2031-01-02T00:00:00", root=root)
+        assert third["run"] == 3 and counts_row(third["pull_counts"])["pulled"] == 1
+        now = {r["recording_id"]: r for r in third["status"].read().collect()}
+        assert set(now) == set(ids) and {k: r for k, r in now.items() if k != late} == before
+        assert counts_row(third["enrich_counts"])["enriched"] == 1
+        if again == 0:
+            from recflow.sources.ledger import remove
+            remove(spark, f"{root}/runs/run=3")
+    same = lambda r: {c: v for c, v in r.asDict().items() if c not in ("run", "enriched_at", "llm")}
+    assert same(now[late]) == same(ids[late]) and first["run"] == 0
+    for n in lines:
+        assert sorted(spark.read.parquet(f"{root}/sinks/{n}").drop("recorded_date").collect()) == sorted(
+            spark.read.parquet(first["sinks"][n]).drop("recorded_date").collect())
