@@ -2,8 +2,8 @@
 
 Every source's words, its documents in a pseudorandom order, are packed into blocks of a
 fixed number of words (the last may be short).  A source's target fixes how many of its
-slots the mix has; each slot draws its output shard, so a shard's counts by source are
-multinomial, given the totals.  Slot j of a source is mapped through a pseudorandom
+slots the mix has; the output shards draw how many slots each has of each source (multinomial
+counts, given the totals), and running sums make these ranges of slots.  Slot j of a source is mapped through a pseudorandom
 permutation of the source's block indexes (one for each pass over the source) and joined
 with the block of that index.  The last slot of a source is cut so that the words taken
 are its rounded target.
@@ -92,21 +92,37 @@ def _plan(sources: DataFrame, block: int) -> DataFrame:
             .withColumn("slots", F.col("passes") * F.col("n_blocks") + F.col("last_slots")))
 
 
-def draw(plan: DataFrame, shard_slots: int = SHARD_SLOTS) -> DataFrame:
-    """A row per slot of the mix: shard, place (orders a shard), source_no, block, cut (words
-    of the block taken; null: all)."""
+def shard_counts(plan: DataFrame, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+    """shard, source_no, first, count: the slots that each output shard has of each source.
+
+    A source's slots are dealt to the shards at random, one by one: the counts are a
+    multinomial draw, given the source's total.  ``first`` is their running sum, so that a
+    shard's slots of a source are consecutive."""
     shards = F.greatest(F.lit(1), F.ceil(F.sum("slots").over(Window.partitionBy()) / shard_slots)).cast("long")
-    parts = (plan.withColumn("shards", shards).where("slots > 0")
+    parts = (plan.select("source_no", "slots", shards.alias("shards")).where("slots > 0")
              .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / PLAN_SLOTS)))))
     first = F.col("part") * PLAN_SLOTS
     # a set number of tasks, which the few bytes of the plan don't get merged into one
     tasks = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slots = (parts.repartition(tasks, "source_no", "part")
+    dealt = (parts.repartition(tasks, "source_no", "part")
              .withColumn("slot", F.explode(F.sequence(first, F.least(first + PLAN_SLOTS, "slots") - 1))))
+    drawn = (dealt.groupBy("source_no", F.pmod(F.xxhash64(F.lit(SEED + 2), "source_no", "slot"), F.col("shards")).alias("shard"))
+             .agg(F.count("*").alias("count")))
+    earlier = Window.partitionBy("source_no").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    return drawn.withColumn("first", F.coalesce(F.sum("count").over(earlier), F.lit(0))).select("shard", "source_no", "first", "count")
+
+
+def draw(plan: DataFrame, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+    """A row per slot of the mix: shard, place (orders a shard), source_no, block, cut (words
+    of the block taken; null: all)."""
+    # written, as a window over a source leaves few tasks; the slots are made by all of them
+    counts = stored(shard_counts(plan, shard_slots), "shard_counts")
+    tasks = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = (counts.repartition(tasks, "source_no", "shard").join(plan, "source_no")
+             .withColumn("slot", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("count") - 1))))
     turn = F.floor(F.col("slot") / F.col("n_blocks")).cast("long")
     return (slots.withColumn("turn", turn)
-            .select(F.pmod(F.xxhash64(F.lit(SEED + 2), "source_no", "slot"), F.col("shards")).alias("shard"),
-                    F.xxhash64(F.lit(SEED + 3), "source_no", "slot").alias("place"), "source_no",
+            .select("shard", F.xxhash64(F.lit(SEED + 3), "source_no", "slot").alias("place"), "source_no",
                     permuted(F.col("slot") % F.col("n_blocks"), F.col("n_blocks"),
                              F.concat_ws(":", "source_no", "turn")).alias("block"),
                     F.when(F.col("slot") == F.col("slots") - 1, F.col("last_cut")).alias("cut")))
@@ -132,11 +148,11 @@ def place_documents(docs: DataFrame, id_col: str, text_col: str, source_col: str
     sources = stored(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))), "sources")
     chunks = max(1, math.ceil(sized.count() / CHUNK_DOCS))
     numbered = (sized.join(sources.select(F.col("source").alias("s"), "source_no"), F.col("source").eqNullSafe(F.col("s")))
-                .select("row", "id", "size", "tie", "source_no", F.pmod(F.xxhash64(F.lit(SEED), "id"), F.lit(chunks)).alias("chunk")))
+                .select("row", "id", "size", "tie", "source_no", F.pmod(F.xxhash64(F.lit(SEED), "id", "tie", "row"), F.lit(chunks)).alias("chunk")))
     sums = numbered.groupBy("source_no", "chunk").agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy("source_no").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("source_no", "chunk", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("chunk_start"))
-    within = (Window.partitionBy("source_no", "chunk").orderBy(F.xxhash64(F.lit(SEED + 4), "id"), "id", "tie", "row")
+    within = (Window.partitionBy("source_no", "chunk").orderBy(F.xxhash64(F.lit(SEED + 4), "id", "tie"), "id", "tie", "row")
               .rowsBetween(Window.unboundedPreceding, -1))
     placed = (numbered.withColumn("before", F.coalesce(F.sum("size").over(within), F.lit(0)))
               .join(sums, ["source_no", "chunk"])
@@ -204,7 +220,7 @@ def copies(placed: DataFrame) -> DataFrame:
     rest = F.when(F.col("size") > 0, F.floor((F.col("taken") % F.col("size")) * F.lit(float(1 << STEP_BITS)) / F.col("size"))).otherwise(0)
     strata = (placed.withColumn("whole", F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(0))
               .withColumn("rest", rest.cast("long")).withColumn("stratum", F.floor(F.log2(F.col("size") + 1)))
-              .withColumn("chunk", F.pmod(F.xxhash64(F.lit(SEED + 5), "id", "tie"), F.lit(chunks))))
+              .withColumn("chunk", F.pmod(F.xxhash64(F.lit(SEED + 5), "id", "tie", "row"), F.lit(chunks))))
     at = (Window.partitionBy("source_no", "stratum", "chunk").orderBy("size", F.xxhash64(F.lit(SEED + 6), "id", "tie"), "id", "tie", "row")
           .rowsBetween(Window.unboundedPreceding, -1))
     begin = F.pmod(F.xxhash64(F.lit(SEED + 7), "source_no", "stratum", "chunk"), F.lit(1 << STEP_BITS))

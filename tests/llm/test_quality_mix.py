@@ -190,3 +190,44 @@ def test_blocks_hold_the_words_taken(spark):
         want[r.source_no] += r.taken
     assert taken == want
     assert set(" ".join(r.text for r in blocks).split()) <= set(" ".join(r[1] for r in rows).split())
+
+
+def test_taken_comes_from_the_slots_that_shards_draw(spark):
+    """Each document's words, by brute force from the drawn blocks; counts by shard are multinomial."""
+    docs = spark.read.parquet(f"{SF.replace('0.01', '0.001')}/documents.parquet")
+    placed, sources = M.place_documents(docs, "doc_id", "text", "source")
+    plan = M._plan(sources, 16)
+    counts = M.shard_counts(plan, 64).collect()
+    slots = {r.source_no: r.slots for r in plan.collect()}
+    shards = 1 + max(r.shard for r in counts)
+    spread = 0.0
+    for no, total in slots.items():
+        mine = sorted((r.shard, r["first"], r["count"]) for r in counts if r.source_no == no)
+        at = 0
+        for _, first, count in mine:  # consecutive ranges
+            assert first == at
+            at += count
+        assert at == total
+        by = [c for _, _, c in mine] + [0] * (shards - len(mine))
+        spread += sum((c - total / shards) ** 2 / max(total / shards, 1e-9) for c in by) / (shards - 1) / len(slots)
+    assert 0.7 < spread < 1.4  # chi-square over its degrees of freedom
+    blocks = {}
+    for r in M.draw(plan, 64).collect():
+        blocks.setdefault((r.source_no, r.block), []).append(r.cut)
+    want = {}
+    for d in placed.collect():
+        words = 0
+        for w in range(d.start, d.start + d.size):
+            words += sum(cut is None or w % 16 < cut for cut in blocks.get((d.source_no, w // 16), []))
+        want[d.id] = words
+    out = M.mix(docs, block=16)
+    assert {r.id: r.taken for r in out.collect()} == want
+    assert str(M.SEED + 2) in M.shard_counts(plan)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rows_of_one_id_are_spread_over_chunks(spark):
+    from pyspark.sql import functions as F
+    docs = spark.range(60_000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("word w"), "id").alias("text"),
+                                      F.lit("hot").alias("source"))
+    out = M.mix(docs)
+    assert out.count() == 60_000 and out.agg(F.sum("taken")).first()[0] == 180_000
