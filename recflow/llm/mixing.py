@@ -148,7 +148,7 @@ def place_documents(docs: DataFrame, id_col: str, text_col: str, source_col: str
     sources = stored(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))), "sources")
     chunks = max(1, math.ceil(sized.count() / CHUNK_DOCS))
     numbered = (sized.join(sources.select(F.col("source").alias("s"), "source_no"), F.col("source").eqNullSafe(F.col("s")))
-                .select("row", "id", "size", "tie", "source_no", F.pmod(F.xxhash64(F.lit(SEED), "id", "tie", "row"), F.lit(chunks)).alias("chunk")))
+                .select("row", "id", "size", "tie", "source_no", F.pmod(F.xxhash64(F.lit(SEED), "id", "tie"), F.lit(chunks)).alias("chunk")))
     sums = numbered.groupBy("source_no", "chunk").agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy("source_no").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("source_no", "chunk", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("chunk_start"))
@@ -220,7 +220,7 @@ def copies(placed: DataFrame) -> DataFrame:
     rest = F.when(F.col("size") > 0, F.floor((F.col("taken") % F.col("size")) * F.lit(float(1 << STEP_BITS)) / F.col("size"))).otherwise(0)
     strata = (placed.withColumn("whole", F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(0))
               .withColumn("rest", rest.cast("long")).withColumn("stratum", F.floor(F.log2(F.col("size") + 1)))
-              .withColumn("chunk", F.pmod(F.xxhash64(F.lit(SEED + 5), "id", "tie", "row"), F.lit(chunks))))
+              .withColumn("chunk", F.pmod(F.xxhash64(F.lit(SEED + 5), "id", "tie"), F.lit(chunks))))
     at = (Window.partitionBy("source_no", "stratum", "chunk").orderBy("size", F.xxhash64(F.lit(SEED + 6), "id", "tie"), "id", "tie", "row")
           .rowsBetween(Window.unboundedPreceding, -1))
     begin = F.pmod(F.xxhash64(F.lit(SEED + 7), "source_no", "stratum", "chunk"), F.lit(1 << STEP_BITS))

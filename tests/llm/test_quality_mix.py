@@ -231,3 +231,11 @@ def test_rows_of_one_id_are_spread_over_chunks(spark):
                                       F.lit("hot").alias("source"))
     out = M.mix(docs)
     assert out.count() == 60_000 and out.agg(F.sum("taken")).first()[0] == 180_000
+
+
+def test_the_mix_does_not_depend_on_where_rows_stand(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF.replace('0.01', '0.001')}/documents.parquet")
+    docs.repartition(5, "source").write.parquet(f"{tmp_path}/a")
+    docs.repartition(3, "doc_id").write.parquet(f"{tmp_path}/b")
+    a, b = (sorted(r.doc_id for r in M.resample(spark.read.parquet(f"{tmp_path}/{x}"), in_files=True).collect()) for x in "ab")
+    assert a == b and len(a) > 200
