@@ -43,6 +43,41 @@ def test_markup(page, text):
     assert H.extract(page, WEIGHTS) == text
 
 
+@pytest.fixture(scope="module")
+def learned(spark):
+    return H.fit(spark.read.parquet(f"{SF}/pages.parquet"))
+
+
+STORY = "A long story of many words that somebody wrote down here. " * 20
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<body><main><img src=x></main><div><p>{STORY}</p></div></body>", STORY.strip()),
+    (f"<body><article>Three word teaser</article><div><p>{STORY}</p><p>{STORY}</p></div></body>", f"{STORY.strip()}\n{STORY.strip()}"),
+    (f"<body><div role='main'><p>{STORY}</p></div><div>{'side words ' * 70}</div></body>", STORY.strip()),
+    (f"<article><p>{STORY}</p><p class='share-price'>Shares rose</p><p hidden>no</p><p style='color:red; display: none'>no</p></article>",
+     f"{STORY.strip()}\nShares rose"),
+    (f"<article><p>{STORY}</p><p title='not hidden here'>yes</p><div class='social-share'>no</div><div class='share-buttons'>no</div></article>",
+     f"{STORY.strip()}\nyes"),
+])
+def test_landmarks_are_evidence_not_a_switch(learned, page, text):
+    assert H.extract(page, learned) == text
+
+
+def test_weights_decide(spark, learned):
+    pages = [r.html for r in spark.read.parquet(f"{SF}/pages.parquet").limit(20).collect()]
+    for page in pages:
+        text = H.extract(page, learned)
+        assert text and H.extract(page, {}) == ""
+        assert H.extract(page, {k: -w for k, w in learned.items()}) != text
+    mixed = f"<p>{STORY}</p><table><tr><td>{STORY}</td></tr></table>"
+    assert H.extract(mixed, {"w": 1.0, "w:td": -1.0, "w:p": 1.0, "<table": -40.0}) == STORY.strip()
+    assert H.extract(mixed, {"w": 1.0, "w:td": 2.0, "w:p": 0.01, "<table": -40.0, "<tr": -1.0}) == STORY.strip()
+    assert learned["w@"] > 0 > learned["w-"]
+    none = H.fit(spark.createDataFrame([], PAGES))
+    assert H.extract("<p>plain words</p>", none) == "plain words"
+
+
 def test_best_region_equals_all_regions():
     import random
     rng = random.Random(3)
