@@ -132,6 +132,59 @@ def test_license_scan(spark, odd, odd_rows, none):
     assert len(licenses.scanned(odd).collect()) == len(odd_rows) and licenses.scanned(none).collect() == []
 
 
+def test_changed_license_is_found_whatever_words_change():
+    """Any fifth of the words replaced, and words inserted after every third."""
+    rng = random.Random(7)
+    known = licenses.Templates(licenses.TEMPLATES)
+    filler = [f"filler{k}" for k in range(50)] + "the of and to software in any copy".split()
+    for name, template in known.words.items():
+        lost = len(template) - known.need[name]
+        for trial in range(6):
+            ws = list(template)
+            rare = sorted(range(len(ws)), key=lambda k: (known.counts[name][ws[k]], rng.random()))
+            for k in rare[:lost // 2] if trial else rare[:3 * (lost >= 3)]:
+                ws[k] = f"changed{k}"
+            if trial > 3:
+                ws = [x for k, w in enumerate(ws) for x in ([w, f"inserted{k}"] if k % 3 == 2 else [w])]
+            before = [rng.choice(filler) for _ in range(40)]
+            text = " ".join(before + ws + [rng.choice(filler) for _ in range(40)])
+            found = licenses.scan_text(text, licenses.Templates({name: licenses.TEMPLATES[name]}))
+            assert len(found) == 1, (name, trial, found)
+            changed = sum(w.startswith("changed") for w in ws)
+            assert found[0][1] == pytest.approx(1 - changed / len(template), abs=2.5 / len(template)), (name, trial)
+
+
+def test_license_scan_equals_all_windows():
+    """Over short texts: a template is found exactly where some window up to the longest aligns enough."""
+    rng = random.Random(11)
+    template = "a b c d e f g h i j".split()
+    known = licenses.Templates({"t": " ".join(template)})
+    hits = 0
+    for trial in range(400):
+        ws = [rng.choice("abcdefghijxyz") for _ in range(rng.randrange(0, 12))]
+        if trial % 2:
+            part = [w for w in template if rng.random() > 0.12]
+            ws[len(ws) // 2:len(ws) // 2] = [x for w in part for x in ([w, "x"] if rng.random() < 0.3 else [w])]
+        windows = [(i, j) for i in range(len(ws)) for j in range(i + 1, min(len(ws), i + 20) + 1)
+                   if len(licenses.align(template, ws[i:j])) >= 8]
+        found = licenses.scan_text(" ".join(ws), known)
+        assert bool(found) == bool(windows), ws
+        hits += bool(found)
+        for _, coverage, start, end in found:
+            assert coverage >= 0.8 and len(" ".join(ws)[start:end].split()) <= 20
+    assert 100 < hits < 300
+
+
+def test_repeated_and_tied_licenses(spark):
+    text = "All rights reserved. all RIGHTS reserved; rights all reserved"
+    found = licenses.scan_text(text, licenses.Templates({"b": "All rights reserved", "a": "all rights reserved"}))
+    assert [(x[0], text[x[2]:x[3]]) for x in found] == [("a", "All rights reserved"), ("a", "all RIGHTS reserved")]
+    bsd = licenses.TEMPLATES["bsd-3-clause"]
+    df = spark.createDataFrame([(1, bsd), (1, bsd), (None, None), (2, bsd.replace("copyright holder", "Owner"))], "doc_id long, text string")
+    got = [[s.license for s in r.license_spans] for r in licenses.scanned(df).collect()]
+    assert sorted(got) == [[], ["bsd-3-clause"], ["bsd-3-clause"], ["bsd-3-clause"]]
+
+
 def test_forward_backward_equals_enumeration():
     rng = np.random.default_rng(2)
     n, step, start = 6, rng.random((2, 2)) + 0.1, 0.3
