@@ -1,8 +1,9 @@
 """Secret scans with corpus-wide ownership frequency.
 
 Detectors find candidate spans in each whole text.  The hash of each candidate's value is
-counted over distinct repositories and owners: a value that several owners share is a
-widely copied example, one that a single owner holds may be live.  The base kinds (assign,
+counted over distinct repositories and owners: a value that several owners share, or that one
+owner has copied to many repositories, is a widely copied example; one that a single owner
+holds in few repositories may be live.  The base kinds (assign,
 access, hex) are always reported; the further kinds are reported where they look live.
 
 Only DataFrame functions are used.  A match's place is the running sum of the lengths of
@@ -49,6 +50,8 @@ FURTHER = (
 )
 #: A value held by more owners than this is an example.
 MAX_OWNERS = 1
+#: A value in more repositories than this is boilerplate, even of one owner.
+MAX_REPOS = 3
 #: Different characters that a live-looking value has at least.
 LEAST_VARIETY = 6
 
@@ -98,12 +101,12 @@ def ownership(spans: DataFrame) -> DataFrame:
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
          repo_cols: tuple[str, ...] = ("source", "lang"), detectors: tuple[Detector, ...] = BASE + FURTHER,
-         max_owners: int = MAX_OWNERS) -> DataFrame:
+         max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
     """A row per document: id and ``found``, its spans (start, kind_no, end, base, live) in order."""
     documents, spans = find(docs, id_col, text_col, owner_col, repo_cols, detectors)
     held = stored(ownership(spans), "ownership")
     is_base = F.element_at(F.array(*(F.lit(d.base) for d in detectors)), F.col("kind_no") + 1)
-    judged = (spans.join(held, "key").withColumn("live", (F.col("n_owners") <= max_owners) & F.col("varied"))
+    judged = (spans.join(held, "key").withColumn("live", (F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos) & F.col("varied"))
               .withColumn("base", is_base).where("base OR live"))
     by_row = judged.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "kind_no", "end", "base", "live"))).alias("found"))
     none = F.array().cast("array<struct<start:bigint,kind_no:int,end:bigint,base:boolean,live:boolean>>")

@@ -93,6 +93,16 @@ def test_ownership_tells_examples_from_live_values(spark):
     assert held == {5: 5, 1: 2}
 
 
+def test_repositories_decide_as_well(spark):
+    jwt = "eyJhbGciOiJIUzI1.eyJzdWIiOiIxMjM0.SflKxwRJSMeKKF2QT4"
+    rows = [(k, f"see {jwt} here", lang, "s1", 0) for k, lang in enumerate(["en", "fr", None, "de", "de"])]
+    for n, live in ((3, True), (5, False)):
+        got = [r.found for r in secrets.scan(spark.createDataFrame(rows[:n], SCHEMA)).collect()]
+        assert [[x.live for x in found] for found in got] == [[True]] * n if live else got == [[]] * n
+    got = secrets.scan(spark.createDataFrame(rows, SCHEMA), max_repos=4).collect()
+    assert all(x.live for r in got for x in r.found) and len(got) == 5
+
+
 def test_further_kinds_have_no_longest_span(spark):
     rng = random.Random(13)
     b64 = lambda n: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZghijklmnopqrstuvwxyz23456789+/") for _ in range(n))
