@@ -10,6 +10,7 @@ from recflow.functions import vocab
 from recflow.operators import actions as A
 from recflow.operators import enrich as E
 from recflow.operators import entities as EN
+from recflow.operators import pages as PG
 from recflow.operators import route
 from recflow.operators.delivery import delivery_signal
 from recflow.operators.sinks import append_new
@@ -320,6 +321,30 @@ SELECT entity, count(*) AS n_mentions, min(recorded_date) AS first_date, max(rec
 FROM links GROUP BY entity
 """)
 
+def _page_rows(parts):
+    return parts.select("page", "part", "n_lines", F.length("text").alias("n_chars"), F.md5("text").alias("digest"))
+
+
+def _d_pages(rows: str, page: str, line: str, order: str, head: str) -> str:
+    return eq(f"""
+SELECT page, part, n_lines, length(text) AS n_chars, md5(text) AS digest FROM (
+  SELECT page, part, count(*) AS n_lines,
+    CASE WHEN part = 0 THEN {head} ELSE '' END || string_agg(line, chr(10) ORDER BY place) || chr(10) AS text
+  FROM (SELECT {page} AS page, {line} AS line, place, place // {PG.PART_LINES} AS part FROM (
+    SELECT *, row_number() OVER (PARTITION BY {page} ORDER BY {order}) - 1 AS place FROM {rows}))
+  GROUP BY page, part)
+""")
+
+
+QUERIES["entity_pages"] = lambda spark, sf: _page_rows(PG.entity_pages(_batch(spark, sf).new_backlinks))
+ORACLES["entity_pages"] = _d_pages("links", "entity", "line", "recorded_date DESC, line DESC",
+                                   "'## Recent Mentions' || chr(10) || chr(10)")
+QUERIES["day_pages"] = lambda spark, sf: _page_rows(PG.day_pages(_batch(spark, sf).new_blocks))
+ORACLES["day_pages"] = _d_pages(
+    "blocks", "recorded_date", "block", "doc_key",
+    "'---' || chr(10) || 'date: ' || page || chr(10) || 'type: action-items-rollup' || chr(10)"
+    " || 'tags: [action-items, transcript-derived]' || chr(10) || '---' || chr(10) || chr(10) || '# Action Items — ' || page || chr(10) || chr(10)")
+
 QUERIES["search_text"] = lambda spark, sf: prepared(spark, sf).select(
     "doc_key", F.length("search_text").alias("n_chars"), F.md5("search_text").alias("digest"))
 ORACLES["search_text"] = eq("SELECT doc_key, length(search_text) AS n_chars, md5(search_text) AS digest FROM prep\n")
