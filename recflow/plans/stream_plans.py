@@ -19,6 +19,7 @@ from recflow.plans.common import ENRICH_TS, PULL_TS, RUN_DATE, fx
 from recflow.plans.enrich_plans import E_CTES, E_VIEWS
 from recflow.plans.oracle_sql import blocked_case, category_case, sq
 from recflow.session import shared_dir
+from recflow.sources.ledger import Ledger
 from recflow.sources.listing import inbox_ids
 from recflow.streaming import stages as S
 
@@ -48,7 +49,7 @@ def _ingest_env(spark, sf):
     f.metadata.write.parquet(t.metadata_path)
     f.summaries.join(rec, "doc_id").select("recording_id", "summary").write.parquet(t.summaries_path)
     inbox_ids(f.inbox).write.parquet(t.inbox_path)
-    f.ledger.write.mode("append").parquet(t.ledger)
+    Ledger(spark, t.ledger).append(f.ledger, -1)
     return root, t, (l1, tx1), (l2, tx2)
 
 
@@ -108,8 +109,8 @@ def _events_env(spark, sf):
     return root, e1.drop("doc_id"), e2.drop("doc_id")
 
 
-def _run_events(spark, sf, each):
-    """Both drops through ``each(batch, batch_id, root)``; returns the root folder."""
+def _run_events(spark, sf, each, then=lambda root: None):
+    """Both drops through ``each(batch, batch_id, root)``, ``then(root)`` after each; returns the root folder."""
     root, e1, e2 = _events_env(spark, sf)
     for i, e in enumerate((e1, e2)):
         e.write.parquet(f"{root}/events/drop{i}")
@@ -117,6 +118,7 @@ def _run_events(spark, sf, each):
                   .option("recursiveFileLookup", "true").parquet(f"{root}/events"))
         (stream.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
          .foreachBatch(lambda df, bid: each(df, bid, root)).start().awaitTermination())
+        then(root)
     return root
 
 
@@ -130,14 +132,17 @@ def q_stream_dedup(spark, sf):
 
 
 def q_late_arrivals(spark, sf):
-    """Rows that arrived after a newer event of an earlier batch are kept and marked."""
-    return _deduplicated(spark, sf).select("recording_id", "late")
+    """Rows that arrived after a newer event of an earlier batch are kept and marked, and so
+    are those that came later than the recorder's lateness allows."""
+    return _deduplicated(spark, sf).select("recording_id", "late", "overdue")
 
 
 def q_stream_daily_counts(spark, sf):
-    root = _run_events(spark, sf, lambda df, bid, root: S.daily_counts_batch(df, bid, f"{root}/dedup", f"{root}/daily"))
-    return (spark.read.parquet(f"{root}/daily").groupBy(F.date_format("day_start", "yyyy-MM-dd").alias("day"))
-            .agg(F.sum("n_recordings").alias("n_recordings")))
+    def count(root):
+        S.start_daily_counts(spark, f"{root}/dedup", f"{root}/daily", f"{root}/checkpoint-daily").awaitTermination()
+
+    root = _run_events(spark, sf, lambda df, bid, root: S.dedup_batch(df, bid, f"{root}/dedup") and None, count)
+    return S.daily_counts(spark, f"{root}/dedup", f"{root}/daily").select(F.date_format("day", "yyyy-MM-dd").alias("day"), "n_recordings")
 
 
 QUERIES.update({
@@ -182,7 +187,9 @@ _EVENTS = duckdb_with(["recordings"]) + """, ev AS (
 """
 ORACLES["stream_dedup"] = _EVENTS + "SELECT DISTINCT recording_id, recorded_at FROM ev\n"
 ORACLES["late_arrivals"] = _EVENTS + """
-SELECT recording_id, doc_id % 2 = 1 AND recorded_at < (SELECT max(recorded_at) FROM ev WHERE doc_id % 2 = 0) AS late FROM ev
+SELECT recording_id, doc_id % 2 = 1 AND recorded_at < newest AS late,
+  doc_id % 2 = 1 AND recorded_at[:10]::DATE <= newest[:10]::DATE - 90 AS overdue
+FROM ev, (SELECT max(recorded_at) AS newest FROM ev WHERE doc_id % 2 = 0)
 """
 ORACLES["stream_daily_counts"] = _EVENTS + """
 SELECT substring(recorded_at, 1, 10) AS day, count(DISTINCT recording_id) AS n_recordings FROM ev GROUP BY 1

@@ -111,13 +111,14 @@ class Ledger:
         """The rows of ``ids`` whose id the ledger doesn't hold."""
         return ids.join(self.candidates(ids).distinct(), self.key, "left_anti")
 
-    def compact(self, fan: int = FAN) -> None:
+    def compact(self, fan: int = FAN, before: int | None = None) -> None:
         """Merge segments of one size, ``fan`` or more, into one; a loss on the way leaves ids
-        in two segments at most, which changes nothing."""
+        in two segments at most, which changes nothing.  ``before``: only segments of lower numbers."""
         while True:
             by_size: dict[int, list[int]] = {}
             for number, size in self.segments().items():
-                by_size.setdefault(size, []).append(number)
+                if before is None or number < before:
+                    by_size.setdefault(size, []).append(number)
             full = next((sorted(x) for _, x in sorted(by_size.items()) if len(x) >= fan), None)
             if full is None:
                 return

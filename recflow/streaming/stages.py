@@ -8,16 +8,17 @@ other outputs replace the folder of their batch, so a batch that is replayed
 after a loss writes nothing twice.
 
 Tables live in a shared folder (under ``spark.checkpoint.dir``): ``ledger``
-(recording_id), ``docs`` (pulled recordings with their unified document) and
-``retry/batch_id=N``: the ids that are open after batch N, one row each, of
-which only the last is read.
+(ids in segments with Bloom sketches, one a batch), ``docs`` (pulled recordings
+with their unified document) and ``retry/batch_id=N``: the ids that are open
+after batch N, one row each, of which only the last is read.  A batch reads of
+the history only the ledger's segments that may hold one of its ids.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recflow.functions import vocab
@@ -27,6 +28,7 @@ from recflow.operators.enrich import EnrichBatch
 from recflow.operators.route import classify_title
 from recflow.operators.sinks import unified_document
 from recflow.sources.documents import path_exists
+from recflow.sources.ledger import Ledger
 from recflow.sources.listing import listing_ids, metadata_fields
 
 DOCS_SCHEMA = ("recording_id string, doc_key string, name string, start_at string, created_at string, "
@@ -74,12 +76,11 @@ class IngestTables:
         return f"{self.root}/retry"
 
 
-def _open_retries(spark: SparkSession, t: IngestTables, batch_id: int) -> DataFrame:
-    """The ids open after the last batch before this one: (recording_id, failed_batch)."""
-    schema = "recording_id string, failed_batch long"
+def _last_before(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
+    """What the last batch before this one wrote."""
     for before in range(batch_id - 1, -1, -1):
-        if path_exists(spark, f"{t.retry}/batch_id={before}"):
-            return spark.read.schema(schema).parquet(f"{t.retry}/batch_id={before}")
+        if path_exists(spark, f"{path}/batch_id={before}"):
+            return spark.read.schema(schema).parquet(f"{path}/batch_id={before}")
     return spark.createDataFrame([], schema)
 
 
@@ -87,18 +88,20 @@ def ingest_batch(batch: DataFrame, batch_id: int, t: IngestTables) -> None:
     """One micro-batch of listing lines: gates, fetch, write docs, ledger, open retries."""
     spark = batch.sparkSession
     lines = batch.withColumn("pos", F.monotonically_increasing_id() + F.lit(batch_id) * F.lit(1 << 40))
-    retry = _open_retries(spark, t, batch_id)
+    retry = _last_before(spark, t.retry, batch_id, "recording_id string, failed_batch long")
     # failed pulls of earlier batches come first, in their original order
     cands = (retry.select((F.col("failed_batch") - F.lit(1 << 20)).alias("pos"), "recording_id")
              .unionByName(listing_ids(lines)))
-    ledger = read_or_empty(spark, t.ledger, "recording_id string")
+    ledger = Ledger(spark, t.ledger)
+    ledger.compact(before=batch_id)
+    known = ledger.candidates(cands, before=batch_id)
     meta = metadata_fields(spark.read.parquet(t.metadata_path))
     tx = spark.read.parquet(t.transcripts_path)
     sums = (spark.read.parquet(t.summaries_path) if t.summaries_path
             else spark.createDataFrame([], "recording_id string, summary string"))
     inbox = (spark.read.parquet(t.inbox_path) if t.inbox_path
              else spark.createDataFrame([], "recording_id string"))
-    outcome = ingest.pull_outcome(cands, ledger, inbox, meta, tx).persist()
+    outcome = ingest.pull_outcome(cands, known, inbox, meta, tx).persist()
     try:
         pulled = outcome.where(F.col("status") == ingest.PULLED).select("recording_id").distinct()
         facts = ingest.one_per_recording(_only(meta.drop("meta"), pulled))
@@ -112,8 +115,8 @@ def ingest_batch(batch: DataFrame, batch_id: int, t: IngestTables) -> None:
                   .join(retry, "recording_id", "left")
                   .select("recording_id", F.coalesce("failed_batch", F.lit(batch_id).cast("long")).alias("failed_batch")))
         failed.write.mode("overwrite").parquet(f"{t.retry}/batch_id={batch_id}")
-        # the ledger comes last: a batch that is replayed finds its ids not yet recorded
-        append_unseen(pulled, t.ledger, "recording_id string")
+        # a batch that is replayed doesn't count its own segment
+        ledger.append(pulled, batch_id)
     finally:
         outcome.unpersist()
 
@@ -177,22 +180,43 @@ def start_enrich(spark: SparkSession, docs_path: str, entities: DataFrame, root:
                       lambda df, bid: enrich_stream_batch(df, bid, entities, root, run_date, at))
 
 
-EVENTS_SCHEMA = "recording_id string, recorded_at timestamp, late boolean"
+EVENTS_SCHEMA = "recording_id string, recorded_at timestamp, late boolean, overdue boolean"
+#: Days that the recorder may hand in a recording late.
+LATENESS_DAYS = 90
 
 
-def dedup_batch(batch: DataFrame, batch_id: int, out_path: str) -> DataFrame:
+def _day(ts: str = "recorded_at") -> Column:
+    return F.date_trunc("day", F.col(ts))
+
+
+def dedup_batch(batch: DataFrame, batch_id: int, out_path: str, lateness_days: int = LATENESS_DAYS) -> DataFrame:
     """Exact dedup against all earlier batches, however old: the first arrival of an id is
-    kept.  ``late``: older than the newest event of the batches before.  Every batch writes
-    its own folder, so a replay replaces what it wrote.  Returns the rows written."""
+    kept.  ``late``: older than the newest event of the batches before; ``overdue``: on a day
+    that is as far before its day as the lateness allows or further, or on none.  Nothing is
+    dropped.  Of the history a batch reads the segments of ids that may hold one of its own,
+    and one row with the newest event.  Every batch writes its own folders, so a replay
+    replaces what it wrote.  Returns the rows written."""
     spark = batch.sparkSession
-    first = batch.groupBy("recording_id").agg(F.min("recorded_at").alias("recorded_at"))
-    earlier = read_or_empty(spark, out_path, EVENTS_SCHEMA + ", batch_id long").where(F.col("batch_id") < batch_id)
-    seen = earlier.agg(F.max("recorded_at")).scalar()
-    fresh = first.join(_only(earlier, first).select("recording_id"), "recording_id", "left_anti")
-    path = f"{out_path}/batch_id={batch_id}"
-    (fresh.select("recording_id", "recorded_at", F.coalesce(F.col("recorded_at") < seen, F.lit(False)).alias("late"))
-     .write.mode("overwrite").parquet(path))
-    return spark.read.schema(EVENTS_SCHEMA).parquet(path)
+    first = batch.groupBy("recording_id").agg(F.min("recorded_at").alias("recorded_at")).persist()
+    try:
+        ids = Ledger(spark, f"{out_path}-ids")
+        ids.compact(before=batch_id)
+        held = ids.candidates(first, before=batch_id)
+        earlier = _last_before(spark, f"{out_path}-newest", batch_id, "newest timestamp")
+        newest = earlier.agg(F.max("newest")).scalar()
+        fresh = first.join(held.distinct(), "recording_id", "left_anti")
+        overdue = _day() <= F.date_trunc("day", newest) - F.expr(f"INTERVAL {lateness_days} DAYS")
+        path = f"{out_path}/batch_id={batch_id}"
+        (fresh.select("recording_id", "recorded_at", F.coalesce(F.col("recorded_at") < newest, F.lit(False)).alias("late"),
+                      F.coalesce(overdue, F.col("recorded_at").isNull()).alias("overdue"))
+         .write.mode("overwrite").parquet(path))
+        written = spark.read.schema(EVENTS_SCHEMA).parquet(path)
+        (written.select(F.col("recorded_at").alias("newest")).unionByName(earlier).agg(F.max("newest").alias("newest"))
+         .write.mode("overwrite").parquet(f"{out_path}-newest/batch_id={batch_id}"))
+        ids.append(written, batch_id)
+    finally:
+        first.unpersist()
+    return written
 
 
 def daily_counts_batch(batch: DataFrame, batch_id: int, out_path: str, counts_path: str) -> None:
@@ -202,6 +226,32 @@ def daily_counts_batch(batch: DataFrame, batch_id: int, out_path: str, counts_pa
      .write.mode("overwrite").parquet(f"{counts_path}/batch_id={batch_id}"))
 
 
+def start_daily_counts(spark: SparkSession, events_path: str, counts_path: str, checkpoint: str,
+                       lateness_days: int = LATENESS_DAYS):
+    """Day counts of the deduplicated events as a stream with state: a row that comes within
+    the lateness corrects its day, days behind the watermark leave the state.  Run it after
+    the dedup's batch.  No row is lost: the watermark is never ahead of the bound that the
+    dedup marks ``overdue`` by, and ``daily_counts`` adds the rows so marked."""
+    src = spark.readStream.schema(EVENTS_SCHEMA).parquet(events_path)
+    days = (src.where(~F.col("overdue")).select(_day().alias("day")).withWatermark("day", f"{lateness_days} days")
+            .groupBy("day").agg(F.count(F.lit(1)).alias("n_recordings")))
+    return (days.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+            .foreachBatch(lambda df, bid: upsert_days(df, bid, counts_path)).trigger(availableNow=True).start())
+
+
+def upsert_days(days: DataFrame, batch_id: int, counts_path: str) -> None:
+    """The days that a batch has changed, in its own folder: of a day the last batch's row counts."""
+    days.write.mode("overwrite").parquet(f"{counts_path}/batch_id={batch_id}")
+
+
+def daily_counts(spark: SparkSession, events_path: str, counts_path: str) -> DataFrame:
+    """(day, n_recordings): every day's last count, and the overdue rows, which no state holds."""
+    updates = read_or_empty(spark, counts_path, "day timestamp, n_recordings long, batch_id long")
+    last = updates.groupBy("day").agg(F.max_by("n_recordings", "batch_id").alias("n_recordings"))
+    overdue = read_or_empty(spark, events_path, EVENTS_SCHEMA).where("overdue").groupBy(_day().alias("day")).agg(F.count(F.lit(1)).alias("n_recordings"))
+    return last.unionByName(overdue).groupBy("day").agg(F.sum("n_recordings").alias("n_recordings"))
+
+
 def dedup_within_watermark(events: DataFrame, lateness: str, key: str = "recording_id", ts: str = "recorded_at") -> DataFrame:
     """Opt-in dedup with bounded state: ids seen within the lateness are dropped, and so is
     whatever is later than the watermark.  ``late_rows`` finds the latter for a side table."""
