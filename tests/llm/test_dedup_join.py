@@ -54,6 +54,29 @@ def test_directory_doubles_until_buckets_fit(spark):
     assert any(r.local_depth < depth for r in rows)  # sibling slots that fit share a bucket
 
 
+def test_results_come_through_the_directory(spark):
+    """Any right directory gives the groups; one that lacks slots, or holds one twice, does not."""
+    docs = spark.createDataFrame([(k, f"t{k % 40}", None, None, None) for k in range(200)], SCHEMA)
+
+    def groups(using, capacity=4):
+        return Counter(tuple(r) for r in E.exact_groups(docs, capacity=capacity, using=using).collect())
+
+    def lacking(keys, capacity):
+        depth, slots = E.directory(keys, capacity)
+        return depth, slots.where("slot % 2 = 0")
+
+    def doubled(keys, capacity):
+        depth, slots = E.directory(keys, capacity)
+        return depth, slots.unionByName(slots.selectExpr("slot", "local_depth", "bucket + 1000 AS bucket"))
+
+    right = groups(E.directory)
+    assert right == groups(E.directory, capacity=65_536) and {r[2] for r in right} == {5} and right.total() == 200
+    assert groups(lacking) != right and groups(doubled) != right
+    _, index = E.build_index(docs, capacity=4)
+    sizes = Counter(r.bucket for r in index.collect())
+    assert len(sizes) > 5 and max(sizes.values()) <= 4  # buckets have split
+
+
 def test_collision_chain_tells_texts_apart(spark):
     """Entries of one key are told apart by their digest, grouped by their bytes."""
     docs = spark.createDataFrame([(k, f"t{k % 3}", None, None, None) for k in range(30)], SCHEMA)
