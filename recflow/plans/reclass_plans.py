@@ -36,7 +36,7 @@ def _decoded(spark, sf):
 # ---------------------------------------------------------------- oracle side
 
 _FENCE = r"(?m)^```(?:json)?" + DWS + r"*|" + DWS + r"*```$"
-_PROMPT = ("'Title: ' || title || chr(10) || chr(10) || 'Summary excerpt:' || chr(10) || "
+PROMPT_SQL = ("'Title: ' || title || chr(10) || chr(10) || 'Summary excerpt:' || chr(10) || "
            f"coalesce(nullif(summary, ''), "
            f"{sq(vocab.NO_SUMMARY_PLACEHOLDER)})")
 _FIRST_NAMED = "CASE " + " ".join(f"WHEN contains(clean, {sq(c)}) THEN {sq(c)}" for c in vocab.VALID_CATEGORIES) + " END"
@@ -97,7 +97,7 @@ QUERIES["reclass_batch"] = q_reclass_batch
 ORACLES["reclass_batch"] = rq("SELECT doc_key, title FROM unc\n")
 
 QUERIES["prompt_text"] = lambda spark, sf: R.with_prompt(_unclassified(spark, sf)).select("doc_key", "prompt")
-ORACLES["prompt_text"] = rq(f"SELECT doc_key, {_PROMPT} AS prompt FROM unc\n")
+ORACLES["prompt_text"] = rq(f"SELECT doc_key, {PROMPT_SQL} AS prompt FROM unc\n")
 
 QUERIES["fence_strip"] = lambda spark, sf: _replies(spark, sf).select("doc_key", P.fence_strip("raw").alias("clean"))
 ORACLES["fence_strip"] = rq("SELECT doc_key, clean FROM rep\n")
@@ -160,11 +160,16 @@ def q_classify_model(spark, sf):
     return R.verdicts_ok(R.verdict_decode(replies)).select("doc_key", "category", "confidence", "cache_read")
 
 
+def keyword_category(prompt: str) -> str:
+    """DuckDB form of the stand-in scorer's choice."""
+    return (f"CASE WHEN regexp_matches(lower({prompt}), 'clinic|health') THEN 'Personal-Health' "
+            f"WHEN regexp_matches(lower({prompt}), 'family|friend') THEN 'Casual' "
+            f"WHEN regexp_matches(lower({prompt}), 'lecture|course|class') THEN 'Learning' ELSE 'Business' END")
+
+
 QUERIES["classify_model"] = q_classify_model
 ORACLES["classify_model"] = rq(f"""
-SELECT doc_key, CASE WHEN regexp_matches(lower(prompt), 'clinic|health') THEN 'Personal-Health'
-    WHEN regexp_matches(lower(prompt), 'family|friend') THEN 'Casual'
-    WHEN regexp_matches(lower(prompt), 'lecture|course|class') THEN 'Learning' ELSE 'Business' END AS category,
+SELECT doc_key, {keyword_category('prompt')} AS category,
   CAST(0.6 AS DOUBLE) AS confidence, length(prompt) % 7 AS cache_read
-FROM (SELECT doc_key, {_PROMPT} AS prompt FROM unc)
+FROM (SELECT doc_key, {PROMPT_SQL} AS prompt FROM unc)
 """)

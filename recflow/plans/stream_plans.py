@@ -13,14 +13,18 @@ import re
 from pyspark.sql import functions as F
 
 from recflow.fixtures import duckdb_with
+from recflow.functions import vocab
 from recflow.operators.entities import load_entities
 from recflow.plans import ingest_plans as IP
-from recflow.plans.common import ENRICH_TS, PULL_TS, RUN_DATE, fx
+from recflow.operators.reclassify import keyword_scorer
+from recflow.plans.common import ENRICH_TS, MODEL_NAME, PULL_TS, RECLASS_TS, RUN_DATE, fx
 from recflow.plans.enrich_plans import E_CTES, E_VIEWS
 from recflow.plans.oracle_sql import blocked_case, category_case, sq
+from recflow.plans.reclass_plans import PROMPT_SQL, keyword_category
 from recflow.session import shared_dir
 from recflow.sources.ledger import Ledger
 from recflow.sources.listing import inbox_ids
+from recflow.streaming import model as M
 from recflow.streaming import stages as S
 
 QUERIES: dict = {}
@@ -53,7 +57,8 @@ def _ingest_env(spark, sf):
     return root, t, (l1, tx1), (l2, tx2)
 
 
-def _run_ingest(spark, sf):
+def _run_ingest(spark, sf, then=lambda root, t: None):
+    """Both drops through the ingest stream, ``then(root, tables)`` after each."""
     root, t, d1, d2 = _ingest_env(spark, sf)
     ck = f"{root}/checkpoint"
     for i, (lines, tx) in enumerate((d1, d2)):
@@ -62,6 +67,7 @@ def _run_ingest(spark, sf):
         tx.write.mode("append").parquet(t.transcripts_path)
         q = S.start_ingest(spark, f"{root}/listing/*", t, f"{ck}/ingest")
         q.awaitTermination()
+        then(root, t)
     return root, t
 
 
@@ -78,24 +84,45 @@ def q_retry_failed(spark, sf):
     return failed.join(docs, "recording_id", "left").select("recording_id", F.coalesce("pulled", F.lit(False)).alias("pulled"))
 
 
+def _route(spark, root, t):
+    S.start_route(spark, t.docs, f"{root}/routed", f"{root}/checkpoint/route").awaitTermination()
+
+
 def q_stream_route(spark, sf):
-    root, t = _run_ingest(spark, sf)
-    out = f"{root}/routed"
-    S.start_route(spark, t.docs, out, f"{root}/checkpoint/route").awaitTermination()
-    return spark.read.parquet(out).select("recording_id", "category", "sync_blocked")
+    root, _t = _run_ingest(spark, sf, lambda root, t: _route(spark, root, t))
+    return spark.read.parquet(f"{root}/routed").select("recording_id", "category", "sync_blocked")
+
+
+def _reclass(spark, root, t):
+    _route(spark, root, t)
+    stage = M.ModelStage(f"{root}/model", t.docs, MODEL_NAME, RECLASS_TS, scorer=keyword_scorer)
+    M.start_reclass(spark, f"{root}/routed", stage, f"{root}/checkpoint/model").awaitTermination()
+
+
+def q_stream_reclass(spark, sf):
+    """The model's verdicts on the documents that the stream pulled and no rule matched."""
+    root, _t = _run_ingest(spark, sf, lambda root, t: _reclass(spark, root, t))
+    return S.read_or_empty(spark, f"{root}/model/verdicts", M.VERDICTS_SCHEMA).select(
+        "recording_id", "category", "sync_blocked", F.col("llm.model").alias("llm_model"),
+        F.col("llm.confidence").alias("llm_confidence"), F.col("llm.at").alias("llm_at"))
 
 
 def _run_enrich(spark, sf):
-    root, t = _run_ingest(spark, sf)
     ents = load_entities(fx(spark, sf).entities_src)
-    S.start_enrich(spark, t.docs, ents, f"{root}/enriched", f"{root}/checkpoint/enrich", RUN_DATE, ENRICH_TS).awaitTermination()
+
+    def stages(root, t):
+        _reclass(spark, root, t)
+        S.start_enrich(spark, f"{root}/routed", t.docs, ents, f"{root}/enriched", f"{root}/checkpoint/enrich", RUN_DATE, ENRICH_TS,
+                       lambda batch: M.verdicts_on(spark, f"{root}/model", batch)).awaitTermination()
+
+    root, _t = _run_ingest(spark, sf, stages)
     return f"{root}/enriched"
 
 
 def q_stream_enrich(spark, sf):
     """The header patches of every document that the stream pulled and enriched."""
     return S.read_or_empty(spark, f"{_run_enrich(spark, sf)}/patches", S.PATCHES_SCHEMA).select(
-        "recording_id", "entity_mentions", "action_items_rollup", "vdc_candidate")
+        "recording_id", "entity_mentions", "action_items_rollup", "vdc_candidate", "enriched_category")
 
 
 def _events_env(spark, sf):
@@ -149,6 +176,7 @@ QUERIES.update({
     "stream_ingest": q_stream_ingest,
     "retry_failed": q_retry_failed,
     "stream_route": q_stream_route,
+    "stream_reclass": q_stream_reclass,
     "stream_enrich": q_stream_enrich,
     "stream_dedup": q_stream_dedup,
     "late_arrivals": q_late_arrivals,
@@ -169,15 +197,29 @@ SELECT recording_id, category, {blocked_case('category')} AS sync_blocked FROM (
   SELECT o.recording_id, {category_case('m.name')} AS category
   FROM outcome o JOIN meta m ON m.recording_id = o.recording_id WHERE o.status = 'pulled')
 """
+#: verdicts of the stand-in model on pulled documents of the fallback bucket
+_VERDICTS = f"""verdicts AS (
+  SELECT recording_id, {keyword_category('prompt')} AS category FROM (
+    SELECT recording_id, {PROMPT_SQL} AS prompt FROM (
+      SELECT o.recording_id, m.name AS title, s.summary, {category_case('m.name')} AS category
+      FROM outcome o JOIN meta m ON m.recording_id = o.recording_id JOIN recordings r ON r.recording_id = o.recording_id
+      LEFT JOIN summaries s ON s.doc_id = r.doc_id WHERE o.status = 'pulled')
+    WHERE category = {sq(vocab.FALLBACK_CATEGORY)}))"""
+_OUTCOME_TEXTS = IP.d_with(IP.D_CANDS, IP.D_META, IP.D_INBOX, IP.D_TX, IP.d_outcome(),
+                           views=("listing", "metadata", "ledger", "inbox", *E_VIEWS)).rstrip("\n") + ",\n" + _VERDICTS
+ORACLES["stream_reclass"] = _OUTCOME_TEXTS + f"""
+SELECT recording_id, category, {blocked_case('category')} AS sync_blocked, {sq(MODEL_NAME)} AS llm_model,
+  CAST(0.6 AS DOUBLE) AS llm_confidence, {sq(RECLASS_TS)} AS llm_at FROM verdicts
+"""
 _PULLED_E = (re.sub(r"\bcands\b", "queue_cands", E_CTES).replace("SELECT doc_id, stem AS doc_key,", "SELECT doc_id, recording_id AS doc_key,")
-             .replace("WHERE status IS NULL OR status <> 'enriched'",
+             .replace("SELECT * FROM edocs WHERE status IS NULL OR status <> 'enriched'",
+                      "SELECT e.* REPLACE (coalesce(v.category, e.category) AS category) FROM edocs e "
+                      "LEFT JOIN verdicts v ON v.recording_id = e.doc_key "
                       "WHERE doc_key IN (SELECT recording_id FROM outcome WHERE status = 'pulled')"))
-ORACLES["stream_enrich"] = IP.d_with(
-    IP.D_CANDS, IP.D_META, IP.D_INBOX, IP.D_TX, IP.d_outcome(),
-    views=("listing", "metadata", "ledger", "inbox", *E_VIEWS)).rstrip("\n") + "," + _PULLED_E + """
+ORACLES["stream_enrich"] = _OUTCOME_TEXTS + "," + _PULLED_E + """
 SELECT p.doc_key AS recording_id, coalesce(m.entity_mentions, '[]') AS entity_mentions,
   CASE WHEN g.doc_key IS NOT NULL THEN '"[[' || g.recorded_date || ']]"' END AS action_items_rollup,
-  CASE WHEN c.doc_key IS NOT NULL THEN true END AS vdc_candidate
+  CASE WHEN c.doc_key IS NOT NULL THEN true END AS vdc_candidate, p.category AS enriched_category
 FROM prep p LEFT JOIN mlist m ON m.doc_key = p.doc_key LEFT JOIN gated g ON g.doc_key = p.doc_key
 LEFT JOIN queue_cands c ON c.doc_key = p.doc_key
 """

@@ -1,4 +1,4 @@
-"""A growing set of ids in segments, each with a Bloom sketch.
+"""A growing set of ids, and what is kept of each, in segments, each with a Bloom sketch.
 
 A batch that asks which of its ids are known reads the sketches, then only the segments that
 may hold one of its ids, and compares exactly.  Segments are written whole under a number of
@@ -17,6 +17,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from recflow.sources.documents import path_exists
 
@@ -53,10 +54,12 @@ def _probes(key: str, size: Column) -> Column:
 
 class Ledger:
     """Ids under ``root``: ``data/seg=N`` and ``sketch/seg=N_S`` (S: the binary logarithm of its
-    bits).  A segment counts once its sketch is written."""
+    bits).  A segment counts once its sketch is written.  ``more``: columns kept with an id."""
 
-    def __init__(self, spark: SparkSession, root: str, key: str = "recording_id", kind: str = "string"):
-        self.spark, self.root, self.key, self.kind = spark, root.rstrip("/"), key, kind
+    def __init__(self, spark: SparkSession, root: str, key: str = "recording_id", kind: str = "string", more: str = ""):
+        self.spark, self.root, self.key = spark, root.rstrip("/"), key
+        self.schema = f"{key} {kind}, {more}" if more else f"{key} {kind}"
+        self.columns = StructType.fromDDL(self.schema).names
 
     def segments(self) -> dict[int, int]:
         """Number and size of every segment."""
@@ -64,20 +67,20 @@ class Ledger:
         return {int(n[4:].split("_")[0]): int(n.split("_")[1]) for n in done}
 
     def _data(self, numbers) -> DataFrame:
-        schema = f"{self.key} {self.kind}"
         paths = [f"{self.root}/data/seg={n}" for n in sorted(numbers)]
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
 
     def ids(self) -> DataFrame:
-        return self._data(self.segments()).distinct()
+        return self._data(self.segments()).select(self.key).distinct()
 
     def append(self, ids: DataFrame, number: int) -> None:
-        """Write the ids as segment ``number``, in place of what it held."""
+        """Write the ids as segment ``number``, in place of what it held; of an id's rows one is kept."""
         path = f"{self.root}/data/seg={number}"
         for size in [s for n, s in self.segments().items() if n == number]:
             remove(self.spark, f"{self.root}/sketch/seg={number}_{size}")
-        ids.select(self.key).where(F.col(self.key).isNotNull()).distinct().write.mode("overwrite").parquet(path)
-        held = self.spark.read.schema(f"{self.key} {self.kind}").parquet(path)
+        (ids.select(*self.columns).where(F.col(self.key).isNotNull()).dropDuplicates([self.key])
+         .write.mode("overwrite").parquet(path))
+        held = self.spark.read.schema(self.schema).parquet(path)
         size = max(6, math.ceil(math.log2(max(1, held.count()) * BITS)))
         bits = (held.select(F.inline(_probes(self.key, F.lit(size)))).groupBy("word").agg(F.bit_or("bit").alias("bits")))
         bits.write.mode("overwrite").parquet(f"{self.root}/sketch/seg={number}_{size}")
@@ -104,12 +107,12 @@ class Ledger:
         return sorted(r["seg"] for r in hit.collect())  # at most the number of segments
 
     def candidates(self, ids: DataFrame, before: int | None = None) -> DataFrame:
-        """The ids of the segments that may hold some of ``ids``."""
+        """What the segments that may hold some of ``ids`` hold."""
         return self._data(self.may_hold(ids, before))
 
     def unseen(self, ids: DataFrame) -> DataFrame:
         """The rows of ``ids`` whose id the ledger doesn't hold."""
-        return ids.join(self.candidates(ids).distinct(), self.key, "left_anti")
+        return ids.join(self.candidates(ids).select(self.key).distinct(), self.key, "left_anti")
 
     def compact(self, fan: int = FAN, before: int | None = None) -> None:
         """Merge segments of one size, ``fan`` or more, into one; a loss on the way leaves ids

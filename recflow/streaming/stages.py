@@ -3,13 +3,13 @@
 The polling loop becomes a file-source stream with ``trigger(availableNow)``
 (or a processing-time trigger); the checkpoint makes every file count once.
 Each micro-batch runs the same batch functions inside ``foreachBatch`` and
-writes idempotently: appends are anti-joined with the sink on the natural key,
-other outputs replace the folder of their batch, so a batch that is replayed
-after a loss writes nothing twice.
+writes idempotently: it has its own folder in a table, which a replay replaces,
+or completes where a later stream reads the files; only lines of the enrichment
+are anti-joined with what their days hold.  Tables and checkpoint belong together.
 
 Tables live in a shared folder (under ``spark.checkpoint.dir``): ``ledger``
-(ids in segments with Bloom sketches, one a batch), ``docs`` (pulled recordings
-with their unified document) and ``retry/batch_id=N``: the ids that are open
+(ids in segments with Bloom sketches, one a batch), ``docs/batch_id=N`` (pulled
+recordings with their unified document) and ``retry/batch_id=N``: the ids that are open
 after batch N, one row each, of which only the last is read.  A batch reads of
 the history only the ledger's segments that may hold one of its ids.
 """
@@ -32,7 +32,8 @@ from recflow.sources.ledger import Ledger
 from recflow.sources.listing import listing_ids, metadata_fields
 
 DOCS_SCHEMA = ("recording_id string, doc_key string, name string, start_at string, created_at string, "
-               "status string, summary string, transcript string, text string")
+               "status string, summary string, transcript string, text string, batch_id long")
+ROUTED_SCHEMA = "recording_id string, sync_blocked boolean, docs_batch long, batch_id long, category string"
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -47,10 +48,19 @@ def _only(history: DataFrame, rows: DataFrame, key: str = "recording_id") -> Dat
     return history.join(rows.select(key).distinct(), key, "left_semi")
 
 
-def append_unseen(rows: DataFrame, path: str, schema: str, key: str = "recording_id") -> None:
-    """Append the rows whose key the table doesn't hold yet."""
-    held = _only(read_or_empty(rows.sparkSession, path, schema), rows, key).select(key)
-    rows.join(held, key, "left_anti").write.mode("append").parquet(path)
+def complete_batch(rows: DataFrame, path: str, batch_id: int, by: tuple[str, ...] = (), key: str = "recording_id") -> None:
+    """Add the rows to the folder of their batch, but for those that a lost attempt at the
+    batch has left there: files that a later stream may have read stay.  No other batch is read."""
+    folder = f"{path}/batch_id={batch_id}"
+    held = read_or_empty(rows.sparkSession, folder, f"{key} string")
+    rows.join(held, key, "left_anti").write.mode("append").partitionBy(*by).parquet(folder)
+
+
+def of_batches(spark: SparkSession, path: str, schema: str, numbers: DataFrame) -> DataFrame:
+    """The rows of the batches whose numbers ``numbers`` (one column) holds.  The numbers, no
+    more than a stream has had batches, become a filter on folders."""
+    wanted = [r[0] for r in numbers.distinct().collect()]
+    return read_or_empty(spark, path, schema).where(F.col("batch_id").isin(wanted))
 
 
 @dataclass
@@ -110,7 +120,7 @@ def ingest_batch(batch: DataFrame, batch_id: int, t: IngestTables) -> None:
         docs = docs.select("recording_id", doc_key("start_at", "created_at", "name", "recording_id").alias("doc_key"),
                            "name", "start_at", "created_at", F.lit(vocab.STATUS_UNTRIAGED).alias("status"),
                            "summary", "transcript", unified_document(docs, t.pulled_at).alias("text"))
-        append_unseen(docs, t.docs, DOCS_SCHEMA)
+        complete_batch(docs, t.docs, batch_id)
         failed = (outcome.where(F.col("status") == ingest.FAILED).select("recording_id").distinct()
                   .join(retry, "recording_id", "left")
                   .select("recording_id", F.coalesce("failed_batch", F.lit(batch_id).cast("long")).alias("failed_batch")))
@@ -132,52 +142,65 @@ def start_ingest(spark: SparkSession, listing_dir: str, t: IngestTables, checkpo
 
 
 def route_batch(batch: DataFrame, batch_id: int, out_path: str) -> None:
-    """Route newly pulled documents; append only those not yet routed."""
-    routed = classify_title(batch.withColumnRenamed("name", "title")).select("recording_id", "category", "sync_blocked")
-    held = _only(read_or_empty(batch.sparkSession, out_path, "recording_id string, category string, sync_blocked boolean"), routed)
-    (routed.join(held.select("recording_id"), "recording_id", "left_anti")
-     .write.mode("append").partitionBy("category").parquet(out_path))
+    """Route newly pulled documents.  ``docs_batch`` is the batch that pulled a document:
+    later stages read only the folders of such batches."""
+    routed = classify_title(batch.withColumnRenamed("name", "title"))
+    complete_batch(routed.select("recording_id", "category", "sync_blocked", F.col("batch_id").alias("docs_batch")),
+                   out_path, batch_id, by=("category",))
 
 
-def _over_docs(spark: SparkSession, docs_path: str, checkpoint: str, each):
-    src = spark.readStream.schema(DOCS_SCHEMA).parquet(docs_path)
+def _over(spark: SparkSession, path: str, schema: str, checkpoint: str, each, only: Column | None = None):
+    src = spark.readStream.schema(schema).parquet(path)
+    src = src if only is None else src.where(only)
     return (src.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
 def start_route(spark: SparkSession, docs_path: str, out_path: str, checkpoint: str):
     """Route stage as a stream over the ingest stage's docs table."""
-    return _over_docs(spark, docs_path, checkpoint, lambda df, bid: route_batch(df, bid, out_path))
+    return _over(spark, docs_path, DOCS_SCHEMA, checkpoint, lambda df, bid: route_batch(df, bid, out_path))
 
 
 PATCHES_SCHEMA = ("recording_id string, status string, enriched_at string, entity_mentions string, "
                   "action_items_rollup string, vdc_candidate boolean, enriched_category string")
+LINES = {"backlinks": "entity string, recording_id string, line string, recorded_date string",
+         "rollups": "recording_id string, block string, recorded_date string",
+         "candidates": "recording_id string, line string, recorded_date string"}
 
 
-def enrich_stream_batch(batch: DataFrame, batch_id: int, entities: DataFrame, root: str, run_date: str, at: str) -> None:
-    """The whole enrichment of newly pulled documents: mentions, action items, delivery
-    candidates, link, block and queue lines, patches.  The patches are written first: a
-    replayed batch finds them and only completes the lines."""
+def enrich_stream_batch(batch: DataFrame, batch_id: int, docs_path: str, verdicts: DataFrame | None, entities: DataFrame,
+                        root: str, run_date: str, at: str) -> None:
+    """The whole enrichment of newly routed documents: mentions, action items, delivery
+    candidates, link, block and queue lines, patches.  The category is the model's where it
+    has given a verdict, else the route's.  The patches are written first: a replayed batch
+    finds them and only completes the lines."""
     spark, key = batch.sparkSession, "recording_id"
-    docs = classify_title(batch.withColumnRenamed("name", "title")).select(
-        key, "title", "category", F.col("status"), F.col("start_at").alias("recorded_at"), F.col("created_at").alias("uploaded_at"))
-    lines = {"backlinks": "entity string, recording_id string, line string, recorded_date string",
-             "rollups": "recording_id string, block string, recorded_date string",
-             "candidates": "recording_id string, line string, recorded_date string"}
-    old = {name: read_or_empty(spark, f"{root}/{name}", schema) for name, schema in lines.items()}
-    run = EnrichBatch(docs, batch.select(key, "summary"), batch.select(key, "transcript"), entities, run_date, at,
+    routed = batch.select(key, "category", "docs_batch")
+    if verdicts is not None:
+        given = verdicts.select(key, F.col("category").alias("_given"))
+        routed = routed.join(given, key, "left").select(key, F.coalesce("_given", "category").alias("category"), "docs_batch")
+    held = of_batches(spark, docs_path, DOCS_SCHEMA, routed.select("docs_batch")).withColumnRenamed("batch_id", "docs_batch")
+    docs = routed.join(held, [key, "docs_batch"]).select(
+        key, F.col("name").alias("title"), "category", "status", F.col("start_at").alias("recorded_at"), F.col("created_at").alias("uploaded_at"))
+    old = {name: read_or_empty(spark, f"{root}/{name}", schema) for name, schema in LINES.items()}
+    run = EnrichBatch(docs, _only(held, routed).select(key, "summary"), _only(held, routed).select(key, "transcript"), entities, run_date, at,
                       existing_backlinks=old["backlinks"], existing_blocks=old["rollups"],
                       existing_candidates=old["candidates"], key=key, categories=vocab.BUCKETS)
-    append_unseen(run.patches, f"{root}/patches", PATCHES_SCHEMA)
+    complete_batch(run.patches, f"{root}/patches", batch_id)
     for name, new in (("backlinks", run.new_backlinks), ("rollups", run.new_blocks), ("candidates", run.new_candidates)):
-        columns = [c.split()[0] for c in lines[name].split(", ")]
+        columns = [c.split()[0] for c in LINES[name].split(", ")]
         (new.select(*columns).hint("rebalance", "recorded_date").write.mode("append")
          .partitionBy("recorded_date").parquet(f"{root}/{name}"))
 
 
-def start_enrich(spark: SparkSession, docs_path: str, entities: DataFrame, root: str, checkpoint: str, run_date: str, at: str):
-    return _over_docs(spark, docs_path, checkpoint,
-                      lambda df, bid: enrich_stream_batch(df, bid, entities, root, run_date, at))
+def start_enrich(spark: SparkSession, routed_path: str, docs_path: str, entities: DataFrame, root: str, checkpoint: str,
+                 run_date: str, at: str, verdicts=None):
+    """Enrichment as a stream over the routed documents.  ``verdicts(batch)`` gives the
+    model's verdicts on a batch (see ``streaming.model``), to be run before this stream."""
+    def each(df: DataFrame, bid: int) -> None:
+        enrich_stream_batch(df, bid, docs_path, verdicts(df) if verdicts else None, entities, root, run_date, at)
+
+    return _over(spark, routed_path, ROUTED_SCHEMA, checkpoint, each)
 
 
 EVENTS_SCHEMA = "recording_id string, recorded_at timestamp, late boolean, overdue boolean"
