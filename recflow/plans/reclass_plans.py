@@ -21,7 +21,7 @@ ORACLES: dict = {}
 def _unclassified(spark, sf):
     d = edocs(spark, sf).withColumn("sync_blocked", P.sync_flag("category"))
     d = R.reclass_batch(d, max_docs=None)
-    return d.join(esummaries(spark, sf).select("doc_key", "summary"), "doc_key", "left")
+    return d.join(esummaries(spark, sf).select("doc_id", "summary"), "doc_id", "left")
 
 
 def _replies(spark, sf):
