@@ -32,8 +32,9 @@ from recflow.llm.common import ship, text_of
 ship(__name__)
 
 END = "</w>"
-#: Words whose encodings a task remembers; characters encoded at a time.
-REMEMBERED, CHUNK_CHARS = 200_000, 2_000_000
+#: Words whose encodings a task remembers; characters encoded at a time; pairs of tokens whose
+#: answer it remembers.  They bound a worker's memory, whatever the texts.
+REMEMBERED, CHUNK_CHARS, PAIRS = 100_000, 1_000_000, 200_000
 
 # The word pattern of the vocabulary file, with the white space of the common
 # alphabets spelt out (the library splits texts that hold any other).
@@ -69,23 +70,11 @@ class Vocabulary:
         for rank, (a, b) in enumerate(model["model"]["merges"]):
             self.rank[ids[a], ids[b]] = rank
             parts[ids[a + b]] = (ids[a], ids[b])
-        born = {t: self.rank[p] for t, p in parts.items()}
-        never = len(born) + 1
-        self.right: dict[int, list] = {}
-        self.left: dict[int, list] = {}
-        for t in ids.values():
-            for spine, side in ((self.right, 1), (self.left, 0)):
-                edge, at, gone = [], t, never
-                while True:
-                    edge.append((at, gone))
-                    if at not in parts:
-                        break
-                    gone, at = born[at], parts[at][side]
-                spine[t] = edge
+        self.parts = parts
         self.follows: dict[int, bool] = {}
         whole: dict[int, bool] = {}
         for s, t in sorted(ids.items(), key=lambda x: len(x[0].removesuffix(END))):
-            whole[t] = t not in parts or (whole[parts[t][0]] and whole[parts[t][1]] and not self.crosses(*parts[t], but=born[t]))
+            whole[t] = t not in parts or (whole[parts[t][0]] and whole[parts[t][1]] and not self.crosses(*parts[t], but=self.rank[parts[t]]))
             ends = s.endswith(END) and s != END
             raw = bytes(byte_of[c] for c in (s.removesuffix(END) if ends else s))
             self.length[t] = len(raw)
@@ -108,11 +97,22 @@ class Vocabulary:
             found[tail] |= {1}
         return {tail: tuple(sorted(lengths, reverse=True)) for tail, lengths in found.items()}
 
+    def edge(self, token: int, side: int) -> list[tuple[int, int]]:
+        """The tokens along one edge of a token (side 1: its end, 0: its start), outermost
+        first, each with the rank of the merge that uses it up."""
+        found, gone = [], len(self.parts) + 1
+        while True:
+            found.append((token, gone))
+            if token not in self.parts:
+                return found
+            gone, token = self.rank[self.parts[token]], self.parts[token][side]
+
     def crosses(self, a: int, b: int, but: int = -1) -> bool:
         """Whether a merge joins the end of a with the start of b before their own merges
         use these parts up; at equal rank the merge further left comes first."""
-        for x, x_gone in self.right[a]:
-            for y, y_gone in self.left[b]:
+        start = self.edge(b, 0)
+        for x, x_gone in self.edge(a, 1):
+            for y, y_gone in start:
                 rank = self.rank.get((x, y))
                 if rank is not None and rank != but and rank < x_gone and rank <= y_gone:
                     return True
@@ -129,7 +129,7 @@ class Vocabulary:
         key = a << 20 | b
         known = self.follows.get(key)
         if known is None:
-            if len(self.follows) > 400_000:
+            if len(self.follows) > PAIRS:
                 self.follows.clear()
             known = self.follows[key] = not self.crosses(a, b)
         return known
