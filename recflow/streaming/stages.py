@@ -27,6 +27,7 @@ from recflow.operators import ingest
 from recflow.operators.enrich import EnrichBatch
 from recflow.operators.route import classify_title
 from recflow.operators.sinks import unified_document
+from recflow.operators.sketch import sketched
 from recflow.sources.documents import path_exists
 from recflow.sources.ledger import Ledger
 from recflow.sources.listing import listing_ids, metadata_fields
@@ -48,6 +49,13 @@ def _only(history: DataFrame, rows: DataFrame, key: str = "recording_id") -> Dat
     return history.join(rows.select(key).distinct(), key, "left_semi")
 
 
+def texts_near(history: DataFrame, ids: DataFrame, n_ids: int, key: str = "recording_id") -> DataFrame:
+    """``_only`` for texts: those of other batches go by a sketch of the batch's ids where the
+    table is read, so that they aren't shuffled; the few that pass go in the exact join."""
+    # an inner join with the distinct ids: a semi join would be planned below the sketch
+    return sketched(history, ids, key, n_ids).join(ids.select(key).distinct(), key)
+
+
 def complete_batch(rows: DataFrame, path: str, batch_id: int, by: tuple[str, ...] = (), key: str = "recording_id") -> None:
     """Add the rows to the folder of their batch, but for those that a lost attempt at the
     batch has left there: files that a later stream may have read stay.  No other batch is read."""
@@ -115,8 +123,9 @@ def ingest_batch(batch: DataFrame, batch_id: int, t: IngestTables) -> None:
     try:
         pulled = outcome.where(F.col("status") == ingest.PULLED).select("recording_id").distinct()
         facts = ingest.one_per_recording(_only(meta.drop("meta"), pulled))
-        docs = (pulled.join(facts, "recording_id").join(_only(tx, pulled).select("recording_id", "transcript"), "recording_id")
-                .join(_only(sums, pulled).select("recording_id", "summary"), "recording_id", "left"))
+        n = pulled.count()
+        docs = (pulled.join(facts, "recording_id").join(texts_near(tx.select("recording_id", "transcript"), pulled, n), "recording_id")
+                .join(texts_near(sums.select("recording_id", "summary"), pulled, n), "recording_id", "left"))
         docs = docs.select("recording_id", doc_key("start_at", "created_at", "name", "recording_id").alias("doc_key"),
                            "name", "start_at", "created_at", F.lit(vocab.STATUS_UNTRIAGED).alias("status"),
                            "summary", "transcript", unified_document(docs, t.pulled_at).alias("text"))

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from recflow.functions.text import NON_WORD, WORD
 from recflow.operators import entities as EN
+from recflow.operators.sketch import sketched
 from recflow.plans import enrich_plans as EP
+from recflow.streaming import stages as ST
 
 
 def _shuffled(df, column):
@@ -16,6 +18,18 @@ def _shuffled(df, column):
     return len(re.findall(rf"\) Exchange\nInput \[\d+\]: \[[^\n]*\b{column}#", plan))
 
 
+def _sketch_first(spark, make, key):
+    """Whether rows go by the sketch before they are shuffled for the exact join."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = make()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    p = p[p.index("SortMergeJoin"):]
+    return 0 <= p.find(f"Exchange hashpartitioning({key}") < p.find("BroadcastHashJoin")
+
+
 def test_texts_move_once_to_their_documents(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -46,7 +60,7 @@ def test_repeated_ids_keep_their_rows(spark, tmp_path):
 def test_sketch_drops_foreign_words_and_keeps_all_others(spark):
     keys = spark.range(0, 3000).select(F.concat(F.lit("K"), "id").alias("_key"))
     placed = spark.range(0, 30000).select(F.concat(F.lit("K"), "id").alias("_key"), F.col("id").alias("_no"))
-    left = {r["_no"] for r in EN._sketched(placed, keys, 3000).collect()}
+    left = {r["_no"] for r in sketched(placed, keys, "_key", 3000).collect()}
     assert left >= set(range(3000)) and len(left) < 3000 + 27000 * 0.06
 
 
@@ -61,6 +75,8 @@ def test_large_dictionary_gives_the_same_index(spark, monkeypatch):
     small = found()
     monkeypatch.setattr(EN, "SENT_WORDS", 0)
     assert found() == small and len(small) == 31
+    words = EN.name_words(ents)
+    assert _sketch_first(spark, lambda: EN.word_index(docs, words), "_key")
 
 
 def test_words_and_separators_equal_python_re(spark):
@@ -74,3 +90,15 @@ def test_words_and_separators_equal_python_re(spark):
     for r in EN._words_of(df, ["id"], "text").orderBy("id", "_no").collect():
         got.setdefault(r["id"], []).append((r["_pre"], r["_part"]))
     assert got == {i: x for i, x in want.items() if x}
+
+
+def test_ingest_shuffles_only_texts_of_its_batch(spark):
+    """Texts of other batches go before the joins that bring a batch's texts together."""
+    texts = spark.range(0, 20000).select(F.md5(F.col("id").cast("string")).alias("recording_id"), F.lit("t").alias("transcript"))
+    pulled = texts.where("recording_id < '04'").select("recording_id")
+    n = pulled.count()
+    near = sketched(texts, pulled, "recording_id", n)
+    assert 0 < n <= near.count() < n + 20000 * 0.06
+    assert ST.texts_near(texts, pulled, n).count() == n
+    assert ST.texts_near(texts, pulled.where("false"), 0).count() == 0
+    assert _sketch_first(spark, lambda: ST.texts_near(texts, pulled, n), "recording_id")
