@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes every
 stage's rows as Parquet to the shared folder and reads them as the next stage's docs.  A
-stage starts by removing the scratch tables of the stage before.
+stage starts by removing the scratch tables of the stage before.  Texts go to Python in
+small batches, as memory is what the stages' workers share.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from recflow.llm import bpe, exact_dedup, mixing, ngram_join, quality
-from recflow.llm.common import read, stage, stored
+from recflow.llm.common import read, small_batches, stage, stored
 
 
 @stage
@@ -53,6 +54,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    for name, apply in STAGES:
-        docs = stored(apply(spark, docs, sf_dir), name)
+    with small_batches(spark):
+        for name, apply in STAGES:
+            docs = stored(apply(spark, docs, sf_dir), name)
     return docs

@@ -34,7 +34,7 @@ ship(__name__)
 END = "</w>"
 #: Words whose encodings a task remembers; characters encoded at a time; pairs of tokens whose
 #: answer it remembers.  They bound a worker's memory, whatever the texts.
-REMEMBERED, CHUNK_CHARS, PAIRS = 100_000, 1_000_000, 200_000
+REMEMBERED, CHUNK_CHARS, PAIRS = 80_000, 500_000, 200_000
 
 # The word pattern of the vocabulary file, with the white space of the common
 # alphabets spelt out (the library splits texts that hold any other).
@@ -65,16 +65,16 @@ class Vocabulary:
         self.inner: dict[bytes, int] = {}
         self.final: dict[bytes, int] = {}
         self.length: dict[int, int] = {}
-        self.rank: dict[tuple[int, int], int] = {}
+        self.rank: dict[int, int] = {}  # by both tokens, a << 20 | b
         parts: dict[int, tuple[int, int]] = {}
         for rank, (a, b) in enumerate(model["model"]["merges"]):
-            self.rank[ids[a], ids[b]] = rank
+            self.rank[ids[a] << 20 | ids[b]] = rank
             parts[ids[a + b]] = (ids[a], ids[b])
         self.parts = parts
         self.follows: dict[int, bool] = {}
         whole: dict[int, bool] = {}
         for s, t in sorted(ids.items(), key=lambda x: len(x[0].removesuffix(END))):
-            whole[t] = t not in parts or (whole[parts[t][0]] and whole[parts[t][1]] and not self.crosses(*parts[t], but=self.rank[parts[t]]))
+            whole[t] = t not in parts or (whole[parts[t][0]] and whole[parts[t][1]] and not self.crosses(*parts[t], but=self.rank[parts[t][0] << 20 | parts[t][1]]))
             ends = s.endswith(END) and s != END
             raw = bytes(byte_of[c] for c in (s.removesuffix(END) if ends else s))
             self.length[t] = len(raw)
@@ -105,7 +105,8 @@ class Vocabulary:
             found.append((token, gone))
             if token not in self.parts:
                 return found
-            gone, token = self.rank[self.parts[token]], self.parts[token][side]
+            a, b = self.parts[token]
+            gone, token = self.rank[a << 20 | b], (a, b)[side]
 
     def crosses(self, a: int, b: int, but: int = -1) -> bool:
         """Whether a merge joins the end of a with the start of b before their own merges
@@ -113,7 +114,7 @@ class Vocabulary:
         start = self.edge(b, 0)
         for x, x_gone in self.edge(a, 1):
             for y, y_gone in start:
-                rank = self.rank.get((x, y))
+                rank = self.rank.get(x << 20 | y)
                 if rank is not None and rank != but and rank < x_gone and rank <= y_gone:
                     return True
         return False

@@ -6,9 +6,10 @@ extra columns of its input, whatever they are called, never clash with its own.
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,6 +70,20 @@ def stage(function: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     return run
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
+    """Within it, texts go to the Python workers in Arrow batches of this size at most.  A
+    task holds a batch several times over, in the JVM and in its worker, and by default one
+    is 64 MB."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def text_of(name: str = "text") -> Column:
     """The whole text; null counts as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -81,3 +81,13 @@ def test_stages_take_odd_rows_and_empty_tables(spark, odd, none):
         assert name == "bpe" or out.columns == odd.columns
         out.collect()
         assert stage(spark, none, SF).collect() == []
+
+
+def test_texts_go_to_python_in_small_batches(spark, monkeypatch):
+    key, before, seen = "spark.sql.execution.arrow.maxBytesPerBatch", spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch"), []
+    def first(spark, docs, sf_dir):
+        seen.append(spark.conf.get(key))
+        return docs.select("doc_id")
+    monkeypatch.setattr(C, "STAGES", [("first", first)])
+    assert C.run(spark, SF).count() == read(spark, SF, "documents").count()
+    assert seen == ["8m"] and spark.conf.get(key) == before
