@@ -86,7 +86,8 @@ def q_audit_events(spark, sf):
                             F.when(failed, "failed").otherwise("reclassified"), F.coalesce("error", "category"))
     run = EP._batch(spark, sf)
     hits = F.concat(F.lit("hits="), F.coalesce(F.size("entity_names"), F.lit(0)).cast("string"))
-    enriched = audit_events(run.facts.join(run.names, "doc_key", "left"), "enrich", ENRICH_TS, "doc_key", F.lit("enriched"), hits)
+    names = run.names
+    enriched = audit_events(run.facts.join(names, "doc_key", "left"), "enrich", ENRICH_TS, "doc_key", F.lit("enriched"), hits)
     totals = [audit_total(ingest.pull_counts(outcome), "pull", PULL_TS),
               audit_total(r.agg(F.count(F.lit(1)).alias("routed")), "route", RUN_TS),
               audit_total(decoded.agg(F.count_if(~failed).alias("reclassified"), F.count_if(failed).alias("failed")),

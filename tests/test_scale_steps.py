@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from recflow.functions.text import NON_WORD, WORD
+from recflow.operators import enrich as E
 from recflow.operators import entities as EN
 from recflow.operators.sketch import sketched
 from recflow.plans import enrich_plans as EP
+from recflow.plans import stream_plans as SP
 from recflow.streaming import stages as ST
 
 
@@ -102,3 +104,30 @@ def test_ingest_shuffles_only_texts_of_its_batch(spark):
     assert ST.texts_near(texts, pulled, n).count() == n
     assert ST.texts_near(texts, pulled.where("false"), 0).count() == 0
     assert _sketch_first(spark, lambda: ST.texts_near(texts, pulled, n), "recording_id")
+
+
+def test_a_run_joins_the_texts_once(spark, monkeypatch):
+    made, real = [], E.stored
+    monkeypatch.setattr(E, "stored", lambda df, name, **options: made.append(name) or real(df, name, **options))
+    for ask, tables in ((lambda r: (r.counts, r.patches, r.new_backlinks, r.new_blocks), ["enrich-texts", "enrich-mentions"]),
+                        (lambda r: r.new_candidates, ["enrich-texts", "enrich-companies"]),
+                        (lambda r: r.new_blocks, ["enrich-facts"])):
+        made.clear()
+        ask(EP._batch(spark, SF_SMALL))
+        assert made == tables
+
+
+def test_repeated_keys_share_their_signal(spark):
+    """A key with a signal in one of its texts: the companies of all its texts count."""
+    docs = spark.createDataFrame([("a", "a", "Business", "routed", "2024-01-01", "")],
+                                 "doc_key string, title string, category string, status string, recorded_at string, uploaded_at string")
+    sums = spark.createDataFrame([("a", "The deal was closed."), ("a", "Met with Acme Corp.")], "doc_key string, summary string")
+    none = spark.createDataFrame([], "doc_key string, transcript string")
+    names = EN.load_entities(spark.createDataFrame([("Acme Corp", "Companies")], "name string, type string"))
+    run = E.enrich_batch(docs, sums, none, names, "2025-01-15", "2025-01-15")
+    assert [r["companies"] for r in run.candidates.collect()] == [["Acme Corp"]]
+
+
+def test_text_tables_of_the_stream_are_packed(spark):
+    _root, t, *_ = SP._ingest_env(spark, SF_SMALL)
+    assert all(".zstd." in f for f in spark.read.parquet(t.summaries_path).inputFiles())
