@@ -21,7 +21,7 @@ from recflow.plans.common import ENRICH_TS, MODEL_NAME, PULL_TS, RECLASS_TS, RUN
 from recflow.plans.enrich_plans import E_CTES, E_VIEWS
 from recflow.plans.oracle_sql import blocked_case, category_case, sq
 from recflow.plans.reclass_plans import PROMPT_SQL, keyword_category
-from recflow.session import shared_dir
+from recflow.session import TEXTS, shared_dir
 from recflow.sources.ledger import Ledger
 from recflow.sources.listing import inbox_ids
 from recflow.streaming import model as M
@@ -51,7 +51,7 @@ def _ingest_env(spark, sf):
     t = S.IngestTables(root=f"{root}/tables", metadata_path=f"{root}/metadata", summaries_path=f"{root}/summaries",
                        transcripts_path=f"{root}/transcripts", inbox_path=f"{root}/inbox", pulled_at=PULL_TS)
     f.metadata.write.parquet(t.metadata_path)
-    f.summaries.join(rec, "doc_id").select("recording_id", "summary").write.parquet(t.summaries_path)
+    f.summaries.join(rec, "doc_id").select("recording_id", "summary").write.options(**TEXTS).parquet(t.summaries_path)
     inbox_ids(f.inbox).write.parquet(t.inbox_path)
     Ledger(spark, t.ledger).append(f.ledger, -1)
     return root, t, (l1, tx1), (l2, tx2)
@@ -64,7 +64,7 @@ def _run_ingest(spark, sf, then=lambda root, t: None):
     for i, (lines, tx) in enumerate((d1, d2)):
         (lines.repartitionByRange(2, "pos").sortWithinPartitions("pos").select("value")
          .write.text(f"{root}/listing/drop{i}"))
-        tx.write.mode("append").parquet(t.transcripts_path)
+        tx.write.options(**TEXTS).mode("append").parquet(t.transcripts_path)
         q = S.start_ingest(spark, f"{root}/listing/*", t, f"{ck}/ingest")
         q.awaitTermination()
         then(root, t)

@@ -29,6 +29,7 @@ from recflow.operators.route import classify_title
 from recflow.operators.sinks import unified_document
 from recflow.operators.sketch import sketched
 from recflow.sources.documents import path_exists
+from recflow.session import TEXTS
 from recflow.sources.ledger import Ledger
 from recflow.sources.listing import listing_ids, metadata_fields
 
@@ -56,12 +57,13 @@ def texts_near(history: DataFrame, ids: DataFrame, n_ids: int, key: str = "recor
     return sketched(history, ids, key, n_ids).join(ids.select(key).distinct(), key)
 
 
-def complete_batch(rows: DataFrame, path: str, batch_id: int, by: tuple[str, ...] = (), key: str = "recording_id") -> None:
+def complete_batch(rows: DataFrame, path: str, batch_id: int, by: tuple[str, ...] = (), key: str = "recording_id",
+                   **options: str) -> None:
     """Add the rows to the folder of their batch, but for those that a lost attempt at the
     batch has left there: files that a later stream may have read stay.  No other batch is read."""
     folder = f"{path}/batch_id={batch_id}"
     held = read_or_empty(rows.sparkSession, folder, f"{key} string")
-    rows.join(held, key, "left_anti").write.mode("append").partitionBy(*by).parquet(folder)
+    rows.join(held, key, "left_anti").write.options(**options).mode("append").partitionBy(*by).parquet(folder)
 
 
 def of_batches(spark: SparkSession, path: str, schema: str, numbers: DataFrame) -> DataFrame:
@@ -129,7 +131,7 @@ def ingest_batch(batch: DataFrame, batch_id: int, t: IngestTables) -> None:
         docs = docs.select("recording_id", doc_key("start_at", "created_at", "name", "recording_id").alias("doc_key"),
                            "name", "start_at", "created_at", F.lit(vocab.STATUS_UNTRIAGED).alias("status"),
                            "summary", "transcript", unified_document(docs, t.pulled_at).alias("text"))
-        complete_batch(docs, t.docs, batch_id)
+        complete_batch(docs, t.docs, batch_id, **TEXTS)
         failed = (outcome.where(F.col("status") == ingest.FAILED).select("recording_id").distinct()
                   .join(retry, "recording_id", "left")
                   .select("recording_id", F.coalesce("failed_batch", F.lit(batch_id).cast("long")).alias("failed_batch")))
