@@ -131,3 +131,25 @@ def test_repeated_keys_share_their_signal(spark):
 def test_text_tables_of_the_stream_are_packed(spark):
     _root, t, *_ = SP._ingest_env(spark, SF_SMALL)
     assert all(".zstd." in f for f in spark.read.parquet(t.summaries_path).inputFiles())
+
+
+def test_common_anchors_make_no_rows_for_other_names(spark):
+    """Names that share their words: a word of them by itself is no place for a name."""
+    names = [(f"{a} {b}", "Projects", 3) for a in ("red", "old", "new") for b in ("ring", "bolt", "gear")] + [("the ring co.", "People", 1)]
+    ents = spark.createDataFrame(names, "name string, type string, type_rank int")
+    text = "ring and bolt, red or new; gear of old. " * 20 + "Red Ring, old bolt; the ring co. new-gear"
+    docs = spark.createDataFrame([(f"d{k}", text) for k in range(3)], "doc_key string, text string")
+    words = EN.name_words(ents)
+    assert EN.candidate_places(EN.word_index(docs, words), words).count() <= 3 * 5
+    found = {(r["doc_key"], r["name"]) for r in EN.entity_mentions(docs, ents).collect()}
+    assert found == {(f"d{k}", n) for k in range(3) for n in ("red ring", "old bolt", "the ring co.")}
+
+
+def test_an_earlier_run_moves_only_its_own_texts(spark, monkeypatch):
+    made, real = [], EP.E.enrich_batch
+    monkeypatch.setattr(EP.E, "enrich_batch", lambda *a, **b: made.append(a) or real(*a, **b))
+    EP._batch_after_previous(spark, SF_SMALL)
+    docs, summaries, transcripts = made[0][:3]
+    for side in (docs, summaries, transcripts):
+        assert side.count() > 0 and side.where("doc_id % 6 <> 0").count() == 0
+    assert made[1][1].where("doc_id % 6 <> 0").count() > 0
