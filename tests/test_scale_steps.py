@@ -137,7 +137,7 @@ def test_common_anchors_make_no_rows_for_other_names(spark):
     """Names that share their words: a word of them by itself is no place for a name."""
     names = [(f"{a} {b}", "Projects", 3) for a in ("red", "old", "new") for b in ("ring", "bolt", "gear")] + [("the ring co.", "People", 1)]
     ents = spark.createDataFrame(names, "name string, type string, type_rank int")
-    text = "ring and bolt, red or new; gear of old. " * 20 + "Red Ring, old bolt; the ring co. new-gear"
+    text = "ring and bolt, red or new; gear of old days. " * 20 + "Red Ring, old bolt; the ring co.new-gear"
     docs = spark.createDataFrame([(f"d{k}", text) for k in range(3)], "doc_key string, text string")
     words = EN.name_words(ents)
     assert EN.candidate_places(EN.word_index(docs, words), words).count() <= 3 * 5
