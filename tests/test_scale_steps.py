@@ -153,3 +153,14 @@ def test_an_earlier_run_moves_only_its_own_texts(spark, monkeypatch):
     for side in (docs, summaries, transcripts):
         assert side.count() > 0 and side.where("doc_id % 6 <> 0").count() == 0
     assert made[1][1].where("doc_id % 6 <> 0").count() > 0
+
+
+def test_words_are_cut_without_a_pattern_a_word(spark):
+    texts = [(1, "One two,  three"), (2, "--Ünï été: naïve_x 9½"), (3, ""), (4, None), (5, " .,"), (6, "éa\n\nb " + "𝒳 ok" * 3)]
+    df = spark.createDataFrame(texts, "id int, text string")
+    cut = EN._words_of(df, ["id"], "text")
+    want = sorted((i, no, m[1], m[2]) for i, t in texts for no, m in enumerate(re.finditer(r"(\W*)(\w+)", t or "")))
+    assert sorted(tuple(r[c] for c in ("id", "_no", "_pre", "_part")) for r in cut.collect()) == want
+    names = EN.stored(EN.name_words(spark.createDataFrame([("Two Three.",)], "name string")), "t")
+    p = EN.word_index(df, names, "id", "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract(" not in p and p.count("regexp_extract_all(") == 2  # the text is cut once, by two patterns
