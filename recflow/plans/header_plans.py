@@ -131,11 +131,12 @@ def q_scan_documents(spark, sf):
     its summary sidecar, written from the tasks), then scan the folders back."""
     h = route.classify_title(D.parse_documents(fx(spark, sf).headers))
     root = shared_dir(spark, "vault")
-    docs = h.select(F.col("category").alias("bucket"), "stem", "text")
-    sidecars = (h.join(fx(spark, sf).summaries, "doc_id").where(F.col("summary").isNotNull())
-                .select(F.col("category").alias("bucket"), F.concat("stem", F.lit(".summary")).alias("stem"),
-                        F.col("summary").alias("text")))
-    write_vault(docs.unionByName(sidecars), root).count()
+    # document and sidecar come from one pass over the texts
+    doc = F.struct("stem", "text")
+    sidecar = F.struct(F.concat("stem", F.lit(".summary")).alias("stem"), F.col("summary").alias("text"))
+    files = h.join(fx(spark, sf).summaries, "doc_id", "left").select(
+        F.col("category").alias("bucket"), F.inline(F.when(F.col("summary").isNotNull(), F.array(doc, sidecar)).otherwise(F.array(doc))))
+    write_vault(files, root).count()
     scanned = D.parse_documents(D.scan_documents(spark, root))
     return scanned.select("bucket", "stem", "title")
 

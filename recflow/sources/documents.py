@@ -20,33 +20,106 @@ HEADER_RE = r"(?s)\A---\n(.*?)\n---\n"
 WS_NO_NL = WS[:-1] + r"&&[^\n]]"
 
 
+def file_systems():
+    """What finds the pyarrow file system of a URI (local, HDFS, object store) and the path
+    in it; a function made here goes to the tasks whole, which can't import this module."""
+    def file_system(uri: str):
+        from pyarrow import fs as pafs
+        if uri.startswith("file:") and not uri.startswith("file://"):
+            uri = "file://" + uri[len("file:"):]
+        return pafs.FileSystem.from_uri(uri)
+
+    return file_system
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+#: Files go on from a reading task once they hold this many bytes together.
+READ_BYTES = 8 << 20
+
+
+def list_files(spark: SparkSession, folders: list[str], ending: str = ".md") -> DataFrame:
+    """(bucket, file_name, path) of the files below the folders, listed in the tasks, a folder each.
+
+    As in Spark's own listing, empty files and what lies under names that begin with
+    '_' or '.' are left out (the folders themselves may begin so), and file_name and
+    bucket, the name of the folder that a file lies in, are spelled as in its URI."""
+    import pandas as pd
+    file_system = file_systems()
+
+    def run(batches):
+        from urllib.parse import quote
+
+        from pyarrow import fs as pafs
+
+        def spelled(name):
+            return "".join(c if ord(c) > 127 else quote(c, safe="!'()*:@&=+$,;") for c in name)
+
+        for pdf in batches:
+            for folder in pdf["folder"]:
+                filesystem, base = file_system(folder)
+                infos = filesystem.get_file_info(pafs.FileSelector(base, recursive=True))
+                base = base.rstrip("/")
+                found = (i for i in infos if i.type == pafs.FileType.File and i.size and i.base_name.endswith(ending))
+                rows = []
+                for i in found:
+                    inner = i.path[len(base) + 1:].split("/")
+                    if any(n.startswith(".") or n.endswith("._COPYING_") or n.startswith("_") and "=" not in n for n in inner):
+                        continue
+                    rows.append((spelled(i.path.rsplit("/", 2)[-2]), spelled(i.base_name), i.path))
+                    if len(rows) == 10_000:
+                        yield pd.DataFrame(rows, columns=["bucket", "file_name", "path"])
+                        rows = []
+                yield pd.DataFrame(rows, columns=["bucket", "file_name", "path"], dtype=object)
+
+    n = len(folders)
+    tasks = spark.range(0, n, 1, n).select(F.get(F.array(*[F.lit(f) for f in folders]), F.col("id").cast("int")).alias("folder"))
+    return tasks.mapInPandas(run, "bucket string, file_name string, path string")
+
+
 def scan_documents(spark: SparkSession, root: str, buckets: list[str] | None = None) -> DataFrame:
     """Whole-text scan of ``<root>/<bucket>/*.md`` without ``*.summary.md`` sidecars.
 
-    Returns (bucket, file_name, stem, text); text has universal newlines.
+    Returns (bucket, file_name, stem, text); text has universal newlines.  Folders are
+    listed and files opened in the tasks (pyarrow file system, as ``write_vault`` writes
+    them): the driver holds no listing, and a task opens many small files.
     """
-    # Bucket folders are passed as roots: Spark's listing skips children whose
-    # name starts with '_' (such as '_unclassified') or '.'.
+    import pandas as pd
+    file_system = file_systems()
+
+    # the buckets' folders are passed as roots: a listing skips children whose name
+    # starts with '_' (such as '_unclassified') or '.'.
     paths = [f"{root.rstrip('/')}/{b}" for b in (buckets or vocab.BUCKETS)]
-    paths = [p for p in paths if path_exists(spark, p)]
+    paths = [p for p in dict.fromkeys(paths) if path_exists(spark, p)]
     if not paths:
         return spark.createDataFrame([], "bucket string, file_name string, stem string, text string")
-    df = (spark.read.option("pathGlobFilter", "*.md").option("recursiveFileLookup", "true")
-          .text(paths, wholetext=True)
-          .select(F.col("value").alias("raw"), F.col("_metadata.file_path").alias("path"),
-                  F.col("_metadata.file_name").alias("file_name")))
-    df = df.where(~F.col("file_name").endswith(".summary.md"))
+
+    def run(batches):
+        filesystem, _ = file_system(root)
+        for pdf in batches:
+            rows, held = [], 0
+            for bucket, name, path in zip(pdf["bucket"], pdf["file_name"], pdf["path"]):
+                with filesystem.open_input_file(path) as f:
+                    rows.append((bucket, name, f.read()))
+                held += len(rows[-1][2])
+                if held >= READ_BYTES:
+                    yield pd.DataFrame(rows, columns=["bucket", "file_name", "raw"])
+                    rows, held = [], 0
+            yield pd.DataFrame(rows, columns=["bucket", "file_name", "raw"], dtype=object)
+
+    files = list_files(spark, paths).where(~F.col("file_name").endswith(".summary.md"))
+    # a fixed number of tasks: paths are few bytes, by which they would be gathered in one
+    files = files.repartition(4 * spark.sparkContext.defaultParallelism, "path")
+    df = files.mapInPandas(run, "bucket string, file_name string, raw binary")
     return df.select(
-        F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("bucket"),
+        "bucket",
         "file_name",
         F.regexp_replace("file_name", r"\.md$", "").alias("stem"),
-        F.regexp_replace("raw", r"\r\n?", "\n").alias("text"))
+        F.regexp_replace(F.col("raw").cast("string"), r"\r\n?", "\n").alias("text"))
 
 
 def has_header(text) -> Column:

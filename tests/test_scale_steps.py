@@ -155,6 +155,28 @@ def test_an_earlier_run_moves_only_its_own_texts(spark, monkeypatch):
     assert made[1][1].where("doc_id % 6 <> 0").count() > 0
 
 
+def test_scan_lists_and_opens_files_in_tasks(spark, tmp_path):
+    from recflow.sources import documents as D
+    files = {"Business/a b.md": "x\r\ny\rz", "Business/a b.summary.md": "s", "Business/é%.md": "ü", "Business/n.txt": "t", "Business/empty.md": "",
+             "Business/_hidden.md": "h", "Business/.dot.md": "d", "Business/_in/c.md": "c", "Business/new folder%/d.md": "d",
+             "_unclassified/k=1.md": "﻿k", "Casual/.keep": ""}
+    for name, text in files.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(text.encode())
+    (tmp_path / "Business/bad.md").write_bytes(b"a\xffb")
+    root = tmp_path.as_uri()
+    got = D.scan_documents(spark, root, ["Business", "_unclassified", "Casual", "Learning"])
+    assert got.inputFiles() == []  # the driver lists no file
+    raw = (spark.read.option("pathGlobFilter", "*.md").option("recursiveFileLookup", "true")
+           .text([f"{root}/{b}" for b in ("Business", "_unclassified", "Casual")], wholetext=True)
+           .selectExpr("regexp_extract(_metadata.file_path, '([^/]+)/[^/]+$', 1) AS bucket", "_metadata.file_name AS name",
+                       "hex(regexp_replace(value, '\r\n?', '\n')) AS text").where("name NOT LIKE '%.summary.md'"))
+    found = sorted(map(tuple, got.selectExpr("bucket", "file_name", "hex(text)").collect()))
+    assert found == sorted(map(tuple, raw.collect())) and len(found) == 5
+    assert {r.stem for r in got.collect()} == {"a%20b", "é%25", "d", "k=1", "bad"}
+    assert D.scan_documents(spark, root, ["Casual"]).collect() == [] and D.scan_documents(spark, root, ["Learning"]).collect() == []
+
+
 def test_words_are_cut_without_a_pattern_a_word(spark):
     texts = [(1, "One two,  three"), (2, "--Ünï été: naïve_x 9½"), (3, ""), (4, None), (5, " .,"), (6, "éa\n\nb " + "𝒳 ok" * 3)]
     df = spark.createDataFrame(texts, "id int, text string")
