@@ -19,3 +19,10 @@ def spark():
 def rows(df, *cols):
     cols = cols or df.columns
     return [tuple(r[c] for c in cols) for r in df.collect()]
+
+
+@pytest.fixture(autouse=True, scope="module")
+def no_cached_tables(spark):
+    """What a module's tests cache is not left in the plans that later modules look at."""
+    yield
+    spark.catalog.clearCache()
